@@ -30,7 +30,7 @@ def punctuation_to_space(text) -> Column:
 
 def tokens(text) -> Column:
     """Lowercase words of a text, in order."""
-    return F.filter(F.split(F.lower(col(text)), r"\s+"), lambda w: w != "")
+    return F.array_remove(F.split(F.lower(col(text)), r"\s+"), "")
 
 
 def lyric_tokens(text) -> Column:

@@ -11,7 +11,7 @@ from ..functions import scalars as S
 from ..functions import vocab
 from .keys import best_per_key, lookup
 from .merge import next_batch
-from .text import small_side
+from .text import small_side, words
 
 
 def classify(df: DataFrame, fn: Callable, schema: str, *, parallelism: int | None = None) -> DataFrame:
@@ -37,7 +37,7 @@ def keyword_topics(df: DataFrame, keywords: DataFrame, *, key: str, text: str =
     the alphabetically first topic.
     """
     table = small_side(keywords, bound)
-    found = df.select(key, F.explode(S.lyric_tokens(text)).alias("word"))
+    found = words(df, [key], text)
     scores = found.join(table, "word").groupBy(key, "topic").agg(F.sum("weight").alias("score"))
     best = F.min_by("topic", F.struct((-F.col("score")).alias("s"), F.col("topic").alias("t")))
     picked = scores.groupBy(key).agg(best.alias("found"))

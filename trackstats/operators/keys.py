@@ -31,6 +31,27 @@ def membership(left: DataFrame, right: DataFrame, keys: list[str], *, present: b
     return lookup(left, right.select(*keys).distinct(), keys, "left_semi" if present else "left_anti")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores for costly per-row work on an input with fewer splits than cores.
+
+    A large input has more splits than the cluster has cores and passes through
+    untouched; only a small one is redistributed. Filters and column pruning
+    still reach the scan.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add costly columns that are computed once however often they are used.
+
+    A generator keeps the optimizer from copying the expressions into every
+    filter and projection that mentions them.
+    """
+    made = F.struct(*[c.alias(n) for n, c in columns.items()])
+    return df.select("*", F.inline(F.array(made)))
+
+
 def few_values(df: DataFrame, column: str, bound: int = 1000) -> list | None:
     """Distinct values of a column when there are at most ``bound``, else None."""
     rows = df.select(column).distinct().limit(bound + 1).collect()

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from itertools import combinations_with_replacement
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -90,25 +88,52 @@ def selection_summary(df: DataFrame, x: str, y: str) -> DataFrame:
 
 
 def correlation(df: DataFrame, features: list[str]) -> DataFrame:
-    """``(feature_x, feature_y, n, r)`` for all pairs, pairwise-complete, in one pass.
-
-    A constant column has no correlation: NULL, never an error.
+    """``(feature_x, feature_y, n, r)`` for all pairs, pairwise-complete.
+
+    Rows are summed per pattern of missing values: within a pattern the same
+    features are present in every row, so one sum per feature and one per pair
+    are enough. Patterns are few, and each pair then adds up the patterns that
+    hold both features. Values are centred on the means of a first pass to keep
+    the products small. A column that is constant over a pair's rows has no
+    correlation: NULL, never an error.
     """
     features = [f for f in features if f in df.columns]
-    pairs = list(combinations_with_replacement(features, 2))
+    k = len(features)
+    pairs = [(i, j) for i in range(k) for j in range(i, k)]
     cols = df.select(*[_number(f).alias(f) for f in features])
-    aggs = []
-    for i, (a, b) in enumerate(pairs):
-        aggs += [F.regr_count(a, b).alias(f"n{i}"), F.covar_pop(a, b).alias(f"c{i}"),
-                 F.var_pop(F.when(F.col(b).isNotNull(), F.col(a))).alias(f"a{i}"),
-                 F.var_pop(F.when(F.col(a).isNotNull(), F.col(b))).alias(f"b{i}")]
-    rows = []
-    for i, (a, b) in enumerate(pairs):
-        r = F.try_divide(F.col(f"c{i}"), F.sqrt(F.col(f"a{i}") * F.col(f"b{i}")))
-        for x, y in {(a, b), (b, a)}:
-            rows.append(F.struct(F.lit(x).alias("feature_x"), F.lit(y).alias("feature_y"),
-                                 F.col(f"n{i}").alias("n"), r.alias("r")))
-    return cols.agg(*aggs).select(F.inline(F.array(*rows)))
+    means = cols.agg(F.struct(*[F.avg(f).alias(f) for f in features])).scalar()
+    centred = [F.coalesce(F.col(f) - means[f], F.lit(0.0)).alias(f"x{i}") for i, f in enumerate(features)]
+    pattern = sum((F.col(f).isNotNull().cast("bigint") * (1 << i) for i, f in enumerate(features)), F.lit(0))
+    rows = cols.select(pattern.alias("pattern"), *centred)
+    x = [F.col(f"x{i}") for i in range(k)]
+    sums = rows.groupBy("pattern").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.array(*[F.sum(v) for v in x]).alias("s"), F.array(*[F.sum(x[i] * x[j]) for i, j in pairs]).alias("p"),
+        F.array(*[F.min(v) for v in x]).alias("low"), F.array(*[F.max(v) for v in x]).alias("high"))
+    at = {pair: q for q, pair in enumerate(pairs)}
+    members = F.array(*[
+        F.struct(F.lit(features[i]).alias("a"), F.lit(features[j]).alias("b"),
+                 F.lit((1 << i) | (1 << j)).cast("bigint").alias("bits"),
+                 *[F.lit(v).alias(n) for n, v in (("i", i), ("j", j), ("ij", at[i, j]), ("ii", at[i, i]), ("jj", at[j, j]))])
+        for i, j in pairs])
+
+    def part(array: str, index: str) -> Column:
+        return F.get(array, F.col(index))
+
+    per = (sums.select("*", F.inline(members)).where(F.col("pattern").bitwiseAND(F.col("bits")) == F.col("bits"))
+           .groupBy("a", "b").agg(
+               F.sum("n").alias("n"), F.sum(part("s", "i")).alias("si"), F.sum(part("s", "j")).alias("sj"),
+               F.sum(part("p", "ij")).alias("pij"), F.sum(part("p", "ii")).alias("pii"), F.sum(part("p", "jj")).alias("pjj"),
+               (F.max(part("high", "i")) > F.min(part("low", "i"))).alias("vary_i"),
+               (F.max(part("high", "j")) > F.min(part("low", "j"))).alias("vary_j")))
+    n = F.col("n")
+    cov = F.col("pij") - F.col("si") * F.col("sj") / n
+    var_i, var_j = F.col("pii") - F.col("si") * F.col("si") / n, F.col("pjj") - F.col("sj") * F.col("sj") / n
+    r = F.when(F.col("vary_i") & F.col("vary_j"), F.try_divide(cov, F.sqrt(var_i * var_j)))
+    r = F.when(r > 1, 1.0).when(r < -1, -1.0).otherwise(r)
+    both = F.array(F.struct(F.col("a").alias("feature_x"), F.col("b").alias("feature_y")),
+                   F.struct(F.col("b").alias("feature_x"), F.col("a").alias("feature_y")))
+    return per.select(F.inline(F.when(F.col("a") == F.col("b"), F.slice(both, 1, 1)).otherwise(both)), "n", r.alias("r"))
 
 
 def quadrant_counts(df: DataFrame, x: str, y: str) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import scalars as S
 from ..functions import vocab
 from ..functions.stem import porter
-from .keys import cut_lineage, top_n
+from .keys import cut_lineage, once, spread, top_n
 
 DEFAULT_STOPWORDS = sorted({*vocab.LYRIC_STOPWORDS, *vocab.ENGLISH_EXTRA_STOPWORDS})
 
@@ -29,7 +29,8 @@ def merge_vocabularies(*tables: DataFrame) -> DataFrame:
 
 def words(df: DataFrame, keep: list[str], text: str = "Lyrics") -> DataFrame:
     """``(keep..., word)``, one row per word of the cleaned text."""
-    return df.select(*keep, F.explode(S.lyric_tokens(text)).alias("word"))
+    parts = F.split(S.punctuation_to_space(S.strip_markers(F.lower(text))), r"\s+")
+    return spread(df.select(*keep, text)).select(*keep, F.explode(parts).alias("word")).where(F.col("word") != "")
 
 
 def word_counts(df: DataFrame, group: list[str], *, text: str = "Lyrics",
@@ -113,7 +114,7 @@ def train_language_profiles(labelled: DataFrame, *, text: str = "text", language
     The weight is a whole-number log probability above a fixed floor, so that
     scores add up exactly in any order.
     """
-    grams = labelled.where(F.col(language).isNotNull()).select(
+    grams = spread(labelled.where(F.col(language).isNotNull()).select(language, text)).select(
         F.col(language).alias("lang"), F.explode(trigrams(text)).alias("gram"))
     counts = grams.groupBy("lang", "gram").agg(F.count(F.lit(1)).alias("n"))
     totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
@@ -136,7 +137,7 @@ def label_language(df: DataFrame, profiles: DataFrame, *, key: str, text: str =
     """
     cleaned = language_text(text)
     usable = (~S.is_blank(text) & (F.trim(F.col(text)) != "0") & (F.length(cleaned) >= min_length))
-    grams = df.where(usable).select(key, F.explode(trigrams(cleaned)).alias("gram"))
+    grams = spread(df.where(usable).select(key, text)).select(key, F.explode(trigrams(cleaned)).alias("gram"))
     model = small_side(cut_lineage(profiles), bound)
     scores = grams.join(model, "gram").groupBy(key, "lang").agg(F.sum("weight").alias("score"))
     best = F.min_by("lang", F.struct((-F.col("score")).alias("s"), F.col("lang").alias("l")))
@@ -155,8 +156,7 @@ def sentiment(df: DataFrame, lexicon: DataFrame, *, key: str, text: str = "Lyric
     decimals (Hutto & Gilbert 2014); texts without a listed word score 0.
     """
     weights = small_side(lexicon.groupBy("word").agg(F.max("weight").alias("weight")), bound)
-    cleaned = S.strip_markers(text)
-    found = df.select(key, F.explode(S.tokens(S.punctuation_to_space(cleaned))).alias("word"))
+    found = words(df, [key], text)
     sums = found.join(weights, "word").groupBy(key).agg(F.sum("weight").cast("double").alias("s"))
     s = F.coalesce("s", F.lit(0.0))
     return df.select(key).join(sums, key, "left").select(
@@ -174,16 +174,17 @@ def text_metrics(df: DataFrame, text: str = "Lyrics") -> DataFrame:
     """
     cleaned = S.strip_markers(text)
     sentences = F.regexp_count(F.concat(cleaned, F.lit(".")), F.lit(r"[^\s.!?][^.!?\n]*[.!?\n]"))
-    toks = S.lyric_tokens(text)
-    padded = F.regexp_replace(F.concat(F.array_join("__w", " "), F.lit(" ")), "([a-z]{2})e ", "$1 ")
-    with_vowel = F.regexp_count("__p", F.lit("[aeiouy][^ ]*"))
-    syllables = F.regexp_count("__p", F.lit("[aeiouy]+")) + F.col("n_words") - with_vowel
+    one_spaced = F.btrim(F.regexp_replace(S.punctuation_to_space(F.lower(cleaned)), r"\s+", " "))
+    out = once(spread(df), __t=one_spaced, n_sentences=sentences)
+    out = once(out, __w=F.array_remove(F.split("__t", " "), ""),
+               __p=F.regexp_replace(F.concat("__t", F.lit(" ")), "([a-z]{2})e ", "$1 "))
+    out = once(out, n_words=F.size("__w"), __vowel_groups=F.regexp_count("__p", F.lit("[aeiouy]+")),
+               __with_vowel=F.regexp_count("__p", F.lit("[aeiouy][^ ]*")),
+               __kinds=F.size(F.array_distinct("__w")), __chars=F.length(F.replace("__t", F.lit(" "), F.lit(""))))
     n, m = F.col("n_words"), F.greatest(F.col("n_sentences"), F.lit(1))
+    out = out.withColumn("n_syllables", F.col("__vowel_groups") + n - F.col("__with_vowel"))
     grade = 0.39 * F.try_divide(n, m) + 11.8 * F.try_divide(F.col("n_syllables"), n) - 15.59
-    return (df.withColumn("__w", toks)
-            .withColumn("n_words", F.size("__w")).withColumn("n_sentences", sentences)
-            .withColumn("__p", padded).withColumn("n_syllables", syllables)
-            .withColumn("Flesch_Kincaid_Grade", grade)
-            .withColumn("Lexical_Diversity", F.try_divide(F.size(F.array_distinct("__w")), n))
-            .withColumn("Avg_Word_Length", F.try_divide(F.length(F.array_join("__w", "")), n))
-            .drop("__w", "__p"))
+    return out.select(
+        *df.columns, "n_words", "n_sentences", "n_syllables", grade.alias("Flesch_Kincaid_Grade"),
+        F.try_divide(F.col("__kinds"), n).alias("Lexical_Diversity"),
+        F.try_divide(F.col("__chars"), n).alias("Avg_Word_Length"))

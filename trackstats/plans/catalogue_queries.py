@@ -341,9 +341,9 @@ def html_table_rows(spark, folder):
 
 @query(r"""WITH i AS (SELECT page_id, unnest(regexp_extract_all(html, '(?is)<li[^>]*>(.*?)</li>', 1)) AS li,
   generate_subscripts(regexp_extract_all(html, '(?is)<li[^>]*>(.*?)</li>', 1), 1) - 1 AS item_no FROM pages)
-SELECT page_id, CAST(item_no AS INT) AS item_no, trim(regexp_replace(replace(replace(replace(replace(replace(replace(
-  regexp_replace(li, '(?s)<[^>]*>', '', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''),
-  '&nbsp;', ' '), '&amp;', '&'), '\s+', ' ', 'g')) AS item FROM i""")
+SELECT page_id, CAST(item_no AS INT) AS item_no, trim(replace(replace(replace(replace(replace(replace(
+  regexp_replace(li, '\s*<[^>]*>\s*', '', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''),
+  '&nbsp;', chr(160)), '&amp;', '&'), concat(' ', chr(9), chr(10), chr(13), chr(160))) AS item FROM i""")
 def list_items(spark, folder):
     return pages.list_items(table(spark, folder, "pages"), ["page_id"])
 

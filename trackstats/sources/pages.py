@@ -6,26 +6,32 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
+from ..operators.keys import once, spread
 
 # Character references decoded in cells; the ampersand comes last.
-ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")]
+ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", "\u00a0"), ("&amp;", "&")]
+BLANKS = " \t\r\n\u00a0"
 
 
 def cell_text(html: Column) -> Column:
-    """Text of a cell: tags removed, character references decoded, trimmed."""
-    text = F.regexp_replace(html, r"(?s)<[^>]*>", "")
+    """Text of a cell: its text nodes trimmed and joined, character references decoded."""
+    bare = F.when(F.contains(html, F.lit("<")), F.regexp_replace(html, r"\s*<[^>]*>\s*", "")).otherwise(html)
+    decoded = bare
     for entity, char in ENTITIES:
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    return F.btrim(F.regexp_replace(text, r"\s+", " "))
+        decoded = F.replace(decoded, F.lit(entity), F.lit(char))
+    return F.btrim(F.when(F.contains(html, F.lit("&")), decoded).otherwise(bare), F.lit(BLANKS))
 
 
 def table_cells(pages: DataFrame, keep: list[str], html: str = "html") -> DataFrame:
-    """``(keep..., row_no, cells)`` of the first table of every page, header row left out."""
+    """``(keep..., row_no, cells)`` of the first table of every page, header row left out.
+
+    ``cells`` holds the raw inner HTML; a row is parsed once.
+    """
     table = F.regexp_extract(html, r"(?is)<table[^>]*>(.*?)</table>", 1)
     rows = F.regexp_extract_all(table, F.lit(r"(?is)<tr[^>]*>(.*?)</tr>"), F.lit(1))
     cells = F.regexp_extract_all("tr", F.lit(r"(?is)<td[^>]*>(.*?)</td>"), F.lit(1))
     found = pages.select(*keep, F.posexplode(rows).alias("row_no", "tr")).where(F.col("row_no") > 0)
-    return found.select(*keep, "row_no", F.transform(cells, cell_text).alias("cells"))
+    return once(found, cells=cells).drop("tr")
 
 
 def chart_rows(pages: DataFrame, *, html: str = "html", year: str = "year") -> DataFrame:
@@ -33,13 +39,13 @@ def chart_rows(pages: DataFrame, *, html: str = "html", year: str = "year") -> D
 
     Rows with fewer than three cells or unreadable numbers are dropped.
     """
-    cells = table_cells(pages, [year], html).where(F.size("cells") >= 3)
-    text = F.col("cells")[0]
-    out = cells.select(
-        text.alias("Artist and Title"), S.artist_part(text).alias("Artist"), S.title_part(text).alias("Title"),
-        S.grouped_int(F.col("cells")[1]).alias("Streams"), S.grouped_int(F.col("cells")[2]).alias("Daily"),
+    cells = table_cells(spread(pages), [year], html).where(F.size("cells") >= 3)
+    texts = once(cells, text=cell_text(F.col("cells")[0]), streams=S.grouped_int(cell_text(F.col("cells")[1])),
+                 daily=S.grouped_int(cell_text(F.col("cells")[2])))
+    return texts.where(F.col("streams").isNotNull() & F.col("daily").isNotNull()).select(
+        F.col("text").alias("Artist and Title"), S.artist_part("text").alias("Artist"),
+        S.title_part("text").alias("Title"), F.col("streams").alias("Streams"), F.col("daily").alias("Daily"),
         F.col(year).cast("int").alias("Year"))
-    return out.where(F.col("Streams").isNotNull() & F.col("Daily").isNotNull())
 
 
 def list_items(pages: DataFrame, keep: list[str], html: str = "html") -> DataFrame:

@@ -86,10 +86,10 @@ def test_clean_job(spark):
             ("E", "T", "7", 2001, float("nan"), 6), (None, "T", "3", 2001, 1.0, 7), (None, "T", "4", 2001, 1.0, 8)]
     raw = spark.createDataFrame(data, "Artist string, Title string, Streams string, Year int, energy double, id int")
     raw = raw.withColumn("genres", F.lit("x"))
-    steps = jobs.clean_steps(raw, required=["energy", "absent"], ties=["id"], n=1)
-    assert rows(clean.funnel(steps), "step_no") == [
+    options = dict(required=["energy", "absent"], ties=["id"], n=1)
+    assert rows(jobs.clean_funnel(raw, **options), "step_no") == [
         (0, "loaded", 9, 0), (1, "missing", 7, 2), (2, "copies", 6, 1), (3, "repeated keys", 4, 2), (4, "top rows", 2, 2)]
-    final = steps[-1][1]
+    final = jobs.clean_catalogue(raw, **options)
     assert "genres" not in final.columns
     assert rows(final.select("Artist", "Streams", "id"), "id") == [("A", 30.0, 2), (None, 4.0, 8)]
 
@@ -100,6 +100,12 @@ def test_quality_report_counts_nan_and_copies(spark):
         ("missing", "k", 1), ("missing", "x", 2), ("duplicate_rows", None, 1), ("duplicate_keys", None, 2)}
 
 
+def test_long_texts_are_counted_by_digest(spark):
+    df = spark.createDataFrame([("x" * 100, 1), ("x" * 100, 1), ("x" * 99, 1), (None, 1), ("", 1)], "t string, n int")
+    assert ("duplicate_rows", None, 1) in rows(clean.quality_report(df))
+    assert rows(clean.distinct_count(df)) == [(4,)]
+
+
 # --- merge ------------------------------------------------------------------------
 
 BASE = [("a", 1999, 1, 1, "g1"), ("a", 1999, 2, 2, "g2"), ("b", 1999, 3, 3, "g3"), (None, 1999, 4, 4, "g4"), ("o", 1995, 5, 5, "g5")]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
@@ -72,20 +72,36 @@ def quality_report(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
     return report
 
 
+def _digest(c: str, t: str) -> Column:
+    """A long text's SHA-256 in place of the text; shorter than any text it could be mistaken for."""
+    if t != "string":
+        return F.col(c)
+    marked = F.concat(F.lit("#"), F.sha2(F.col(c).cast("binary"), 256))
+    return F.when(F.length(c) > 64, marked).otherwise(F.col(c)).alias(c)
+
+
 def _surplus(df: DataFrame, keys: list[str], check: str) -> DataFrame:
-    """Rows beyond the first of each key: partial counts combine before the shuffle."""
-    return (df.groupBy(*keys).count()
+    """Rows beyond the first of each key. Counts combine map-side, and texts move as digests."""
+    types = dict(df.dtypes)
+    return (df.select(*[_digest(k, types[k]) for k in keys]).groupBy(*keys).count()
             .agg(F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).alias("n"))
             .select(F.lit(check).alias("check"), F.lit(None).cast("string").alias("column"), "n"))
 
 
+def distinct_count(df: DataFrame) -> DataFrame:
+    """One row: the number of different rows, without moving long texts."""
+    return df.select(*[_digest(c, t) for c, t in df.dtypes]).distinct().agg(F.count(F.lit(1)).alias("rows_out"))
+
+
 def funnel(steps: list[tuple[str, DataFrame]]) -> DataFrame:
-    """``(step_no, step, rows_out, removed)`` of successive stages of a job."""
+    """``(step_no, step, rows_out, removed)`` of successive stages of a job.
+
+    A stage is a table, or a one-row table that already holds ``rows_out``.
+    """
     counts = None
     for i, (name, df) in enumerate(steps):
-        row = df.agg(F.count(F.lit(1)).alias("rows_out")).select(
-            F.lit(i).alias("step_no"), F.lit(name).alias("step"), "rows_out")
+        counted = df if df.columns == ["rows_out"] else df.agg(F.count(F.lit(1)).alias("rows_out"))
+        row = counted.select(F.lit(i).alias("step_no"), F.lit(name).alias("step"), "rows_out")
         counts = row if counts is None else counts.unionByName(row)
-    from pyspark.sql import Window
     before = F.lag("rows_out").over(Window.orderBy("step_no"))  # one row per step
     return counts.withColumn("removed", F.coalesce(before - F.col("rows_out"), F.lit(0)))

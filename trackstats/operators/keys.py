@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 KEY = "__key"
@@ -32,14 +33,17 @@ def membership(left: DataFrame, right: DataFrame, keys: list[str], *, present: b
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Use all cores for costly per-row work on an input with fewer splits than cores.
+    """Use all cores for costly per-row work on an input smaller than one split per core.
 
-    A large input has more splits than the cluster has cores and passes through
-    untouched; only a small one is redistributed. Filters and column pruning
-    still reach the scan.
+    A scan is cut no finer than its row groups, so a small table may sit in one
+    task. Spark's own size estimate decides; a large input has a split for every
+    core and passes through untouched, as does one whose size is only guessed
+    from a join. Filters and column pruning still reach the scan.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    split = int(df.sparkSession.conf.get("spark.sql.files.maxPartitionBytes").removesuffix("b"))
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return df.repartition(cores) if size < cores * split else df
 
 
 def once(df: DataFrame, **columns: Column) -> DataFrame:
@@ -79,10 +83,10 @@ def top_n(df: DataFrame, group: list[str], order: list[Column], n: int, *,
           rank: str | None = None, salt_by: list[str] | None = None, salts: int = 32) -> DataFrame:
     """First ``n`` rows of every group in a total order.
 
-    Each map task keeps at most ``n`` rows per group before the shuffle. With
-    ``salt_by`` a group is also ranked in ``salts`` independent slices first, so
-    that the survivors of a group holding most of the table are not all sorted
-    by one task.
+    Each map task keeps at most ``n`` rows per group before the shuffle, so an
+    aggregated input sends ``n`` rows per reduce partition and group. A raw input
+    has far more tasks: ``salt_by`` then ranks a group in ``salts`` independent
+    slices first, and the task that settles it sees ``n * salts`` rows.
     """
     pos = rank or "__pos"
     if salt_by:
@@ -101,13 +105,12 @@ def best_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFra
     return top_n(df, keys, order, 1)
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise in the shared checkpoint folder that the cluster names.
+def shared_folder(spark: SparkSession) -> str:
+    """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
     A local session without one gets a scratch folder; a cluster session without
     one is an error, since a machine-local folder would not survive an executor.
     """
-    spark = df.sparkSession
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -116,6 +119,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
                 raise RuntimeError("set spark.checkpoint.dir to a shared folder")
             folder = tempfile.mkdtemp(prefix="checkpoint-")
         sc.setCheckpointDir(folder)
+    return sc.getCheckpointDir()
+
+
+def scratch_path(spark: SparkSession) -> str:
+    """A new path below the shared folder."""
+    return f"{shared_folder(spark)}/scratch-{uuid.uuid4().hex}"
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Materialise in the shared folder, so that a lost executor costs no recomputation."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 

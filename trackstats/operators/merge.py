@@ -61,17 +61,15 @@ def merge(base: DataFrame, fresh: DataFrame, keys: list[str], measures: list[str
 def reconcile(base: DataFrame, fresh: DataFrame, keys: list[str], *, year: str = "Year") -> DataFrame:
     """One row: ``n_updated, n_unmatched, n_new_in_shared, n_new_years``.
 
-    Only per-key counts meet, so the numbers cost one aggregation of each input
-    however often a key repeats. ``n_unmatched`` goes negative when duplicate
+    Both inputs share one aggregation by key, combined map-side, so a key may
+    repeat as often as it likes. ``n_unmatched`` goes negative when duplicate
     keys multiply.
     """
-    def counted(df: DataFrame, side: str) -> DataFrame:
-        return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(side))
+    def marked(df: DataFrame, in_base: int) -> DataFrame:
+        return df.select(*keys, F.lit(in_base).cast("bigint").alias("b"), F.lit(1 - in_base).cast("bigint").alias("f"))
 
-    b, f = counted(base, "n_base"), counted(fresh, "n_fresh")
-    both = b.unionByName(f, allowMissingColumns=True).groupBy(*keys).agg(
-        F.coalesce(F.sum("n_base"), F.lit(0)).alias("n_base"),
-        F.coalesce(F.sum("n_fresh"), F.lit(0)).alias("n_fresh"))
+    both = marked(base, 1).unionByName(marked(fresh, 0)).groupBy(*keys).agg(
+        F.sum("b").alias("n_base"), F.sum("f").alias("n_fresh"))
     by_year = both.groupBy(year).agg(
         F.sum(F.col("n_base") * F.col("n_fresh")).alias("updated"),
         F.sum("n_base").alias("base_rows"), F.sum("n_fresh").alias("fresh_rows"),

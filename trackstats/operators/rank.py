@@ -27,7 +27,7 @@ def leaderboard(df: DataFrame, n: int = 10, *, year: str = "Year", key: str = "A
     """``(year, rank, key, streams, songs)``: the leaders of every year in one job."""
     per = df.groupBy(year, key).agg(F.sum(measure).alias("streams"), F.count(F.lit(1)).alias("songs"))
     order = [F.col("streams").desc(), F.col(key).asc_nulls_last()]
-    out = top_n(per, [year], order, n, rank="rank", salt_by=[key])
+    out = top_n(per, [year], order, n, rank="rank")
     return out.select(year, "rank", key, "streams", "songs")
 
 
@@ -60,7 +60,7 @@ def words_by_category(words: DataFrame, n: int = 7, *, year: str = "Year", categ
                       word: str = "Word", count: str = "Frequency") -> DataFrame:
     """The most frequent words per (year, category) as one sorted array."""
     order = [F.col(count).desc(), F.col(word).asc_nulls_last()]
-    best = top_n(words, [year, category], order, n, rank="pos", salt_by=[word])
+    best = top_n(words, [year, category], order, n, rank="pos")
     ordered = F.sort_array(F.collect_list(F.struct("pos", word, count)))  # at most n entries
     return best.groupBy(year, category).agg(
         F.transform(ordered, lambda s: F.struct(s[word].alias(word), s[count].alias(count))).alias("words"))

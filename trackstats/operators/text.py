@@ -74,7 +74,7 @@ def top_words(df: DataFrame, n: int = 100, *, year: str = "Year", text: str = "L
     counts = word_counts(src.where(F.col(year).isNotNull()), [year], text=text, **counting)
     stems = stem_counts(counts, [year], **options)
     order = [F.col("Frequency").desc(), F.col("stem").asc()]
-    return top_n(stems, [year], order, n, salt_by=["stem"]).select(year, "Word", "Frequency")
+    return top_n(stems, [year], order, n).select(year, "Word", "Frequency")
 
 
 def all_time_words(words_by_year: DataFrame, *, year: str = "Year") -> DataFrame:
@@ -118,7 +118,7 @@ def train_language_profiles(labelled: DataFrame, *, text: str = "text", language
         F.col(language).alias("lang"), F.explode(trigrams(text)).alias("gram"))
     counts = grams.groupBy("lang", "gram").agg(F.count(F.lit(1)).alias("n"))
     totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
-    best = top_n(counts, ["lang"], [F.col("n").desc(), F.col("gram")], size, salt_by=["gram"])
+    best = top_n(counts, ["lang"], [F.col("n").desc(), F.col("gram")], size)
     weight = F.greatest(F.round(F.log(F.col("n") / F.col("total") * 1e6) * 1000), F.lit(0.0))
     return best.join(totals, "lang").select("lang", "gram", weight.cast("bigint").alias("weight"))
 

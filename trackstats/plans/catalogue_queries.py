@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
-from ..operators import clean, enrich, merge, select
-from ..sources import pages, tables
+from ..operators import clean, enrich, keys, merge, select
+from ..sources import pages, sinks, tables
 from . import jobs
 from .inputs import ORDERS, RAW_TRACKS, TRACKS, base_orders, fresh_orders, raw_tracks, table, tracks
 from .registry import query
@@ -37,7 +37,7 @@ def clean_top_n_per_year(spark, folder):
   UNION ALL SELECT 4, 'top rows', count(*) FROM top)
 SELECT step_no, step, rows_out, coalesce(lag(rows_out) OVER (ORDER BY step_no) - rows_out, 0) AS removed FROM c""")
 def clean_funnel(spark, folder):
-    return clean.funnel(jobs.clean_steps(raw_tracks(spark, folder), required=REQUIRED, ties=["track_id"]))
+    return jobs.clean_funnel(raw_tracks(spark, folder), required=REQUIRED, ties=["track_id"])
 
 
 @query(f"""WITH {RAW_TRACKS} SELECT track_id, energy, danceability FROM raw_tracks
@@ -392,3 +392,30 @@ def typed_load(spark, folder):
         F.when(p == "ECONOMY", F.lit("-5")).otherwise((F.col("p_size") * 1000).cast("string")).alias("duration_ms"))
     return tables.typed_catalogue(raw, ["energy"]).select(
         "p_partkey", "Year", "Streams", "energy", "key", "duration_min")
+
+
+# --- written and read back -----------------------------------------------------------
+
+
+@query("SELECT p_partkey, p_name, p_brand, p_size, p_retailprice FROM part")
+def csv_round_trip(spark, folder):
+    out = keys.scratch_path(spark)
+    wanted = table(spark, folder, "part").select("p_partkey", "p_name", "p_brand", "p_size", "p_retailprice")
+    sinks.write_csv(wanted, out, bom=True)
+    return tables.read_csv(spark, out, {"p_partkey": "bigint", "p_size": "int", "p_retailprice": "double"}, multiline=False)
+
+
+@query("""SELECT p_partkey, p_size + 1 AS p_size FROM part UNION ALL SELECT s_suppkey, s_nationkey FROM supplier""")
+def published_versions(spark, folder):
+    out, part = keys.scratch_path(spark), table(spark, folder, "part").select("p_partkey", "p_size")
+    first = sinks.publish(part.select("p_partkey", (F.col("p_size") + 1).alias("p_size")), "trackstats_published", out, "1")
+    more = table(spark, folder, "supplier").select(F.col("s_suppkey").alias("p_partkey"), F.col("s_nationkey").alias("p_size"))
+    return sinks.publish(first.unionByName(more), "trackstats_published", out, "2")
+
+
+@query("SELECT event_id, event_type FROM events WHERE event_type NOT IN ('error', 'click')")
+def pending_after_batches(spark, folder):
+    out, events = keys.scratch_path(spark), table(spark, folder, "events").select("event_id", "event_type")
+    sinks.save_batch(events.where(F.col("event_type") == "error"), out, 1)
+    sinks.save_batch(events.where(F.col("event_type") == "click"), out, 2)
+    return sinks.pending(events, out, "event_id")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import vocab
 from ..operators import text as text_ops
+from ..operators.keys import spread
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -21,7 +22,7 @@ def tracks(spark: SparkSession, folder: str) -> DataFrame:
 
     No join carries a hint: Spark broadcasts a dimension only if its size allows.
     """
-    li, orders = table(spark, folder, "lineitem"), table(spark, folder, "orders")
+    li, orders = spread(table(spark, folder, "lineitem")), table(spark, folder, "orders")
     part, customer = table(spark, folder, "part"), table(spark, folder, "customer")
     joined = (li.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
               .join(part, F.col("l_partkey") == F.col("p_partkey"))

@@ -13,28 +13,34 @@ from ..operators.select import Selection
 from ..sources import pages
 
 
-def clean_steps(raw: DataFrame, *, required: list[str] = vocab.REQUIRED_COLUMNS, keys: list[str] = ("Artist", "Title"),
-                measure: str = "Streams", year: str = "Year", n: int = 300,
-                ties: list[str]) -> list[tuple[str, DataFrame]]:
-    """The cleaning job as named stages; the last one is the clean catalogue.
-
-    Three shuffles: whole rows for exact copies, the key for keep-best, the year
-    for the cut. Copies and losers are dropped map-side before each of them.
+def clean_catalogue(raw: DataFrame, *, required: list[str] = vocab.REQUIRED_COLUMNS,
+                    keys: list[str] = ("Artist", "Title"), measure: str = "Streams", year: str = "Year",
+                    n: int = 300, ties: list[str]) -> DataFrame:
+    """Complete rows, the best per key, the top ``n`` per year.
+
+    Exact copies share their key, so keep-best removes them too and no shuffle
+    of whole rows is spent on them. What remains is one shuffle by key and one by
+    year, each after losers were dropped map-side.
     """
-    keys, ties = list(keys), list(ties)
-    complete = clean.drop_missing(raw, clean.available(raw, required))
-    unique = clean.distinct_rows(complete)
-    numeric = unique
-    if dict(unique.dtypes)[measure] == "string":
-        numeric = clean.coerce_measure(unique, measure)
-    best = clean.keep_best(numeric, keys, measure, [F.col(t).asc_nulls_last() for t in ties])
-    slim = clean.drop_columns(best)
-    top = clean.top_per_year(slim, n, year=year, measure=measure, ties=ties)
-    return [("loaded", raw), ("missing", complete), ("copies", unique), ("repeated keys", best), ("top rows", top)]
+    return _stages(raw, required, list(keys), measure, year, n, list(ties))[-1][1]
+
 
+def clean_funnel(raw: DataFrame, *, required: list[str] = vocab.REQUIRED_COLUMNS,
+                 keys: list[str] = ("Artist", "Title"), measure: str = "Streams", year: str = "Year",
+                 n: int = 300, ties: list[str]) -> DataFrame:
+    """Rows removed by each step of the cleaning job, copies counted separately."""
+    loaded, complete, best, top = _stages(raw, required, list(keys), measure, year, n, list(ties))
+    return clean.funnel([loaded, complete, ("copies", clean.distinct_count(complete[1])), best, top])
 
-def clean_catalogue(raw: DataFrame, **options) -> DataFrame:
-    return clean_steps(raw, **options)[-1][1]
+
+def _stages(raw, required, keys, measure, year, n, ties) -> list[tuple[str, DataFrame]]:
+    complete = clean.drop_missing(raw, clean.available(raw, required))
+    numeric = complete
+    if dict(raw.dtypes)[measure] == "string":
+        numeric = clean.coerce_measure(complete, measure)
+    best = clean.keep_best(numeric, keys, measure, [F.col(t).asc_nulls_last() for t in ties])
+    top = clean.top_per_year(clean.drop_columns(best), n, year=year, measure=measure, ties=ties)
+    return [("loaded", raw), ("missing", complete), ("repeated keys", best), ("top rows", top)]
 
 
 def refresh_catalogue(base: DataFrame, stored_pages: DataFrame, *, html: str = "html", page_year: str = "year",

@@ -134,7 +134,7 @@ def sentiment_scores(spark, folder):
 p AS (SELECT *, len(ws) AS n, regexp_replace(concat(array_to_string(ws, ' '), ' '), '([a-z]{{2}})e ', '\1 ', 'g') AS padded FROM w),
 y AS (SELECT *, len(regexp_extract_all(padded, '[aeiouy]+')) + n - len(regexp_extract_all(padded, '[aeiouy][^ ]*')) AS syl FROM p)
 SELECT doc_id, CAST(n AS INT) AS n_words, CAST(n_sentences AS INT) AS n_sentences, CAST(syl AS INT) AS n_syllables,
-  round(0.39E0 * n / greatest(n_sentences, 1) + 11.8E0 * syl / nullif(n, 0) - 15.59E0, 4) AS Flesch_Kincaid_Grade,
+  round(0.39E0 * (n / greatest(n_sentences, 1)) + 11.8E0 * (syl / nullif(n, 0)) - 15.59E0, 4) AS Flesch_Kincaid_Grade,
   round(len(list_distinct(ws)) / nullif(n, 0), 6) AS Lexical_Diversity,
   round(length(array_to_string(ws, '')) / nullif(n, 0), 6) AS Avg_Word_Length FROM y""")
 def text_metrics(spark, folder):

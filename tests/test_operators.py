@@ -52,8 +52,9 @@ def test_row_index_is_consecutive_and_ordered(spark):
     assert got == [(v, i, n) for n, (v, i) in enumerate(sorted(data))]
 
 
-def test_hot_key_of_a_lookup_is_split(spark):
-    """The join has a shuffle of its own on both sides, and AQE splits the hot one."""
+@pytest.fixture()
+def small_skew(spark):
+    """Thresholds low enough for AQE to see skew in a few thousand rows."""
     small = {
         "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
@@ -62,20 +63,28 @@ def test_hot_key_of_a_lookup_is_split(spark):
     old = {k: spark.conf.get(k, None) for k in small}
     for k, v in small.items():
         spark.conf.set(k, v)
-    try:
-        left = spark.range(60000).repartition(8).select(
-            F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("k"), F.uuid().alias("pad"))
-        right = spark.range(2000).select((F.col("id") % 500).alias("k"), F.col("id").alias("load_no"))
-        table = merge.last_per_key(right, ["k"], "load_no")
-        joined = keys.lookup(left, table, ["k"], "left")
-        assert joined.count() == 60000
-        plan_df = keys.lookup(left, table, ["k"], "left")
-        plan_df.write.format("noop").mode("overwrite").save()
-        plan_df.collect()
-        assert "skew=true" in plan_df._jdf.queryExecution().executedPlan().toString()
-    finally:
-        for k, v in old.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    yield
+    for k, v in old.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("kind", ["left", "left_anti", "refresh"])
+def test_hot_key_is_split(spark, small_skew, kind):
+    """A third of the rows share a key; the join shuffles both sides itself and AQE splits the hot one."""
+    left = spark.range(60000).repartition(8).select(
+        F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("k"), F.col("id").alias("v"), F.uuid().alias("pad"))
+    right = spark.range(2000).select((F.col("id") % 500).alias("k"), F.col("id").alias("v"))
+    if kind == "refresh":
+        joined = merge.refresh(left, right.where("v < 500"), ["k"], ["v"])
+    elif kind == "left":
+        joined = keys.lookup(left, merge.last_per_key(right, ["k"], "v").withColumnRenamed("v", "w"), ["k"], "left")
+    else:
+        joined = keys.membership(left, right, ["k"], present=False)
+    found = joined.collect()
+    assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    ks = [1 if i % 3 == 0 else i for i in range(60000)]
+    want = {"left": 60000, "left_anti": sum(k >= 500 for k in ks), "refresh": sum(k < 500 for k in ks)}[kind]
+    assert len(found) == want
 
 
 # --- cleaning ---------------------------------------------------------------------
@@ -222,7 +231,7 @@ def test_density_equals_the_definition(spark, h):
     rng = random.Random(1)
     data = [(rng.choice(["a", "b"]), rng.choice([0.0, 1.0, 0.5, rng.random(), 1.7])) for _ in range(300)]
     df = spark.createDataFrame([*data, ("a", None), ("b", float("nan"))], "g string, v double")
-    got = {(g, round(x, 6)): d for g, _, x, d in rows(density.density(df, ["v"], h=h, group=["g"]))}
+    got = {(g, round(x, 6)): d for g, _, x, d, _ in rows(density.density(df, ["v"], h=h, group=["g"]))}
     assert len(got) == 102
     for g in "ab":
         vals = [v for k, v in data if k == g]
@@ -237,7 +246,9 @@ def test_density_area_and_total(spark):
     curve = density.density_with_total(df, ["v"], group="Year", h=0.12)
     areas = [r.area for r in density.curve_area(curve, ["period"], 0.02).collect()]
     assert len(areas) == 5 and all(abs(a - 1) < 0.01 for a in areas)
-    direct = density.density(df, ["v"], h=0.12)
+    curve = density.density_with_total(df.withColumn("Year", F.when(F.col("Year") > 0, F.col("Year"))), ["v"], group="Year", h=0.12)
+    direct = density.density(df, ["v"], h=0.12)  # rows without a year belong to the total only
+    assert curve.select("period").distinct().count() == 4
     total = {round(r.x, 6): r.density for r in curve.where("period = 'All Time'").collect()}
     assert all(math.isclose(total[round(r.x, 6)], r.density, abs_tol=1e-9) for r in direct.collect())
 

@@ -55,12 +55,12 @@ def _values(df: DataFrame, features: list[str], group: list[str]) -> DataFrame:
 
 def density(df: DataFrame, features: list[str], *, h: float, low: float = 0.0, high: float = 1.0,
             ticks: int = 60, group: list[str] = (), bounds: dict | None = None) -> DataFrame:
-    """``(group, feature, x, density)``: Epanechnikov estimate on a tick grid.
+    """``(group, feature, x, density, n_values)``: Epanechnikov estimate on a tick grid.
 
     A value reaches only grid points within ``h``, a contiguous index range, and
     the kernel is quadratic there. So the rows of one range are summed up by
     their count and first two moments about the range's centre, and the curve
-    follows exactly from those: the table is read once, nothing is multiplied by
+    follows exactly from those: the table is read once, no row is multiplied by
     the grid, and hot values combine before the shuffle. ``bounds`` maps features
     to (low, high) for values normalised first.
     """
@@ -73,40 +73,32 @@ def density(df: DataFrame, features: list[str], *, h: float, low: float = 0.0, h
     long = _values(values, features, group)
     lo = F.greatest(F.ceil(_of(v - h, step)), F.lit(first)).cast("bigint")
     hi = F.least(F.floor(_of(v + h, step)), F.lit(last)).cast("bigint")
-    # Values far outside the grid still count in n; they reach no point.
+    # Values far outside the grid still count as values; they reach no point.
     near = hi >= lo
     long = long.withColumn("lo", F.when(near, lo)).withColumn("hi", F.when(near, hi))
     centre = _at((F.col("lo") + F.col("hi")) / 2, step)
     d = v - centre
     cells = long.groupBy(*group, "feature", "lo", "hi").agg(
         F.count(F.lit(1)).alias("n"), F.sum(d).alias("d1"), F.sum(d * d).alias("d2"))
-    totals = cells.groupBy(*group, "feature").agg(F.sum("n").alias("total"))
+    # From here on one row per occupied range, about two per grid point.
     gap = F.col("x") - centre
     weight = 0.75 / h * (F.col("n") - (F.col("n") * gap * gap - 2 * gap * F.col("d1") + F.col("d2")) / (h * h))
-    points = (cells.where(F.col("lo").isNotNull())
-              .withColumn("i", F.explode(F.sequence("lo", "hi")))
-              .withColumn("x", _at(F.col("i"), step))
-              .groupBy(*group, "feature", "i").agg(F.sum(weight).alias("w")))
-    grid = totals.withColumn("i", F.explode(F.sequence(F.lit(first).cast("bigint"), F.lit(last).cast("bigint"))))
-    on = [*group, "feature", "i"]
-    curve = grid.join(points, on, "left")
-    return curve.select(*group, "feature", _at(F.col("i"), step).alias("x"),
-                        F.greatest(F.coalesce(F.col("w"), F.lit(0.0)) / F.col("total"), F.lit(0.0)).alias("density"))
+    reached = F.col("i").between(F.col("lo"), F.col("hi"))
+    grid = F.sequence(F.lit(first).cast("bigint"), F.lit(last).cast("bigint"))
+    points = (cells.withColumn("i", F.explode(grid)).withColumn("x", _at(F.col("i"), step))
+              .groupBy(*group, "feature", "x")
+              .agg(F.sum(F.when(reached, weight).otherwise(0.0)).alias("w"), F.sum("n").alias("n_values")))
+    return points.select(*group, "feature", "x",
+                         F.greatest(F.col("w") / F.col("n_values"), F.lit(0.0)).alias("density"), "n_values")
 
 
 def density_with_total(df: DataFrame, features: list[str], *, group: str, h: float = 0.04,
                        total_label: str = "All Time", **grid) -> DataFrame:
-    """Curves per group and for all rows: the total combines the groups' weighted curves."""
+    """Curves per group and for all rows: the total is the groups' mean, weighted by their sizes."""
     curves = density(df, features, h=h, group=[group], **grid)
-    counted = df.groupBy(group).agg(*[F.count(F.when(S.present(f), 1)).alias(f) for f in features])
-    sizes = counted.select(group, F.inline(F.array(*[
-        F.struct(F.lit(f).alias("feature"), F.col(f).alias("rows")) for f in features])))
-    weighted = curves.alias("c").join(
-        sizes.alias("s"), (F.col(f"c.{group}").eqNullSafe(F.col(f"s.{group}")))
-        & (F.col("c.feature") == F.col("s.feature"))).select("c.*", "s.rows")
-    total = weighted.groupBy("feature", "x").agg(
-        F.try_divide(F.sum(F.col("density") * F.col("rows")), F.sum("rows")).alias("density"))
-    total = total.select(F.lit(total_label).alias("period"), "feature", "x", "density")
+    rolled = curves.groupBy("feature", "x").agg(
+        (F.sum(F.col("density") * F.col("n_values")) / F.sum("n_values")).alias("density"))
+    total = rolled.select(F.lit(total_label).alias("period"), "feature", "x", "density")
     return curves.where(F.col(group).isNotNull()).select(
         F.col(group).cast("string").alias("period"), "feature", "x", "density").unionByName(total)
 

@@ -176,13 +176,13 @@ curve AS (SELECT {g}feature, x, sum(CASE WHEN abs((x - v) / {h}) <= 1
 @query(f"""WITH {TRACKS}, long AS ({KDE_LONG}), {_kde_sql('0.04E0', 'Year')}
 SELECT Year, feature, x, round(density + 1e-10, 6) AS density FROM curve""")
 def kde_by_year(spark, folder):
-    return settled(density.density(tracks(spark, folder), UNIT, h=0.04, group=["Year"]), "density")
+    return settled(density.density(tracks(spark, folder), UNIT, h=0.04, group=["Year"]), "density").drop("n_values")
 
 
 @query(f"""WITH {TRACKS}, long AS ({KDE_LONG}), {_kde_sql('0.12E0', '')}
 SELECT feature, x, round(density + 1e-10, 6) AS density FROM curve""")
 def kde_distribution(spark, folder):
-    return settled(density.density(tracks(spark, folder), UNIT, h=0.12), "density")
+    return settled(density.density(tracks(spark, folder), UNIT, h=0.12), "density").drop("n_values")
 
 
 @query(f"""WITH {TRACKS}, long0 AS ({KDE_LONG}), long AS (
@@ -204,7 +204,7 @@ JOIN curve ON CAST(round(x * 50) AS BIGINT) = least(ceil(round(valence * 50, 9))
 def density_lookup(spark, folder):
     df = tracks(spark, folder)
     curve = density.density(df, ["valence"], h=0.12)
-    out = density.density_at(df.select("track_id", "valence"), curve, "valence").drop("feature")
+    out = density.density_at(df.select("track_id", "valence"), curve, "valence")
     return settled(out, "density")
 
 

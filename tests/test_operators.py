@@ -301,7 +301,7 @@ def test_stack_wiggle_and_labels(spark):
                                  "Year int, series_no int, series string, value int")
     base = evolution.wiggle_baseline(long)
     assert [r.baseline for r in base.orderBy("Year").collect()] == pytest.approx(_wiggle(matrix))
-    layers = evolution.stack_layers(long, baseline=base)
+    layers = evolution.stack_layers(long, offset="wiggle")
     assert all(math.isclose(r.y1 - r.y0, r.value, abs_tol=1e-9) for r in layers.collect())
     for r in evolution.label_anchors(layers).collect():
         column = [row[int(r.series[1:])] for row in matrix]
@@ -342,12 +342,17 @@ def test_stopword_table_equals_list(spark):
     assert rows(text.word_counts(df, [], stopwords=table), "word") == rows(text.word_counts(df, [], stopwords=["beta"]), "word")
 
 
-def test_language(spark):
+@pytest.mark.parametrize("many", [False, True])
+def test_language(spark, many):
     train = spark.createDataFrame([("the quick brown fox jumps over the lazy dog and the cat", "en"),
                                    ("der schnelle braune fuchs springt über den faulen hund und die katze", "de")], "text string, lang string")
     docs = spark.createDataFrame([(1, "the fox and the dog and the other lazy cat over there"), (2, "[x] der hund und die katze und der schnelle fuchs"),
                                   (3, "der hund"), (4, "0"), (5, None), (6, " "), (7, "ж" * 40)], "id int, Lyrics string")
-    got = text.label_language(docs, text.train_language_profiles(train), key="id")
+    profiles = text.train_language_profiles(train)
+    if many:  # more languages than columns are made for
+        extra = spark.range(120).select(F.concat(F.lit("x"), "id").alias("lang"), F.lit("###").alias("gram"), F.lit(1).cast("long").alias("weight"))
+        profiles = profiles.unionByName(extra)
+    got = text.label_language(docs, profiles, key="id")
     assert rows(got, "id") == [(1, "en"), (2, "de"), (3, "en"), (4, "en"), (5, "en"), (6, "en"), (7, "en")]
 
 

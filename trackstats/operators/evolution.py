@@ -80,28 +80,40 @@ def category_totals(words: DataFrame, *, category: str = "Category", value: str
 # --- stacked layers -------------------------------------------------------------
 
 def stack_layers(long: DataFrame, *, year: str = "Year", order: str = "series_no", value: str = "value",
-                 baseline: DataFrame | None = None) -> DataFrame:
-    """Lower and upper edge of every series in its year, on top of an optional baseline."""
+                 offset: str = "none") -> DataFrame:
+    """Lower and upper edge of every series in its year, from zero or from the wiggle baseline."""
     w = Window.partitionBy(year).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    out = long.withColumn("y1", F.sum(value).over(w)).withColumn("y0", F.col("y1") - F.col(value))
-    if baseline is not None:
-        out = (out.join(baseline, year)
-               .withColumn("y0", F.col("y0") + F.col("baseline"))
-               .withColumn("y1", F.col("y1") + F.col("baseline")).drop("baseline"))
-    return out
+    top = F.sum(value).over(w)
+    if offset == "none":
+        return long.withColumn("y1", top).withColumn("y0", F.col("y1") - F.col(value))
+    moved = with_wiggle(long, year=year, order=order, value=value).withColumn("y1", top + F.col("baseline"))
+    return moved.withColumn("y0", F.col("y1") - F.col(value)).drop("baseline")
+
+
+def with_wiggle(long: DataFrame, *, year: str = "Year", order: str = "series_no",
+                value: str = "value") -> DataFrame:
+    """Add the ``baseline`` that minimises the weighted slope of the layers (Byron & Wattenberg 2008).
+
+    A chain of windows over one (year, series) table: the table is computed once
+    and joined with nothing.
+    """
+    in_year = Window.partitionBy(year)
+    ordered = in_year.orderBy(order)
+    below = ordered.rowsBetween(Window.unboundedPreceding, -1)
+    rise = F.col(value) - F.lag(value).over(Window.partitionBy(order).orderBy(year))
+    slope = F.col("__rise") / 2.0 + F.coalesce(F.sum("__rise").over(below), F.lit(0))
+    ratio = F.try_divide(-F.sum(F.col("__slope") * F.col(value)).over(in_year), F.sum(value).over(in_year))
+    step = F.when(F.col("__first") == 1, F.coalesce(ratio, F.lit(0.0))).otherwise(0.0)
+    upto = Window.orderBy(year).rangeBetween(Window.unboundedPreceding, 0)
+    out = (long.withColumn("__rise", rise).withColumn("__slope", slope).withColumn("__first", F.row_number().over(ordered))
+           .withColumn("__step", step).withColumn("baseline", F.sum("__step").over(upto)))
+    return out.drop("__rise", "__slope", "__first", "__step")
 
 
 def wiggle_baseline(long: DataFrame, *, year: str = "Year", order: str = "series_no",
                     value: str = "value") -> DataFrame:
-    """``(year, baseline)`` that minimises the weighted slope of the layers (Byron & Wattenberg 2008)."""
-    rise = F.col(value) - F.lag(value).over(Window.partitionBy(order).orderBy(year))
-    below = Window.partitionBy(year).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    slope = F.col("rise") / 2.0 + F.coalesce(F.sum("rise").over(below), F.lit(0))
-    steps = (long.withColumn("rise", rise).withColumn("slope", slope)
-             .groupBy(year).agg(F.sum(F.col("slope") * F.col(value)).alias("s2"), F.sum(value).alias("s1")))
-    step = F.coalesce(F.try_divide(-F.col("s2"), F.col("s1")), F.lit(0.0))
-    upto = Window.orderBy(year).rowsBetween(Window.unboundedPreceding, 0)
-    return steps.select(year, F.sum(step).over(upto).alias("baseline"))
+    """``(year, baseline)``, one row per year."""
+    return with_wiggle(long, year=year, order=order, value=value).groupBy(year).agg(F.first("baseline").alias("baseline"))
 
 
 def inside_out_order(long: DataFrame, *, year: str = "Year", series: str = "series",

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import scalars as S
 from ..functions import vocab
 from ..functions.stem import porter
-from .keys import cut_lineage, once, spread, top_n
+from .keys import cut_lineage, few_values, once, spread, top_n
 
 DEFAULT_STOPWORDS = sorted({*vocab.LYRIC_STOPWORDS, *vocab.ENGLISH_EXTRA_STOPWORDS})
 
@@ -134,14 +134,28 @@ def label_language(df: DataFrame, profiles: DataFrame, *, key: str, text: str =
 
     Blank, ``'0'`` and short texts, and texts without a known trigram, get the
     default. Scores of one text are summed inside its task before the shuffle.
+    The profiles are stored and their languages read while the query is built.
     """
     cleaned = language_text(text)
     usable = (~S.is_blank(text) & (F.trim(F.col(text)) != "0") & (F.length(cleaned) >= min_length))
     grams = spread(df.where(usable).select(key, text)).select(key, F.explode(trigrams(cleaned)).alias("gram"))
-    model = small_side(cut_lineage(profiles), bound)
-    scores = grams.join(model, "gram").groupBy(key, "lang").agg(F.sum("weight").alias("score"))
-    best = F.min_by("lang", F.struct((-F.col("score")).alias("s"), F.col("lang").alias("l")))
-    guessed = scores.groupBy(key).agg(best.alias("language"))
+    stored = cut_lineage(profiles)
+    languages = few_values(stored, "lang", 100)
+    if languages is None:  # too many for a column each: one row per match and language
+        scores = (grams.join(small_side(stored, bound), "gram")
+                  .groupBy(key, "lang").agg(F.sum("weight").alias("score")))
+        best = F.min_by("lang", F.struct((-F.col("score")).alias("s"), F.col("lang").alias("l")))
+        guessed = scores.groupBy(key).agg(best.alias("language"))
+    else:
+        languages = sorted(languages)
+        names = [f"w{i}" for i in range(len(languages))]
+        wide = stored.groupBy("gram").agg(*[
+            F.coalesce(F.sum(F.when(F.col("lang") == lang, F.col("weight"))), F.lit(0)).alias(n)
+            for lang, n in zip(languages, names, strict=True)])
+        sums = grams.join(small_side(wide, bound), "gram").groupBy(key).agg(*[F.sum(n).alias(n) for n in names])
+        ranked = F.array(*[F.struct(F.col(n).alias("s"), F.lit(-i).alias("o"), F.lit(lang).alias("language"))
+                           for i, (lang, n) in enumerate(zip(languages, names, strict=True))])
+        guessed = sums.select(key, F.array_max(ranked)["language"].alias("language"))
     return df.select(key).join(guessed, key, "left").select(
         key, F.coalesce("language", F.lit(default)).alias("language"))
 

@@ -108,8 +108,7 @@ def wiggle_baseline(spark, folder):
 @query(f"""WITH {LONG}, {STACK}, {BASELINE} SELECT Year, series_no, series, value,
   round(y1 + baseline, 6) + 0.0E0 AS y1, round(y1 - value + baseline, 6) + 0.0E0 AS y0 FROM plain JOIN base USING (Year)""")
 def stream_layers(spark, folder):
-    long = _long(spark, folder)
-    return rounded(evolution.stack_layers(long, baseline=evolution.wiggle_baseline(long)), 6, "y0", "y1")
+    return rounded(evolution.stack_layers(_long(spark, folder), offset="wiggle"), 6, "y0", "y1")
 
 
 ORDER = """per AS (SELECT series, series_no, CAST(sum(value) AS DOUBLE) AS total,

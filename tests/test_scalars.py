@@ -62,7 +62,7 @@ def test_formats(values):
 
 
 def test_keys_and_geometry(values):
-    assert values([(0, 1), (9, 0)], "k int, m int", S.key_name("k", "m")) == ["C", "Am"]
+    assert values([(0, 1), (9, 0), (-1, 1), (None, 0)], "k int, m int", S.key_name("k", "m")) == ["C", "Am", None, None]
     assert values([(5,)], "k int", S.relative_minor("k")) == [2]
     x, y = S.polar_point("k", "s", 10.0)
     (px, py), = values([(3, 1.0)], "k int, s double", x, y)

@@ -53,7 +53,7 @@ def trim_chars(text, chars: str = "'\"*.-[] ") -> Column:
 
 def is_blank(text) -> Column:
     """True for NULL and for text of blanks only."""
-    return F.coalesce(F.trim(F.regexp_replace(col(text), r"\s", " ")) == "", F.lit(True))
+    return ~F.coalesce(F.rlike(col(text), F.lit(r"[^\s\p{Z}]")), F.lit(False))
 
 
 def canonical_label(text, labels: list[str] | None = None) -> Column:
@@ -251,7 +251,7 @@ def present(value) -> Column:
 
 def key_name(key, mode=None) -> Column:
     """Note name of a key number; minor keys (mode 0) carry an ``m``."""
-    name = F.element_at(F.array(*[F.lit(k) for k in vocab.KEY_NAMES]), (col(key) + 1).cast("int"))
+    name = F.get(F.array(*[F.lit(k) for k in vocab.KEY_NAMES]), col(key).cast("int"))
     if mode is None:
         return name
     return F.when(col(mode) == 0, F.concat(name, F.lit("m"))).otherwise(name)
@@ -275,11 +275,3 @@ def polar_point(key, score, radius: float) -> tuple[Column, Column]:
     angle = col(key) * F.pi() / 6 - F.pi() / 2
     r = linear_scale(score, -1, 1, 0, radius)
     return r * F.cos(angle), r * F.sin(angle)
-
-
-# --- syllables (readability) ---------------------------------------------------
-
-def syllables(word) -> Column:
-    """Vowel groups of a word, a final silent ``e`` not counted, at least one."""
-    w = F.regexp_replace(F.lower(col(word)), "(?<=[a-z]{2})e$", "")
-    return F.greatest(F.regexp_count(w, F.lit("[aeiouy]+")), F.lit(1))

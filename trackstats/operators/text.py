@@ -138,7 +138,7 @@ def label_language(df: DataFrame, profiles: DataFrame, *, key: str, text: str =
     """
     cleaned = language_text(text)
     usable = (~S.is_blank(text) & (F.trim(F.col(text)) != "0") & (F.length(cleaned) >= min_length))
-    grams = spread(df.where(usable).select(key, text)).select(key, F.explode(trigrams(cleaned)).alias("gram"))
+    grams = spread(df.select(key, text)).select(key, F.explode(F.when(usable, trigrams(cleaned))).alias("gram"))
     stored = cut_lineage(profiles)
     languages = few_values(stored, "lang", 100)
     if languages is None:  # too many for a column each: one row per match and language

@@ -5,9 +5,9 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry_module
 from trackstats.operators import density, keys, rank, select, stats
 from trackstats.plans import inputs, jobs
+from trackstats.plans.all_queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="given tables not present")
@@ -17,9 +17,9 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(entry_module.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_cross_joins(name, spark):
-    text = plan(entry_module.queries()[name](spark, FOLDER))
+    text = plan(QUERIES[name](spark, FOLDER))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
 
 

@@ -6,12 +6,11 @@ import compare
 import pytest
 
 import __spark_entry__ as entry_module
+from trackstats.plans.all_queries import ORACLES, QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="given tables not present")
 
-QUERIES, ORACLES = entry_module.queries(), entry_module.oracle_sql()
-
 
 @pytest.fixture(scope="module")
 def duck():

@@ -1,4 +1,4 @@
 """Imports every module of this subpackage that registers a query."""
 
-from . import mixing, near_dedup, quality_rules  # noqa: F401
+from . import decontaminate, mixing, near_dedup, quality_rules  # noqa: F401
 from .registry import ORACLES, QUERIES  # noqa: F401

@@ -1,8 +1,11 @@
 import re
 
+import compare
+import numpy as np
 import pytest
 
 from trackstats.llm import near_dedup
+from trackstats.llm.registry import ORACLES
 
 
 def brute(rows, k, percent):
@@ -75,15 +78,16 @@ def test_very_long_text(spark):
     assert got == {1: 1, 2: 1, 3: 3}
 
 
-def test_estimate_is_close(spark):
-    import numpy as np
-
-    from trackstats.llm import words as W
+def test_estimate_is_close():
     rng = np.random.default_rng(0)
     pool = rng.integers(0, 1 << 63, 1200, dtype=np.int64).view(np.uint64)
     a, b = pool[:1000], pool[111:1111]  # similarity 889/1111 = 0.8
-    s = near_dedup._samples(np.concatenate([a, b]), np.array([0, 1000]))
-    odd = near_dedup._odd_sketch(s)
-    flips = sum(int(x).bit_count() for x in odd[:, 0] ^ odd[:, 1])
-    assert abs(1 + 256 / (4 * 140) * np.log(1 - 2 * flips / 256) - 0.8) < 0.12
-    assert W.mix(np.zeros(1, np.uint64)).shape == (1,)
+    odd = near_dedup._odd_sketch(near_dedup._samples(np.concatenate([a, b]), np.array([0, 1000])))
+    flips = sum(int(x).bit_count() for x in (odd[0] ^ odd[1]).view(np.uint64))
+    assert abs(1 + near_dedup.BITS / (4 * near_dedup.SAMPLES) * np.log(1 - 2 * flips / near_dedup.BITS) - 0.8) < 0.05
+
+
+def test_query_equals_sql(spark):
+    folder = "/root/testdata/sf0.001"
+    found = near_dedup.op10_near_duplicates(spark, folder)
+    assert compare.difference(found, compare.connect(folder), ORACLES["op10_near_duplicates"]) is None

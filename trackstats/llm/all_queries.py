@@ -1,4 +1,4 @@
 """Imports every module of this subpackage that registers a query."""
 
-from . import decontaminate, edit_counts, licences, mixing, near_dedup, packing, quality_rules, warc  # noqa: F401
+from . import brown, decontaminate, edit_counts, licences, mixing, near_dedup, packing, quality_model, quality_rules, warc  # noqa: F401
 from .registry import ORACLES, QUERIES  # noqa: F401

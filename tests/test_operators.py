@@ -23,16 +23,6 @@ def test_membership_and_lookup_match_null_keys(spark):
     assert rows(keys.lookup(left, table, ["k"], "left"), "v") == [("a", 1, None), (None, 2, "n"), ("b", 3, "x")]
 
 
-def test_value_filter_has_a_way_beyond_its_bound(spark):
-    df = spark.createDataFrame([(i % 7 if i else None, i) for i in range(50)], "y int, v int")
-    other = spark.createDataFrame([(1,), (3,), (None,)], "y int")
-    for bound in (1000, 1):
-        kept = keys.where_value_in(df, "y", other, bound=bound)
-        assert {r.y for r in kept.collect()} == {1, 3, None}
-        dropped = keys.where_value_in(df, "y", other, keep=False, bound=bound)
-        assert {r.y for r in dropped.collect()} == {0, 2, 4, 5, 6}
-
-
 @pytest.mark.parametrize("salt_by", [None, ["id"]])
 def test_top_n_with_a_hot_group(spark, salt_by):
     data = [(("hot" if i % 3 else f"g{i % 11}"), (i * 37) % 500, i) for i in range(3000)]
@@ -349,7 +339,7 @@ def test_language(spark, many):
     docs = spark.createDataFrame([(1, "the fox and the dog and the other lazy cat over there"), (2, "[x] der hund und die katze und der schnelle fuchs"),
                                   (3, "der hund"), (4, "0"), (5, None), (6, " "), (7, "ж" * 40)], "id int, Lyrics string")
     profiles = text.train_language_profiles(train)
-    if many:  # more languages than columns are made for
+    if many:
         extra = spark.range(120).select(F.concat(F.lit("x"), "id").alias("lang"), F.lit("###").alias("gram"), F.lit(1).cast("long").alias("weight"))
         profiles = profiles.unionByName(extra)
     got = text.label_language(docs, profiles, key="id")
@@ -363,6 +353,30 @@ def test_sentiment(spark):
         (1, round(4 / math.sqrt(31), 4)), (2, round(-2.5 / math.sqrt(6.25 + 15), 4)), (3, 0.0), (4, 0.0)]
 
 
+def test_scores_of_repeated_and_missing_keys(spark):
+    lexicon = spark.createDataFrame([("good", 2.0), ("bad", -2.5)], "word string, weight double")
+    data = [(1, "good"), (1, "bad"), (1, "good"), (None, "good good"), (None, ""), (None, None)]
+    docs = spark.createDataFrame(data, "id int, Lyrics string")
+    score = lambda s: round(s / math.sqrt(s * s + 15), 4)
+    got = sorted(((r.id or 0), r.Sentiment_Score) for r in text.sentiment(docs, lexicon, key="id").collect())
+    assert got == sorted([(1, score(2)), (1, score(-2.5)), (1, score(2)), (0, score(4)), (0, 0.0), (0, 0.0)])
+    words = spark.createDataFrame([("good", "A", 1), ("bad", "B", 1)], "word string, topic string, weight int")
+    found = sorted(((r.id or 0), r.Topic) for r in enrich.keyword_topics(docs, words, key="id").collect())
+    assert found == sorted([(1, "A"), (1, "B"), (1, "A"), (0, "A"), (0, "Other"), (0, "Other")])
+    profiles = spark.createDataFrame([("de", "und", 5), ("en", "the", 5)], "lang string, gram string, weight long")
+    texts = spark.createDataFrame([(None, "the " * 20), (None, "und " * 20), (3, "the " * 20), (3, "und " * 20)], "id int, Lyrics string")
+    labels = sorted(((r.id or 0), r.language) for r in text.label_language(texts, profiles, key="id").collect())
+    assert labels == [(0, "de"), (0, "en"), (3, "de"), (3, "en")]
+
+
+def test_split_size_may_be_written_with_a_unit(spark):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "256MB")
+    try:
+        assert text.words(spark.createDataFrame([("a b",)], "Lyrics string"), []).count() == 2
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_text_metrics(spark):
     docs = spark.createDataFrame([("The cat sat. The cake is nice!",), ("",)], "Lyrics string")
     full, empty = rows(text.text_metrics(docs), F.col("n_words").desc())

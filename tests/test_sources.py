@@ -17,7 +17,7 @@ def rows(df):
 
 def test_long_rows_are_skipped_and_short_ones_padded(spark, tmp_path):
     path = write(tmp_path / "a.csv", 'a,b\n1,2\n3,4,5\n6\n"say ""hi""\nx",NA\n')
-    assert rows(tables.read_csv(spark, path)) == [("1", "2"), ("6", None), ('say "hi"\nx', None)]
+    assert rows(tables.read_csv(spark, path, multiline=True)) == [("1", "2"), ("6", None), ('say "hi"\nx', None)]
 
 
 def test_types_and_byte_order_mark(spark, tmp_path):
@@ -58,6 +58,15 @@ def test_chart_rows(spark):
         pages.require_rows(pages.chart_rows(stored.where("year = 2013")))
 
 
+def test_references_tags_and_nested_tables(spark):
+    html = ("<table><tr><th>h</th></tr><track><tr><td>a<table><tr><td>x</td></tr></table></td><td>1</td></tr>"
+            "<tr ><td>Beyonc&eacute; &#233;&#xe9;&#8211; &bogus; &#0; & &amp;lt; - T</td><td>1</td><td>2</td></tr></table><p></p>")
+    stored = spark.createDataFrame([(2012, html)], "year int, html string")
+    assert [r["Artist and Title"] for r in pages.chart_rows(stored).collect()] == ["Beyoncé éé– &bogus; &#0; & &lt; - T"]
+    items = spark.createDataFrame([("<link rel=x>no<li class=a>one</li><LI>two</li>",)], "html string")
+    assert [r.item for r in pages.list_items(items, []).collect()] == ["one", "two"]
+
+
 def test_refresh_from_pages(spark):
     html = "<table><tr><th>h</th></tr><tr><td>A - T</td><td>10</td><td>1</td></tr><tr><td>N - T</td><td>3</td><td>1</td></tr></table>"
     stored = spark.createDataFrame([(2012, html)], "year int, html string")
@@ -69,12 +78,12 @@ def test_refresh_from_pages(spark):
 
 
 def test_responses(spark):
-    df = spark.createDataFrame([(1, '{"energy": 0.5, "tempo": 120}'), (2, '{"valence": 0.1}'), (3, "broken"), (4, None)], "id int, r string")
-    out = pages.with_features(df, "r")
+    df = spark.createDataFrame([(1, '{"id": "abc", "energy": 0.5, "tempo": "120"}'), (2, '{"valence": 0.1, "energy": {"x": 1}}'), (3, "broken"), (4, None)], "id int, r string")
+    out = pages.with_features(df, "r", ["energy", "tempo", "valence"])
     assert out.columns == ["id", "r", "energy", "tempo", "valence"]
     assert rows(out.drop("r").orderBy("id")) == [(1, 0.5, 120.0, None), (2, None, None, 0.1), (3, None, None, None), (4, None, None, None)]
-    with pytest.raises(ValueError):
-        pages.feature_names(df, "r", bound=1)
+    assert set(rows(pages.feature_rows(df, ["id"], "r"))) == {
+        (1, "id", None), (1, "energy", 0.5), (1, "tempo", 120.0), (2, "valence", 0.1), (2, "energy", None)}
     ids = spark.createDataFrame([('{"content":[{"id":"q"}]}',), ('{"content":[]}',), ("x",)], "r string")
     assert [r[0] for r in ids.select(pages.content_id("r")).collect()] == ["q", None, None]
 
@@ -82,7 +91,7 @@ def test_responses(spark):
 def test_csv_round_trip(spark, tmp_path):
     df = spark.createDataFrame([(1, 'a "q", b'), (2, "line\nbreak")], "id int, text string")
     sinks.write_csv(df, str(tmp_path / "out"), bom=True)
-    back = tables.read_csv(spark, str(tmp_path / "out"), {"id": "int"})
+    back = tables.read_csv(spark, str(tmp_path / "out"), {"id": "int"}, multiline=True)
     assert sorted(rows(back)) == sorted(rows(df))
     with pytest.raises(Exception):
         sinks.write_csv(df, str(tmp_path / "out"))

@@ -38,11 +38,6 @@ def lyric_tokens(text) -> Column:
     return tokens(punctuation_to_space(strip_markers(F.lower(col(text)))))
 
 
-def is_content_word(word, stopwords: list[str], min_length: int = 3) -> Column:
-    word = col(word)
-    return (F.length(word) >= min_length) & ~word.isin(stopwords)
-
-
 def collapse_newlines(text) -> Column:
     return F.regexp_replace(col(text), r"[\r\n]+", " ")
 
@@ -51,14 +46,19 @@ def trim_chars(text, chars: str = "'\"*.-[] ") -> Column:
     return F.btrim(col(text), F.lit(chars))
 
 
+def strip_blanks(text) -> Column:
+    """Without the white space around it, line ends included."""
+    return F.regexp_replace(col(text), r"^[\s\p{Z}]+|[\s\p{Z}]+$", "")
+
+
 def is_blank(text) -> Column:
     """True for NULL and for text of blanks only."""
     return ~F.coalesce(F.rlike(col(text), F.lit(r"[^\s\p{Z}]")), F.lit(False))
 
 
 def canonical_label(text, labels: list[str] | None = None) -> Column:
-    """First label contained in the text, ignoring case; else the trimmed text."""
-    trimmed = trim_chars(text)
+    """First label contained in the text, ignoring case; else the text without blanks and marks around it."""
+    trimmed = trim_chars(strip_blanks(text))
     low = F.lower(trimmed)
     return F.coalesce(
         *[F.when(F.contains(low, F.lit(v.lower())), F.lit(v)) for v in labels or vocab.TOPICS],

@@ -11,7 +11,7 @@ from ..functions import scalars as S
 from ..functions import vocab
 from .keys import best_per_key, lookup
 from .merge import next_batch
-from .text import small_side, words
+from .text import each_copy, own_row, text_pieces, word_list
 
 
 def classify(df: DataFrame, fn: Callable, schema: str, *, parallelism: int | None = None) -> DataFrame:
@@ -30,20 +30,20 @@ def finish_topics(df: DataFrame, raw: str, *, text: str = "Lyrics", topic: str =
 
 
 def keyword_topics(df: DataFrame, keywords: DataFrame, *, key: str, text: str = "Lyrics",
-                   blank_topic: str = "Other", bound: int = 200_000) -> DataFrame:
-    """``(key, Topic)``: the topic with the greatest weight of ``(word, topic, weight)`` hits.
+                   blank_topic: str = "Other") -> DataFrame:
+    """``(key, Topic)`` of every row: the topic with the greatest weight of ``(word, topic, weight)`` hits.
 
     Blank texts get the fixed topic and texts without a keyword none. Ties go to
     the alphabetically first topic.
     """
-    table = small_side(keywords, bound)
-    found = words(df, [key], text)
-    scores = found.join(table, "word").groupBy(key, "topic").agg(F.sum("weight").alias("score"))
-    best = F.min_by("topic", F.struct((-F.col("score")).alias("s"), F.col("topic").alias("t")))
-    picked = scores.groupBy(key).agg(best.alias("found"))
-    blank = df.select(key, S.is_blank(text).alias("blank"))
-    return blank.join(picked, key, "left").select(
-        key, F.when(F.col("blank"), F.lit(blank_topic)).otherwise(F.col("found")).alias("Topic"))
+    src = df.select(key, text, S.is_blank(text).alias("__blank"))
+    table = keywords.select(F.col("word").alias("__piece"), F.col("topic").alias("__topic"), F.col("weight").alias("__weight"))
+    met = text_pieces(src, [key, "__blank"], text, word_list(text)).join(table, "__piece", "left")
+    scores = met.groupBy(key, "__blank", "__text", "__topic").agg(F.sum("__weight").alias("__score"), F.count_if(own_row()).alias("__rows"))
+    order = F.when(F.col("__topic").isNotNull(), F.struct((-F.col("__score")).alias("s"), F.col("__topic").alias("t")))
+    best = scores.groupBy(key, "__blank", "__text").agg(F.min_by("__topic", order).alias("__found"), F.max("__rows").alias("__copies"))
+    return each_copy(best).select(
+        key, F.when(F.col("__blank"), F.lit(blank_topic)).otherwise(F.col("__found")).alias("Topic"))
 
 
 def topic_keywords(topics: list[str] = vocab.TOPICS) -> list[tuple[str, str, int]]:

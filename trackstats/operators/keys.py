@@ -32,20 +32,6 @@ def membership(left: DataFrame, right: DataFrame, keys: list[str], *, present: b
     return lookup(left, right.select(*keys).distinct(), keys, "left_semi" if present else "left_anti")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores for costly per-row work on an input smaller than one split per core.
-
-    A scan is cut no finer than its row groups, so a small table may sit in one
-    task. Spark's own size estimate decides; a large input has a split for every
-    core and passes through untouched, as does one whose size is only guessed
-    from a join. Filters and column pruning still reach the scan.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    split = int(df.sparkSession.conf.get("spark.sql.files.maxPartitionBytes").removesuffix("b"))
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return df.repartition(cores) if size < cores * split else df
-
-
 def once(df: DataFrame, **columns: Column) -> DataFrame:
     """Add costly columns that are computed once however often they are used.
 
@@ -56,40 +42,21 @@ def once(df: DataFrame, **columns: Column) -> DataFrame:
     return df.select("*", F.inline(F.array(made)))
 
 
-def few_values(df: DataFrame, column: str, bound: int = 1000) -> list | None:
-    """Distinct values of a column when there are at most ``bound``, else None."""
-    rows = df.select(column).distinct().limit(bound + 1).collect()
-    return None if len(rows) > bound else [r[0] for r in rows]
-
-
-def where_value_in(df: DataFrame, column: str, other: DataFrame, *, keep: bool = True,
-                   bound: int = 1000) -> DataFrame:
-    """Keep (or drop) rows whose value occurs in another table.
-
-    Up to ``bound`` values become a literal filter that reaches the scan and
-    prunes partitions; more than that are joined.
-    """
-    values = few_values(other, column, bound)
-    if values is None:
-        return membership(df, other, [column], present=keep)
-    known = [v for v in values if v is not None]
-    hit = F.coalesce(F.col(column).isin(known), F.lit(False)) if known else F.lit(False)
-    if len(known) < len(values):
-        hit = hit | F.col(column).isNull()
-    return df.where(hit if keep else ~hit)
-
-
 def top_n(df: DataFrame, group: list[str], order: list[Column], n: int, *,
-          rank: str | None = None, salt_by: list[str] | None = None, salts: int = 32) -> DataFrame:
+          rank: str | None = None, salt_by: list[str] | None = None, salts: int | None = None) -> DataFrame:
     """First ``n`` rows of every group in a total order.
 
     Each map task keeps at most ``n`` rows per group before the shuffle, so an
     aggregated input sends ``n`` rows per reduce partition and group. A raw input
     has far more tasks: ``salt_by`` then ranks a group in ``salts`` independent
-    slices first, and the task that settles it sees ``n * salts`` rows.
+    slices first, as many as there are shuffle partitions, and the task that
+    settles it sees ``n * salts`` rows. Beyond an ``n`` of Spark's
+    ``spark.sql.optimizer.windowGroupLimitThreshold`` rows are not cut before
+    the shuffle; the slices still spread a hot group over all tasks.
     """
     pos = rank or "__pos"
     if salt_by:
+        salts = salts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         slice_no = F.pmod(F.xxhash64(*salt_by), F.lit(salts))
         w = Window.partitionBy(*group, "__slice").orderBy(*order)
         df = (df.withColumn("__slice", slice_no)
@@ -153,8 +120,3 @@ def with_row_index(df: DataFrame, order: list[Column], name: str = "row_index")
             .join(F.broadcast(offsets), "__part")
             .withColumn(name, F.col("__before") + local)
             .drop("__part", "__mid", "__before"))
-
-
-def number_within(df: DataFrame, order: list[Column], name: str) -> DataFrame:
-    """Consecutive numbers for a table already reduced to a bounded size."""
-    return df.withColumn(name, F.row_number().over(Window.orderBy(*order)))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
-from .keys import best_per_key, lookup, membership, where_value_in
+from .keys import best_per_key, lookup, membership
 
 
 def refresh(base: DataFrame, fresh: DataFrame, keys: list[str], measures: list[str]) -> DataFrame:
@@ -36,11 +36,11 @@ def matched(fresh: DataFrame, base: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def in_shared_years(fresh: DataFrame, base: DataFrame, year: str = "Year") -> DataFrame:
-    return where_value_in(fresh, year, base)
+    return membership(fresh, base, [year], present=True)
 
 
 def in_new_years(fresh: DataFrame, base: DataFrame, year: str = "Year") -> DataFrame:
-    return where_value_in(fresh, year, base, keep=False)
+    return membership(fresh, base, [year], present=False)
 
 
 def new_in_shared_years(fresh: DataFrame, base: DataFrame, keys: list[str], year: str = "Year") -> DataFrame:
@@ -139,15 +139,19 @@ def fill_from_lookup(df: DataFrame, found: DataFrame, *, keys: list[str], text:
     """Fill blank texts of one year from a lookup table.
 
     Rows with text pass unchanged whatever their year; blank rows of other years
-    are dropped. A row with a blank key is kept without a lookup. Found text has
+    are dropped. Text keys are compared without the blanks around them. A row with a blank key is kept without a lookup. Found text has
     its newlines collapsed; a failed lookup (NULL text) stays blank and a key the
     table lacks becomes ``missing``.
     """
     has_text = ~S.is_blank(text)
     wanted = df.where(has_text | (F.col(year) == target_year))
-    table = best_per_key(found.select(*keys, F.col(found_text).alias("__found")), keys,
-                         [F.col("__found").asc_nulls_last()])
-    out = lookup(wanted, table.withColumn("__hit", F.lit(True)), keys, "left")
+    types = dict(df.dtypes)
+    bare = {k: S.strip_blanks(k) if types[k] == "string" else F.col(k) for k in keys}
+    names = [f"__key{i}" for i in range(len(keys))]
+    table = best_per_key(found.select(*[bare[k].alias(n) for k, n in zip(keys, names, strict=True)], F.col(found_text).alias("__found")),
+                         names, [F.col("__found").asc_nulls_last()])
+    wanted = wanted.withColumns({n: bare[k] for k, n in zip(keys, names, strict=True)})
+    out = lookup(wanted, table.withColumn("__hit", F.lit(True)), names, "left")
     usable = ~S.is_blank(keys[0])
     for k in keys[1:]:
         usable = usable & ~S.is_blank(k)

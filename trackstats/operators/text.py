@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import scalars as S
 from ..functions import vocab
 from ..functions.stem import porter
-from .keys import cut_lineage, few_values, once, spread, top_n
+from .keys import once, top_n
 
 DEFAULT_STOPWORDS = sorted({*vocab.LYRIC_STOPWORDS, *vocab.ENGLISH_EXTRA_STOPWORDS})
 
@@ -27,10 +27,36 @@ def merge_vocabularies(*tables: DataFrame) -> DataFrame:
     return out.distinct()
 
 
+def word_list(text) -> Column:
+    """All words of the cleaned text."""
+    return F.array_remove(F.split(S.punctuation_to_space(S.strip_markers(F.lower(text))), r"\s+"), "")
+
+
 def words(df: DataFrame, keep: list[str], text: str = "Lyrics") -> DataFrame:
     """``(keep..., word)``, one row per word of the cleaned text."""
-    parts = F.split(S.punctuation_to_space(S.strip_markers(F.lower(text))), r"\s+")
-    return spread(df.select(*keep, text)).select(*keep, F.explode(parts).alias("word")).where(F.col("word") != "")
+    return df.select(*keep, F.explode(word_list(text)).alias("word"))
+
+
+def text_pieces(df: DataFrame, keep: list[str], text: str, pieces: Column) -> DataFrame:
+    """``(keep..., __text, __piece)``: the pieces of every text, and an empty piece for the row itself.
+
+    ``__text`` is a digest: rows are scored by key and text, so a key may repeat
+    or be NULL, and rows alike in both are counted by their empty pieces. A
+    table of any size can be joined on ``__piece``; the texts are read once.
+    """
+    some = F.array_append(F.coalesce(pieces, F.array().cast("array<string>")), F.lit(""))
+    digest = F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")))
+    return df.select(*keep, digest.alias("__text"), F.explode(some).alias("__piece"))
+
+
+def own_row() -> Column:
+    """True on the empty piece that stands for the row."""
+    return F.col("__piece") == ""
+
+
+def each_copy(scored: DataFrame, copies: str = "__copies") -> DataFrame:
+    """One row for each of the rows that were counted."""
+    return scored.withColumn(copies, F.explode(F.sequence(F.lit(1), F.col(copies)))).drop(copies)
 
 
 def word_counts(df: DataFrame, group: list[str], *, text: str = "Lyrics",
@@ -50,7 +76,7 @@ def stem_counts(counts: DataFrame, group: list[str], *, lemmas: DataFrame | None
                 stem: Callable[[Column], Column] | None = porter) -> DataFrame:
     """``(group..., stem, Word, Frequency)``: counts per stem and its commonest surface form.
 
-    Works on per-word counts. A ``(word, lemma)`` table is applied before
+    Works on per-word counts; a word is stemmed once, however many groups it is in. A ``(word, lemma)`` table is applied before
     stemming. Ties between surface forms go to the alphabetically first.
     """
     base = F.col("word")
@@ -58,7 +84,12 @@ def stem_counts(counts: DataFrame, group: list[str], *, lemmas: DataFrame | None
         table = lemmas.groupBy("word").agg(F.min("lemma").alias("lemma"))
         counts = counts.join(table, "word", "left")
         base = F.coalesce("lemma", "word")
-    counts = counts.withColumn("stem", stem(base) if stem else base)
+    counts = counts.withColumn("__base", base)
+    if stem:
+        stems = counts.select("__base").distinct().withColumn("stem", stem("__base"))
+        counts = counts.join(stems, "__base")
+    else:
+        counts = counts.withColumn("stem", F.col("__base"))
     per_surface = counts.groupBy(*group, "stem", "word").agg(F.sum("n").alias("n"))
     commonest = F.struct((-F.col("n")).alias("n"), F.col("word").alias("w"))
     return per_surface.groupBy(*group, "stem").agg(
@@ -98,7 +129,7 @@ def word_cloud(words_table: DataFrame, n: int = 60, *, smallest: float = 12.0, l
 
 def language_text(text) -> Column:
     """The part of a lyric that language detection looks at."""
-    return F.trim(S.strip_markers(text, ""))
+    return S.strip_blanks(S.strip_markers(text, ""))
 
 
 def trigrams(text) -> Column:
@@ -108,73 +139,52 @@ def trigrams(text) -> Column:
 
 
 def train_language_profiles(labelled: DataFrame, *, text: str = "text", language: str = "lang",
-                            size: int = 300) -> DataFrame:
-    """``(lang, gram, weight)``: the commonest trigrams of every language.
+                            size: int | None = None) -> DataFrame:
+    """``(lang, gram, weight)``: the trigrams of every language, or only the ``size`` commonest.
 
     The weight is a whole-number log probability above a fixed floor, so that
     scores add up exactly in any order.
     """
-    grams = spread(labelled.where(F.col(language).isNotNull()).select(language, text)).select(
+    grams = labelled.where(F.col(language).isNotNull()).select(
         F.col(language).alias("lang"), F.explode(trigrams(text)).alias("gram"))
     counts = grams.groupBy("lang", "gram").agg(F.count(F.lit(1)).alias("n"))
     totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
-    best = top_n(counts, ["lang"], [F.col("n").desc(), F.col("gram")], size)
+    best = counts if size is None else top_n(counts, ["lang"], [F.col("n").desc(), F.col("gram")], size)
     weight = F.greatest(F.round(F.log(F.col("n") / F.col("total") * 1e6) * 1000), F.lit(0.0))
     return best.join(totals, "lang").select("lang", "gram", weight.cast("bigint").alias("weight"))
 
 
-def small_side(df: DataFrame, bound: int) -> DataFrame:
-    """Broadcast a stored table after checking its size; beyond the bound leave the join to Spark."""
-    return F.broadcast(df) if df.limit(bound + 1).count() <= bound else df
-
-
 def label_language(df: DataFrame, profiles: DataFrame, *, key: str, text: str = "Lyrics", default: str = "en",
-                   min_length: int = 30, bound: int = 200_000) -> DataFrame:
-    """``(key, language)``: the likeliest language by trigrams.
+                   min_length: int = 30) -> DataFrame:
+    """``(key, language)`` of every row: the likeliest language by trigrams, for any number of languages.
 
     Blank, ``'0'`` and short texts, and texts without a known trigram, get the
     default. Scores of one text are summed inside its task before the shuffle.
-    The profiles are stored and their languages read while the query is built.
     """
     cleaned = language_text(text)
-    usable = (~S.is_blank(text) & (F.trim(F.col(text)) != "0") & (F.length(cleaned) >= min_length))
-    grams = spread(df.select(key, text)).select(key, F.explode(F.when(usable, trigrams(cleaned))).alias("gram"))
-    stored = cut_lineage(profiles)
-    languages = few_values(stored, "lang", 100)
-    if languages is None:  # too many for a column each: one row per match and language
-        scores = (grams.join(small_side(stored, bound), "gram")
-                  .groupBy(key, "lang").agg(F.sum("weight").alias("score")))
-        best = F.min_by("lang", F.struct((-F.col("score")).alias("s"), F.col("lang").alias("l")))
-        guessed = scores.groupBy(key).agg(best.alias("language"))
-    else:
-        languages = sorted(languages)
-        names = [f"w{i}" for i in range(len(languages))]
-        wide = stored.groupBy("gram").agg(*[
-            F.coalesce(F.sum(F.when(F.col("lang") == lang, F.col("weight"))), F.lit(0)).alias(n)
-            for lang, n in zip(languages, names, strict=True)])
-        sums = grams.join(small_side(wide, bound), "gram").groupBy(key).agg(*[F.sum(n).alias(n) for n in names])
-        ranked = F.array(*[F.struct(F.col(n).alias("s"), F.lit(-i).alias("o"), F.lit(lang).alias("language"))
-                           for i, (lang, n) in enumerate(zip(languages, names, strict=True))])
-        guessed = sums.select(key, F.array_max(ranked)["language"].alias("language"))
-    return df.select(key).join(guessed, key, "left").select(
-        key, F.coalesce("language", F.lit(default)).alias("language"))
+    usable = (~S.is_blank(text) & (S.strip_blanks(text) != "0") & (F.length(cleaned) >= min_length))
+    grams = text_pieces(df, [key], text, F.when(usable, trigrams(cleaned)))
+    met = grams.join(profiles.select(F.col("gram").alias("__piece"), F.col("lang").alias("__lang"), F.col("weight").alias("__weight")), "__piece", "left")
+    scores = met.groupBy(key, "__text", "__lang").agg(F.sum("__weight").alias("__score"), F.count_if(own_row()).alias("__rows"))
+    order = F.when(F.col("__lang").isNotNull(), F.struct((-F.col("__score")).alias("s"), F.col("__lang").alias("l")))
+    best = scores.groupBy(key, "__text").agg(F.min_by("__lang", order).alias("__best"), F.max("__rows").alias("__copies"))
+    return each_copy(best).select(key, F.coalesce("__best", F.lit(default)).alias("language"))
 
 
 # --- sentiment --------------------------------------------------------------------
 
-def sentiment(df: DataFrame, lexicon: DataFrame, *, key: str, text: str = "Lyrics", alpha: float = 15.0,
-              bound: int = 200_000) -> DataFrame:
-    """``(key, Sentiment_Score)`` in [-1, 1] from a ``(word, weight)`` table.
+def sentiment(df: DataFrame, lexicon: DataFrame, *, key: str, text: str = "Lyrics", alpha: float = 15.0) -> DataFrame:
+    """``(key, Sentiment_Score)`` of every row, in [-1, 1], from a ``(word, weight)`` table.
 
     The summed weights s of a text become s / sqrt(s^2 + alpha) with four
     decimals (Hutto & Gilbert 2014); texts without a listed word score 0.
     """
-    weights = small_side(lexicon.groupBy("word").agg(F.max("weight").alias("weight")), bound)
-    found = words(df, [key], text)
-    sums = found.join(weights, "word").groupBy(key).agg(F.sum("weight").cast("double").alias("s"))
-    s = F.coalesce("s", F.lit(0.0))
-    return df.select(key).join(sums, key, "left").select(
-        key, F.round(s / F.sqrt(s * s + alpha), 4).alias("Sentiment_Score"))
+    weights = lexicon.groupBy(F.col("word").alias("__piece")).agg(F.max("weight").alias("__weight"))
+    met = text_pieces(df, [key], text, word_list(text)).join(weights, "__piece", "left")
+    sums = met.groupBy(key, "__text").agg(F.sum("__weight").cast("double").alias("__s"), F.count_if(own_row()).alias("__copies"))
+    s = F.coalesce(F.col("__s") / F.col("__copies"), F.lit(0.0))
+    scored = sums.withColumn("Sentiment_Score", F.round(s / F.sqrt(s * s + alpha), 4))
+    return each_copy(scored).select(key, "Sentiment_Score")
 
 
 # --- readability --------------------------------------------------------------------
@@ -189,7 +199,7 @@ def text_metrics(df: DataFrame, text: str = "Lyrics") -> DataFrame:
     cleaned = S.strip_markers(text)
     sentences = F.regexp_count(F.concat(cleaned, F.lit(".")), F.lit(r"[^\s.!?][^.!?\n]*[.!?\n]"))
     one_spaced = F.btrim(F.regexp_replace(S.punctuation_to_space(F.lower(cleaned)), r"\s+", " "))
-    out = once(spread(df), __t=one_spaced, n_sentences=sentences)
+    out = once(df, __t=one_spaced, n_sentences=sentences)
     out = once(out, __w=F.array_remove(F.split("__t", " "), ""),
                __p=F.regexp_replace(F.concat("__t", F.lit(" ")), "([a-z]{2})e ", "$1 "))
     out = once(out, n_words=F.size("__w"), __vowel_groups=F.regexp_count("__p", F.lit("[aeiouy]+")),

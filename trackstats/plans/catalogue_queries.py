@@ -320,21 +320,24 @@ def valid_numbers(spark, folder):
 
 
 def stored_chart_pages(spark, folder):
-    """One stored page per track: header row, data row, a two-cell row, a row without numbers."""
+    """A stored page per artist and year: header, a row per track, a nested table, rows to be left out."""
     def row(*cells):
-        return F.concat(F.lit("<tr>"), *[F.concat(F.lit("<td> "), c, F.lit("</td>")) for c in cells], F.lit("</tr>\n"))
+        return F.concat(F.lit("<tr class=r>"), *[F.concat(F.lit("<td> "), c, F.lit("</td>")) for c in cells], F.lit("</tr>\n"))
 
     number = F.format_number("Streams", 0)
+    title = F.concat(F.lit("<a href='#'>"), "artist_title", F.lit("</a> &eacute;&#233;&#x2013; &amp;lt;"))
+    rows = F.concat(row(title, number, F.format_number("duration_ms", 0)), row(F.col("Title"), number),
+                    row(F.col("artist_title"), F.lit("n/a"), number))
+    paged = tracks(spark, folder).groupBy(F.col("Year").alias("year"), "Artist").agg(F.array_join(F.collect_list(rows), "").alias("rows"))
     html = F.concat(
-        F.lit("<html><p>x</p><table class='c'><tr><th>Artist and Title</th><th>Streams</th><th>Daily</th></tr>\n"),
-        row(F.concat(F.lit("<a href='#'>"), "artist_title", F.lit("</a>")), number, F.format_number("duration_ms", 0)),
-        row(F.col("Title"), number), row(F.col("artist_title"), F.lit("n/a"), number),
+        F.lit("<html><p>x</p><table class='c'><tr><th>Artist and Title</th><th>Streams</th><th>Daily</th></tr>\n"
+              "<track src='t'><tr><td>in<table><tr><td>nested</td></tr></table></td><td>1</td></tr>"), "rows",
         F.lit("</table><table><tr><td>h</td></tr><tr><td>a - b</td><td>1</td><td>2</td></tr></table></html>"))
-    return tracks(spark, folder).select(F.col("Year").alias("year"), html.alias("html"))
+    return paged.select("year", html.alias("html"))
 
 
-@query(f"""WITH {TRACKS} SELECT artist_title AS "Artist and Title", Artist, Title, Streams, duration_ms AS Daily, Year
-FROM tracks""")
+@query(f"""WITH {TRACKS} SELECT concat(artist_title, 'éé– &lt;') AS "Artist and Title", Artist,
+  concat(Title, 'éé– &lt;') AS Title, Streams, duration_ms AS Daily, Year FROM tracks""")
 def html_table_rows(spark, folder):
     return pages.chart_rows(stored_chart_pages(spark, folder))
 
@@ -350,7 +353,18 @@ def list_items(spark, folder):
 
 @query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k FROM events")
 def json_features(spark, folder):
-    return pages.with_features(table(spark, folder, "events").select("event_id", "props"), "props").select("event_id", "k")
+    return pages.with_features(table(spark, folder, "events").select("event_id", "props"), "props", ["k"]).select("event_id", "k")
+
+
+@query("""SELECT event_id, unnest(['id', 'nested', 'text', 'tempo', 'k']) AS feature,
+  unnest([NULL, NULL, user_id / 2, CASE WHEN event_type = 'error' THEN NULL ELSE value END, CAST(json_extract_string(props, '$.k') AS DOUBLE)]) AS value
+FROM events""")
+def json_feature_rows(spark, folder):
+    """Responses with numbers beside names, objects, numbers in quotes and missing values."""
+    more = F.concat(F.lit('{"id":"abc","nested":{"energy":1},"text":"'), (F.col("user_id") / 2).cast("string"), F.lit('","tempo":'),
+                    F.when(F.col("event_type") == "error", F.lit("null")).otherwise(F.col("value").cast("string")), F.lit(","),
+                    F.substring("props", 2, 100_000))
+    return pages.feature_rows(table(spark, folder, "events").select("event_id", more.alias("r")), ["event_id"], "r")
 
 
 @query("""SELECT event_id, CASE WHEN event_type <> 'error' THEN concat('id', user_id) END AS content_id FROM events""")
@@ -402,7 +416,34 @@ def csv_round_trip(spark, folder):
     out = keys.scratch_path(spark)
     wanted = table(spark, folder, "part").select("p_partkey", "p_name", "p_brand", "p_size", "p_retailprice")
     sinks.write_csv(wanted, out, bom=True)
-    return tables.read_csv(spark, out, {"p_partkey": "bigint", "p_size": "int", "p_retailprice": "double"}, multiline=False)
+    return tables.read_csv(spark, out, {"p_partkey": "bigint", "p_size": "int", "p_retailprice": "double"})
+
+
+def write_lines(df, line, header: str, path: str) -> str:
+    """CSV files whose lines are written as they are, below a header line."""
+    df.select(line.alias(header)).write.option("header", True).option("quote", "").option("sep", "\u0001").csv(path)
+    return path
+
+
+@query("""SELECT p_partkey AS id, CASE WHEN p_type = 'SMALL' THEN NULL ELSE p_brand END AS brand,
+  CASE WHEN p_type IN ('ECONOMY', 'LARGE') THEN NULL ELSE p_size END AS size FROM part WHERE p_type <> 'PROMO'""")
+def csv_malformed(spark, folder):
+    """Rows with too many, too few and unreadable fields."""
+    p = F.col("p_type")
+    line = F.concat_ws(",", F.col("p_partkey").cast("string"), F.when(p == "SMALL", F.lit("")).otherwise(F.col("p_brand")),
+                       F.when(p == "ECONOMY", F.lit("many")).when(p != "LARGE", F.col("p_size").cast("string")),
+                       F.when(p == "PROMO", F.lit("surplus")))
+    out = write_lines(table(spark, folder, "part"), line, "id,brand,size", keys.scratch_path(spark))
+    return tables.read_csv(spark, out, {"id": "bigint", "size": "int"})
+
+
+@query("""SELECT CAST(p_partkey AS VARCHAR) AS id, p_brand AS brand, CASE WHEN p_type = 'PROMO' THEN '' ELSE p_name END AS name,
+  '' AS Lyrics FROM part""")
+def csv_ragged(spark, folder):
+    """Short rows padded with empty text, the wanted column added, an old index column removed."""
+    line = F.concat_ws(",", F.lit("0"), F.col("p_partkey").cast("string"), "p_brand", F.when(F.col("p_type") != "PROMO", F.col("p_name")))
+    out = write_lines(table(spark, folder, "part"), line, "Unnamed: 0,id,brand,name", keys.scratch_path(spark))
+    return tables.drop_index_columns(tables.read_ragged_csv(spark, out, "Lyrics")[0])
 
 
 @query("""SELECT p_partkey, p_size + 1 AS p_size FROM part UNION ALL SELECT s_suppkey, s_nationkey FROM supplier""")

@@ -92,22 +92,32 @@ def _letters_sql(column: str) -> str:
     return rf"string_split(regexp_replace(lower({column}), '[^\p{{L}}]+', ' ', 'g'), '')"
 
 
-@query(rf"""WITH {LYRICS}, tr AS (SELECT lang, {_letters_sql('text')} AS cs FROM documents),
+LANGUAGE_SQL = rf"""{LYRICS}, tr AS (SELECT lang, {_letters_sql('text')} AS cs FROM documents),
 g AS (SELECT lang, gram, count(*) AS n FROM (SELECT lang, unnest({GRAMS_SQL}) AS gram FROM tr) GROUP BY ALL),
 tot AS (SELECT lang, sum(n) AS total FROM g GROUP BY lang),
-prof AS (SELECT lang, gram, CAST(greatest(round(ln(n / total * 1e6) * 1000), 0) AS BIGINT) AS weight FROM (
-  SELECT * FROM g QUALIFY row_number() OVER (PARTITION BY lang ORDER BY n DESC, gram) <= 300) JOIN tot USING (lang)),
-cl AS (SELECT doc_id, trim(regexp_replace(Lyrics, '\[[^\n]*?\]', '', 'g')) AS c FROM lyrics),
+prof AS (SELECT lang, gram, CAST(greatest(round(ln(n / total * 1e6) * 1000), 0) AS BIGINT) AS weight FROM g JOIN tot USING (lang)),
+cl AS (SELECT doc_id, regexp_replace(regexp_replace(Lyrics, '\[[^\n]*?\]', '', 'g'), '^[\s\p{{Z}}]+|[\s\p{{Z}}]+$', '', 'g') AS c FROM lyrics),
 dg AS (SELECT doc_id, unnest({GRAMS_SQL}) AS gram FROM (
   SELECT doc_id, {_letters_sql('c')} AS cs FROM cl WHERE length(c) >= 30)),
-sc AS (SELECT doc_id, lang, sum(weight) AS score FROM dg JOIN prof USING (gram) GROUP BY ALL)
-SELECT l.doc_id, coalesce(s.language, 'en') AS language FROM lyrics l
-LEFT JOIN (SELECT doc_id, arg_min(lang, (-score, lang)) AS language FROM sc GROUP BY doc_id) s ON l.doc_id = s.doc_id""")
+sc AS (SELECT doc_id, lang, sum(weight) AS score FROM dg JOIN prof USING (gram) GROUP BY ALL),
+guess AS (SELECT l.doc_id, l.language AS lang, coalesce(s.language, 'en') AS language FROM lyrics l
+LEFT JOIN (SELECT doc_id, arg_min(lang, (-score, lang)) AS language FROM sc GROUP BY doc_id) s ON l.doc_id = s.doc_id)"""
+
+
+@query(f"WITH {LANGUAGE_SQL} SELECT doc_id, language FROM guess")
 def language_guess(spark, folder):
     profiles = text.train_language_profiles(table(spark, folder, "documents"))
     return text.label_language(lyrics(spark, folder), profiles, key="doc_id")
 
 
+@query(f"WITH {LANGUAGE_SQL} SELECT lang, language, count(*) AS n FROM guess GROUP BY ALL")
+def language_accuracy(spark, folder):
+    """Given against guessed language; the key repeats for every row of a language."""
+    profiles = text.train_language_profiles(table(spark, folder, "documents"))
+    keyed = lyrics(spark, folder).withColumnRenamed("language", "lang")
+    return text.label_language(keyed, profiles, key="lang").groupBy("lang", "language").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("SELECT doc_id, lang AS language FROM documents WHERE lang = 'de'")
 def only_one_language(spark, folder):
     return select.only_language(lyrics(spark, folder), "de").select("doc_id", "language")
@@ -129,6 +139,18 @@ def sentiment_scores(spark, folder):
     return text.sentiment(lyrics(spark, folder), lexicon, key="doc_id")
 
 
+@query(rf"""WITH {LYRICS}, {LEXICON_SQL}, t AS (SELECT doc_id, unnest({WORDS_SQL}) AS word FROM lyrics),
+s AS (SELECT doc_id, CAST(sum(weight) AS DOUBLE) AS s FROM t JOIN lexicon USING (word) GROUP BY doc_id)
+SELECT CASE WHEN language <> 'de' THEN Artist END AS Artist,
+  round(coalesce(s.s, 0) / sqrt(coalesce(s.s, 0) * coalesce(s.s, 0) + 15), 4) AS Sentiment_Score
+FROM lyrics l LEFT JOIN s ON l.doc_id = s.doc_id""")
+def sentiment_repeated_keys(spark, folder):
+    """Every row its own score, though the key repeats and is partly NULL."""
+    lexicon = evolution.literal_table(spark, LEXICON, ["word", "weight"])
+    keyed = lyrics(spark, folder).withColumn("Artist", F.when(F.col("language") != "de", F.col("Artist")))
+    return text.sentiment(keyed, lexicon, key="Artist")
+
+
 @query(rf"""WITH {LYRICS}, w AS (SELECT doc_id, {WORDS_SQL} AS ws, len(regexp_extract_all(concat(
     regexp_replace(Lyrics, '\[[^\n]*?\]', ' ', 'g'), '.'), '[^\s.!?][^.!?\n]*[.!?\n]')) AS n_sentences FROM lyrics),
 p AS (SELECT *, len(ws) AS n, regexp_replace(concat(array_to_string(ws, ' '), ' '), '([a-z]{{2}})e ', '\1 ', 'g') AS padded FROM w),
@@ -161,6 +183,24 @@ def topic_canonicalise(spark, folder):
     return enrich.finish_topics(answered, "raw").select("doc_id", "Topic")
 
 
+TOPIC_LIST = "[" + ", ".join(f"'{v}'" for v in vocab.TOPICS) + "]"
+
+
+@query(f"""SELECT doc_id, CASE {TOPIC_CHAIN} END AS Topic FROM (
+  SELECT doc_id, list_extract({TOPIC_LIST}, 1 + n_chars % {len(vocab.TOPICS)}) AS t FROM documents)""")
+def classified_topics(spark, folder):
+    """A batch function sees a bounded prompt of every text; its raw answers end in marks and line ends."""
+    def answer(batches):
+        for b in batches:
+            names = [vocab.TOPICS[n % len(vocab.TOPICS)] for n in b["n_chars"]]
+            yield b[["doc_id"]].assign(Lyrics=b["prompt"], raw=[f'"{t.upper()} **' + chr(10) for t in names])
+
+    prompt = S.prefix(F.concat(F.lit("Song: "), "text"), 500).alias("prompt")
+    asked = table(spark, folder, "documents").select("doc_id", "n_chars", prompt)
+    answered = enrich.classify(asked, answer, "doc_id long, Lyrics string, raw string")
+    return enrich.finish_topics(answered, "raw").select("doc_id", "Topic")
+
+
 # Keywords over words of the given documents.
 KEYWORDS = [("the", "Dancing Anthem", 1), ("and", "Grief and Loss", 2), ("der", "Coming of Age", 2),
             ("que", "Missing Someone", 3), ("les", "Coming of Age", 3)]

@@ -2,24 +2,58 @@
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
-from ..operators.keys import once, spread
+from ..operators.keys import once
 
-# Character references decoded in cells; the ampersand comes last.
-ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", "\u00a0"), ("&amp;", "&")]
 BLANKS = " \t\r\n\u00a0"
 
 
+def _character(reference: Column) -> Column:
+    """The character of a reference without ``&`` and ``;``, NULL if there is none."""
+    number = F.when(F.rlike(reference, F.lit("^#[0-9]{1,7}$")), F.substring(reference, 2, 7).try_cast("int")).when(
+        F.rlike(reference, F.lit("^#[xX][0-9a-fA-F]{1,6}$")), F.conv(F.substring(reference, 3, 6), 16, 10).try_cast("int"))
+    valid = F.when(number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF), number)
+    names = F.create_map(*[F.lit(x) for name, code in (*name2codepoint.items(), ("apos", 39)) for x in (name, chr(code))])
+    return F.coalesce(F.decode(F.unhex(F.lpad(F.hex(valid), 8, "0")), "UTF-32"), F.try_element_at(names, reference))
+
+
+def decode_references(text: Column) -> Column:
+    """Named and numeric character references replaced, each once; unknown ones stay."""
+    def part(p: Column, i: Column) -> Column:
+        reference = F.regexp_extract(p, r"^(#?[A-Za-z0-9]{1,31});", 1)
+        char = F.when(reference != "", _character(reference))
+        rest = F.concat(char, F.substring(p, F.length(reference) + 2, F.length(p)))
+        return F.when(i == 0, p).otherwise(F.coalesce(rest, F.concat(F.lit("&"), p)))
+    parts = F.transform(F.split(text, "&", -1), part)
+    return F.when(F.contains(text, F.lit("&")), F.array_join(parts, "")).otherwise(text)
+
+
+def first_table(html) -> Column:
+    """The inside of the first table, up to its own end tag: tables within it are part of it."""
+    simple = F.regexp_extract(html, r"(?is)<table(?=[\s>])[^>]*>(.*?)</table\s*>", 1)
+    pieces = F.split(html, r"(?i)(?=</?table[\s>])", -1)
+    start = F.struct(F.lit(0).alias("depth"), F.lit(False).alias("done"), F.array().cast("array<string>").alias("inside"))
+
+    def step(state: Column, piece: Column) -> Column:
+        opens, closes = F.rlike(piece, F.lit(r"(?i)^<table[\s>]")), F.rlike(piece, F.lit(r"(?i)^</table[\s>]"))
+        depth = state["depth"] + F.when(opens, 1).when(closes & (state["depth"] > 0), -1).otherwise(0)
+        held = F.when((depth > 0) & ~state["done"], F.array_append(state["inside"], piece)).otherwise(state["inside"])
+        return F.struct(depth.alias("depth"), (state["done"] | (closes & (state["depth"] == 1))).alias("done"), held.alias("inside"))
+    nested = F.aggregate(pieces, start, step, lambda state: F.regexp_replace(
+        F.array_join(state["inside"], ""), r"(?is)^<table(?=[\s>])[^>]*>", ""))
+    several = F.regexp_count(html, F.lit(r"(?i)<table[\s>]")) > 1
+    return F.when(several, nested).otherwise(simple)
+
+
 def cell_text(html: Column) -> Column:
     """Text of a cell: its text nodes trimmed and joined, character references decoded."""
     bare = F.when(F.contains(html, F.lit("<")), F.regexp_replace(html, r"\s*<[^>]*>\s*", "")).otherwise(html)
-    decoded = bare
-    for entity, char in ENTITIES:
-        decoded = F.replace(decoded, F.lit(entity), F.lit(char))
-    return F.btrim(F.when(F.contains(html, F.lit("&")), decoded).otherwise(bare), F.lit(BLANKS))
+    return F.btrim(decode_references(bare), F.lit(BLANKS))
 
 
 def table_cells(pages: DataFrame, keep: list[str], html: str = "html") -> DataFrame:
@@ -27,9 +61,8 @@ def table_cells(pages: DataFrame, keep: list[str], html: str = "html") -> DataFr
 
     ``cells`` holds the raw inner HTML; a row is parsed once.
     """
-    table = F.regexp_extract(html, r"(?is)<table[^>]*>(.*?)</table>", 1)
-    rows = F.regexp_extract_all(table, F.lit(r"(?is)<tr[^>]*>(.*?)</tr>"), F.lit(1))
-    cells = F.regexp_extract_all("tr", F.lit(r"(?is)<td[^>]*>(.*?)</td>"), F.lit(1))
+    rows = F.regexp_extract_all(first_table(F.col(html)), F.lit(r"(?is)<tr(?=[\s>])[^>]*>(.*?)</tr\s*>"), F.lit(1))
+    cells = F.regexp_extract_all("tr", F.lit(r"(?is)<td(?=[\s>])[^>]*>(.*?)</td\s*>"), F.lit(1))
     found = pages.select(*keep, F.posexplode(rows).alias("row_no", "tr")).where(F.col("row_no") > 0)
     return once(found, cells=cells).drop("tr")
 
@@ -39,7 +72,7 @@ def chart_rows(pages: DataFrame, *, html: str = "html", year: str = "year") -> D
 
     Rows with fewer than three cells or unreadable numbers are dropped.
     """
-    cells = table_cells(spread(pages), [year], html).where(F.size("cells") >= 3)
+    cells = table_cells(pages, [year], html).where(F.size("cells") >= 3)
     texts = once(cells, text=cell_text(F.col("cells")[0]), streams=S.grouped_int(cell_text(F.col("cells")[1])),
                  daily=S.grouped_int(cell_text(F.col("cells")[2])))
     return texts.where(F.col("streams").isNotNull() & F.col("daily").isNotNull()).select(
@@ -50,7 +83,7 @@ def chart_rows(pages: DataFrame, *, html: str = "html", year: str = "year") -> D
 
 def list_items(pages: DataFrame, keep: list[str], html: str = "html") -> DataFrame:
     """``(keep..., item_no, item)`` of every list item of a page."""
-    items = F.regexp_extract_all(html, F.lit(r"(?is)<li[^>]*>(.*?)</li>"), F.lit(1))
+    items = F.regexp_extract_all(html, F.lit(r"(?is)<li(?=[\s>])[^>]*>(.*?)</li\s*>"), F.lit(1))
     return pages.select(*keep, F.posexplode(items).alias("item_no", "li")).select(
         *keep, "item_no", cell_text(F.col("li")).alias("item"))
 
@@ -68,21 +101,17 @@ def content_id(response) -> Column:
 
 
 def feature_map(response) -> Column:
-    """Numeric features of a stored response as a map; NULL when it does not parse."""
-    return F.from_json(response, "map<string,double>")
+    """Numbers of a stored response by name; members that are no numbers are NULL, and so is what does not parse."""
+    members = F.from_json(response, "map<string,string>")
+    return F.transform_values(members, lambda _, v: v.try_cast("double"))
 
 
-def feature_names(df: DataFrame, response: str, bound: int = 1000) -> list[str]:
-    """Feature keys that occur, sorted; more than ``bound`` is an error, since each becomes a column."""
-    keys = df.select(F.explode(F.map_keys(feature_map(F.col(response)))).alias("k")).distinct().limit(bound + 1)
-    names = sorted(r.k for r in keys.collect())
-    if len(names) > bound:
-        raise ValueError(f"more than {bound} feature names")
-    return names
+def feature_rows(df: DataFrame, keep: list[str], response: str) -> DataFrame:
+    """``(keep..., feature, value)``: a row per member of every response, whatever the names."""
+    return df.select(*keep, F.explode(feature_map(F.col(response))).alias("feature", "value"))
 
 
-def with_features(df: DataFrame, response: str, names: list[str] | None = None) -> DataFrame:
-    """One column per feature. Names not given are found in one pass over the keys."""
-    names = feature_names(df, response) if names is None else names
+def with_features(df: DataFrame, response: str, names: list[str]) -> DataFrame:
+    """One column per named feature, NULL where a response lacks it."""
     m = feature_map(F.col(response))
     return df.withColumn("__m", m).withColumns({n: F.col("__m")[n] for n in names}).drop("__m")

@@ -40,7 +40,9 @@ def saved_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataF
     full = T.StructType([*schema.fields, T.StructField("batch", T.IntegerType())])
     try:
         return spark.read.schema(full).parquet(path)
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], full)
 
 

@@ -18,13 +18,12 @@ def csv_header(spark: SparkSession, path: str) -> list[str]:
 
 
 def read_csv(spark: SparkSession, path: str, types: dict[str, str] | None = None, *,
-             multiline: bool = True, missing: list[str] = vocab.MISSING_TEXT) -> DataFrame:
+             multiline: bool = False, missing: list[str] = vocab.MISSING_TEXT) -> DataFrame:
     """CSV with a header: rows with too many fields are skipped, short ones padded with NULL.
 
     Text that stands for a missing value becomes NULL, and so does what does not
-    parse as the declared type. Quoted line breaks need ``multiline``, which reads
-    a file in one task: store large inputs as many files, or switch it off to
-    split them.
+    parse as the declared type. Files are split over tasks; quoted line breaks
+    need ``multiline``, which reads a file in one task.
     """
     names = csv_header(spark, path)
     schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, OVERFLOW]])
@@ -44,7 +43,7 @@ def read_csv(spark: SparkSession, path: str, types: dict[str, str] | None = None
     return raw.select(*out)
 
 
-def read_ragged_csv(spark: SparkSession, path: str, column: str, *, multiline: bool = True) -> tuple[DataFrame, str]:
+def read_ragged_csv(spark: SparkSession, path: str, column: str, *, multiline: bool = False) -> tuple[DataFrame, str]:
     """CSV whose short rows are padded with empty text, with a named column added if absent.
 
     Returns the table and the column's name as spelled in the header; the name is

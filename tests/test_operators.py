@@ -377,6 +377,26 @@ def test_split_size_may_be_written_with_a_unit(spark):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+def test_dashboard_charts(spark):
+    tracks = spark.createDataFrame([(f"t{i}", "A", 2000 + i % 3, 10 + i, 60.0 + i, -30.0 + i, i % 12, i % 2, "Faith and Spirituality") for i in range(30)],
+                                   "track_id string, Artist string, Year int, Streams long, tempo double, loudness double, key int, mode int, Topic string")
+    words = spark.createDataFrame([(2000, "a", 3, "Other"), (2001, "b", 2, "Location")], "Year int, Word string, Frequency long, Category string")
+    charts = jobs.Dashboard(tracks, words, ["tempo", "loudness"]).charts()
+    made = {k: v.collect() for k, v in charts.items()}
+    assert all(made.values())
+    assert max(r.density for r in made["density"]) > 0 and max(r.density for r in made["ridgeline"]) > 0
+    for f in ("tempo", "loudness"):  # the curve's area over the part of the grid that holds the values
+        assert 0.8 < sum(r.density for r in made["density"] if r.feature == f) * 0.02 < 1.05
+
+
+def test_grouped_density_lookup(spark):
+    df = spark.createDataFrame([("a", 0.2), ("a", 0.25), ("b", 0.8), (None, 0.5)], "g string, v double")
+    curve = density.density(df, ["v"], h=0.12, group=["g"])
+    found = density.density_at(df, curve, "v", group=["g"]).collect()
+    assert len(found) == 4 and all(r.density > 0 for r in found)
+    assert curve.groupBy("g").count().where("count <> 51").count() == 0
+
+
 def test_text_metrics(spark):
     docs = spark.createDataFrame([("The cat sat. The cake is nice!",), ("",)], "Lyrics string")
     full, empty = rows(text.text_metrics(docs), F.col("n_words").desc())

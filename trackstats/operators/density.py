@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
+from .keys import lookup
 
 
 def tick_step(low: float, high: float, count: int) -> float:
@@ -54,23 +55,25 @@ def _values(df: DataFrame, features: list[str], group: list[str]) -> DataFrame:
 
 
 def density(df: DataFrame, features: list[str], *, h: float, low: float = 0.0, high: float = 1.0,
-            ticks: int = 60, group: list[str] = (), bounds: dict | None = None) -> DataFrame:
+            ticks: int = 60, group: list[str] = (), bounds: DataFrame | None = None) -> DataFrame:
     """``(group, feature, x, density, n_values)``: Epanechnikov estimate on a tick grid.
 
     A value reaches only grid points within ``h``, a contiguous index range, and
     the kernel is quadratic there. So the rows of one range are summed up by
     their count and first two moments about the range's centre, and the curve
     follows exactly from those: the table is read once, no row is multiplied by
-    the grid, and hot values combine before the shuffle. ``bounds`` maps features
-    to (low, high) for values normalised first.
+    the grid, and hot values combine before the shuffle. With ``bounds``
+    (``feature, min, max``, one row per feature, as ``feature_stats`` gives them)
+    values are normalised first, so that features of any domain share the grid.
     """
     group = list(group)
     first, last, step = tick_grid(low, high, ticks)
-    values = df
-    if bounds:
-        values = df.select(*group, *[S.min_max(f, *bounds[f]).alias(f) for f in features])
     v = F.col("v")
-    long = _values(values, features, group)
+    long = _values(df, features, group)
+    if bounds is not None:
+        ends = bounds.where(F.col("feature").isin(features)).select("feature", F.col("min").alias("__lo"), F.col("max").alias("__hi"))
+        # At most one row per named feature.
+        long = long.join(F.broadcast(ends), "feature").withColumn("v", S.min_max("v", F.col("__lo"), F.col("__hi"))).drop("__lo", "__hi")
     lo = F.greatest(F.ceil(_of(v - h, step)), F.lit(first)).cast("bigint")
     hi = F.least(F.floor(_of(v + h, step)), F.lit(last)).cast("bigint")
     # Values far outside the grid still count as values; they reach no point.
@@ -80,14 +83,18 @@ def density(df: DataFrame, features: list[str], *, h: float, low: float = 0.0, h
     d = v - centre
     cells = long.groupBy(*group, "feature", "lo", "hi").agg(
         F.count(F.lit(1)).alias("n"), F.sum(d).alias("d1"), F.sum(d * d).alias("d2"))
-    # From here on one row per occupied range, about two per grid point.
+    # From here on one row per occupied range, about two per grid point. The first
+    # of a curve also brings the points that no value reaches.
+    curve = Window.partitionBy(*group, "feature")
+    cells = cells.withColumns({"n_values": F.sum("n").over(curve), "__no": F.row_number().over(curve.orderBy("lo", "hi"))})
     gap = F.col("x") - centre
     weight = 0.75 / h * (F.col("n") - (F.col("n") * gap * gap - 2 * gap * F.col("d1") + F.col("d2")) / (h * h))
     reached = F.col("i").between(F.col("lo"), F.col("hi"))
     grid = F.sequence(F.lit(first).cast("bigint"), F.lit(last).cast("bigint"))
-    points = (cells.withColumn("i", F.explode(grid)).withColumn("x", _at(F.col("i"), step))
-              .groupBy(*group, "feature", "x")
-              .agg(F.sum(F.when(reached, weight).otherwise(0.0)).alias("w"), F.sum("n").alias("n_values")))
+    own = F.when(F.col("__no") == 1, grid).otherwise(F.sequence("lo", "hi"))
+    points = (cells.withColumn("i", F.explode(own)).withColumn("x", _at(F.col("i"), step))
+              .groupBy(*group, "feature", "x", "n_values")
+              .agg(F.sum(F.when(reached, weight).otherwise(0.0)).alias("w")))
     return points.select(*group, "feature", "x",
                          F.greatest(F.col("w") / F.col("n_values"), F.lit(0.0)).alias("density"), "n_values")
 
@@ -109,18 +116,17 @@ def shared_maximum(curve: DataFrame) -> DataFrame:
 
 
 def density_at(rows: DataFrame, curve: DataFrame, feature: str, *, low: float = 0.0, high: float = 1.0,
-               ticks: int = 60) -> DataFrame:
+               ticks: int = 60, group: list[str] = ()) -> DataFrame:
     """Density of each row's value: the next grid point, or the last one beyond the end.
 
-    ``curve`` is an ungrouped density; one feature of it has as many rows as the
-    grid has points, which bounds the broadcast.
+    A grouped ``curve`` is looked up in the row's own group; NULL groups match.
     """
     first, last, step = tick_grid(low, high, ticks)
     points = curve.where(F.col("feature") == feature).select(
-        F.round(_of(F.col("x"), step)).cast("bigint").alias("__i"), F.col("x").alias("curve_x"), "density")
+        *group, F.round(_of(F.col("x"), step)).cast("bigint").alias("__i"), F.col("x").alias("curve_x"), "density")
     snug = F.ceil(F.round(_of(F.col(feature), step), 9)).cast("bigint")
     index = F.least(F.greatest(snug, F.lit(first).cast("bigint")), F.lit(last).cast("bigint"))
-    return rows.where(S.present(feature)).withColumn("__i", index).join(F.broadcast(points), "__i").drop("__i")
+    return lookup(rows.where(S.present(feature)).withColumn("__i", index), points, [*group, "__i"], "inner").drop("__i")
 
 
 def histogram(df: DataFrame, feature: str, *, low: float = 0.0, high: float = 1.0, bins: int = 25) -> DataFrame:

@@ -24,11 +24,12 @@ RING = ", ".join(f"({i}, {k}, 1, '{vocab.KEY_NAMES[k]}'), ({i}, {(k + 9) % 12},
 
 
 @query(f"""WITH {TRACKS}, ring(ring_order, key, mode, label) AS (VALUES {RING}),
-c AS (SELECT key, mode, count(*) AS n FROM tracks WHERE Topic <> 'SMALL' AND key <> 5 GROUP BY ALL)
+c AS (SELECT CASE WHEN key = 5 THEN 6 ELSE key END AS key, mode, count(*) AS n FROM tracks GROUP BY ALL)
 SELECT r.ring_order, r.key, r.mode, r.label, coalesce(c.n, 0) AS n
 FROM ring r LEFT JOIN c ON r.key = c.key AND r.mode = c.mode""")
 def key_mode_circle(spark, folder):
-    return evolution.key_ring(tracks(spark, folder).where((F.col("Topic") != "SMALL") & (F.col("key") != 5)))
+    moved = F.when(F.col("key") == 5, 6).otherwise(F.col("key"))  # leaves an empty slot
+    return evolution.key_ring(tracks(spark, folder).withColumn("key", moved))
 
 
 WIDE = ", ".join(f"CAST(coalesce(sum(Frequency) FILTER (Category = '{c}'), 0) AS BIGINT) AS \"{c}\"" for c in SHOWN)

@@ -75,9 +75,11 @@ RAW_TRACKS = TRACKS + """, nulled AS (
 raw_tracks AS (SELECT * FROM nulled UNION ALL SELECT * FROM nulled WHERE Topic = 'PROMO')"""
 
 
+# Every order is in the base, in the fresh rows, or in both.
+
 def base_orders(spark: SparkSession, folder: str) -> DataFrame:
     o = table(spark, folder, "orders").withColumn("Year", F.year("o_orderdate").cast("int"))
-    return o.where((F.col("Year") <= 1999) & (F.col("o_orderpriority") != "1-URGENT")).select(
+    return o.where((F.col("Year") <= 1999) & ((F.col("o_orderpriority") != "1-URGENT") | (F.col("Year") < 1997))).select(
         "o_orderkey", "Year", F.round(F.col("o_totalprice") * 100).cast("bigint").alias("Streams"),
         F.lit(0).cast("bigint").alias("Daily"), F.col("o_orderpriority").alias("genre"))
 
@@ -85,18 +87,20 @@ def base_orders(spark: SparkSession, folder: str) -> DataFrame:
 def fresh_orders(spark: SparkSession, folder: str) -> DataFrame:
     o = table(spark, folder, "orders").withColumn("Year", F.year("o_orderdate").cast("int"))
     cents = F.round(F.col("o_totalprice") * 100).cast("bigint")
-    return o.where((F.col("Year") >= 1997) & (F.col("o_orderstatus") != "F")).select(
+    fresh = (F.col("Year") >= 1997) & ((F.col("o_orderstatus") != "F") | (F.col("o_orderpriority") == "1-URGENT") | (F.col("Year") > 1999))
+    return o.where(fresh).select(
         "o_orderkey", "Year", (cents * 2).alias("Streams"), F.col("o_custkey").alias("Daily"))
 
 
 ORDERS = """base AS (
   SELECT o_orderkey, CAST(year(o_orderdate) AS INT) AS Year, CAST(round(o_totalprice * 100) AS BIGINT) AS Streams,
          CAST(0 AS BIGINT) AS Daily, o_orderpriority AS genre
-  FROM orders WHERE year(o_orderdate) <= 1999 AND o_orderpriority <> '1-URGENT'),
+  FROM orders WHERE year(o_orderdate) <= 1999 AND (o_orderpriority <> '1-URGENT' OR year(o_orderdate) < 1997)),
 fresh AS (
   SELECT o_orderkey, CAST(year(o_orderdate) AS INT) AS Year, CAST(round(o_totalprice * 100) AS BIGINT) * 2 AS Streams,
          o_custkey AS Daily
-  FROM orders WHERE year(o_orderdate) >= 1997 AND o_orderstatus <> 'F')"""
+  FROM orders WHERE year(o_orderdate) >= 1997
+    AND (o_orderstatus <> 'F' OR o_orderpriority = '1-URGENT' OR year(o_orderdate) > 1999))"""
 
 
 def lyrics(spark: SparkSession, folder: str) -> DataFrame:

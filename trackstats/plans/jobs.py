@@ -66,13 +66,14 @@ class Dashboard:
 
     def charts(self) -> dict[str, DataFrame]:
         chosen = self.selected()
+        bounds = stats.feature_stats(self.tracks, chosen, self.features)
         words = self.selection.words(self.words)
         return {
             "artists": rank.top_total(chosen, 10),
-            "stats": stats.feature_stats(self.tracks, chosen, self.features),
+            "stats": bounds,
             "trend": stats.yearly_means(self.tracks, self.features),
-            "density": density.density(chosen, self.features, h=0.12),
-            "ridgeline": density.density_with_total(self.tracks, self.features, group="Year"),
+            "density": density.density(chosen, self.features, h=0.12, bounds=bounds),
+            "ridgeline": density.density_with_total(self.tracks, self.features, group="Year", bounds=bounds),
             "key_ring": evolution.key_ring(chosen),
             "parallel": rank.every_nth(chosen, [F.col(self.tie)]),
             "topic_share": evolution.share_by_year(self.tracks),

@@ -60,15 +60,20 @@ def preview(df: DataFrame, order: list[Column | str], n: int = 5) -> DataFrame:
 
 
 def quality_report(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
-    """``(check, column, n)``: missing values per column, duplicate rows, duplicate keys."""
+    """``(check, column, n)``: missing values per column, duplicate rows, duplicate keys.
+
+    All come from one table of different rows and their counts, so the input is
+    read once; texts move as digests.
+    """
     columns = df.columns
-    missing = df.agg(*[F.count_if(F.col(c).isNull() | F.isnan(c)) if t in ("double", "float")
-                       else F.count_if(F.col(c).isNull()) for c, t in df.dtypes])
+    per = df.select(*[_digest(c, t) for c, t in df.dtypes]).groupBy(*columns).agg(F.count(F.lit(1)).alias("__n"))
+    gone = [F.col(c).isNull() | F.isnan(c) if t in ("double", "float") else F.col(c).isNull() for c, t in df.dtypes]
+    missing = per.agg(*[F.coalesce(F.sum(F.when(g, F.col("__n")).otherwise(0)), F.lit(0)) for g in gone])
     missing = missing.toDF(*columns).unpivot([], columns, "column", "n").select(
         F.lit("missing").alias("check"), "column", "n")
-    report = missing.unionByName(_surplus(df, columns, "duplicate_rows"))
+    report = missing.unionByName(_surplus(per, "duplicate_rows"))
     if keys and all(k in columns for k in keys):
-        report = report.unionByName(_surplus(df, keys, "duplicate_keys"))
+        report = report.unionByName(_surplus(per.groupBy(*keys).agg(F.sum("__n").alias("__n")), "duplicate_keys"))
     return report
 
 
@@ -77,11 +82,9 @@ def _digest(c: str, t: str) -> Column:
     return F.sha2(F.col(c).cast("binary"), 256).alias(c) if t == "string" else F.col(c)
 
 
-def _surplus(df: DataFrame, keys: list[str], check: str) -> DataFrame:
-    """Rows beyond the first of each key. Counts combine map-side, and texts move as digests."""
-    types = dict(df.dtypes)
-    return (df.select(*[_digest(k, types[k]) for k in keys]).groupBy(*keys).count()
-            .agg(F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).alias("n"))
+def _surplus(counted: DataFrame, check: str) -> DataFrame:
+    """Rows beyond the first of each key, from counts per key."""
+    return (counted.agg(F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).alias("n"))
             .select(F.lit(check).alias("check"), F.lit(None).cast("string").alias("column"), "n"))
 
 

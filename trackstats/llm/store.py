@@ -7,9 +7,13 @@ from pyspark.sql import DataFrame
 from ..operators.keys import scratch_path
 
 
-def stored(df: DataFrame, name: str = "step") -> DataFrame:
-    """Write a table to the shared folder and read it back: a lost executor costs no recomputation."""
+def stored(df: DataFrame, name: str = "step", *, narrow: bool = False) -> DataFrame:
+    """Write a table to the shared folder and read it back: a lost executor costs no recomputation.
+
+    A ``narrow`` table has a few short columns; it is written as two files per
+    core of the cluster rather than one per shuffle partition.
+    """
     spark = df.sparkSession
     path = f"{scratch_path(spark)}/{name}"
-    df.write.parquet(path)
+    (df.coalesce(2 * spark.sparkContext.defaultParallelism) if narrow else df).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -25,7 +25,7 @@ from .registry import query, table
 from .store import stored
 from .tables import PARTS, parts, summed
 
-CLASSES, ROUNDS = 64, 8
+CLASSES, ROUNDS = 32, 5
 #: Hashed groups of neighbours on each side.
 GROUPS = 256
 DISCOUNT, SMOOTHING = 0.75, 50.0
@@ -132,24 +132,26 @@ def _log_shares(counts: np.ndarray, alpha: float = 0.05) -> np.ndarray:
 def exchange(h: np.ndarray, now: np.ndarray, length, codes, counts, total: np.ndarray, round_: int) -> np.ndarray:
     """One round: half of the words, chosen by their hash, may move to the class that suits their neighbours best."""
     shares = _log_shares(total).T.astype(np.float32)
+    side = total.reshape(CLASSES, 2, GROUPS).sum(2)
     begin = np.cumsum(length) - length
     out = now.copy()
-    side = total.reshape(CLASSES, 2, GROUPS).sum(2)
+    moving = np.flatnonzero((h >> W.U64(7)) % W.U64(2) == W.U64(round_ % 2))
     step = 1 << 14
-    for at in range(0, len(h), step):
-        stop = min(at + step, len(h))
-        a, b = begin[at], begin[stop - 1] + length[stop - 1]
-        n = counts[a:b].astype(np.float32)
-        gain = np.add.reduceat(shares[codes[a:b]] * n[:, None], begin[at:stop] - a, axis=0)
+    for at in range(0, len(moving), step):
+        rows = moving[at:at + step]
+        size = length[rows]
+        first = np.cumsum(size) - size
+        entry = np.repeat(begin[rows] - first, size) + np.arange(size.sum())
+        code, n = codes[entry], counts[entry].astype(np.float32)
+        gain = np.add.reduceat(shares[code] * n[:, None], first, axis=0)
         # In its own class a word does not speak for itself.
-        own = np.repeat(now[at:stop], length[at:stop])
-        tokens = np.repeat(np.add.reduceat(counts[a:b], begin[at:stop] - a) / 2, length[at:stop])
-        without = np.maximum(total[own, codes[a:b]] - counts[a:b], 0) + 0.05
-        rest = np.maximum(side[own, codes[a:b] // GROUPS] - tokens, 0) + 0.05 * GROUPS
-        gain[np.arange(stop - at), now[at:stop]] = np.add.reduceat(n * np.log(without / rest), begin[at:stop] - a)
-        out[at:stop] = gain.argmax(1)
-    stays = (h >> W.U64(7)) % W.U64(2) != W.U64(round_ % 2)
-    return np.where(stays, now, out)
+        own = np.repeat(now[rows], size)
+        tokens = np.repeat(np.add.reduceat(n, first) / 2, size)
+        without = np.maximum(total[own, code] - n, 0) + 0.05
+        rest = np.maximum(side[own, code // GROUPS] - tokens, 0) + 0.05 * GROUPS
+        gain[np.arange(len(rows)), now[rows]] = np.add.reduceat(n * np.log(without / rest), first)
+        out[rows] = gain.argmax(1)
+    return out
 
 
 def _classes(h, length, codes, counts, history: list[np.ndarray]) -> np.ndarray:
@@ -231,11 +233,11 @@ def _questions(bits: int):
     return run
 
 
-ANSWER = "block long, words binary, counts binary, classes binary"
+ANSWER = "block long, shard long, counts binary, classes binary"
 
 
 def _answers(batches):
-    """Within a shard the word table comes first, then the questions."""
+    """Within a shard the word table comes first, then the questions; an answer follows the order of its question."""
     at, gathered, known = None, [], None
     for batch in batches:
         for shard, kind, block, words, counts, classes in zip(*[c.to_pylist() for c in batch.columns], strict=True):
@@ -249,11 +251,13 @@ def _answers(batches):
                 order = np.argsort(known[0])
                 known = [x[order] for x in known]
             asked = np.frombuffer(words, W.U64)
-            place = np.minimum(np.searchsorted(known[0], asked), max(len(known[0]) - 1, 0))
-            hit = known[0][place] == asked if len(known[0]) else np.zeros(len(asked), bool)
-            yield pa.RecordBatch.from_arrays([
-                pa.array([block], pa.int64()), pa.array([asked[hit].tobytes()]), pa.array([known[1][place[hit]].tobytes()]),
-                pa.array([known[2][place[hit]].tobytes()])], names=["block", "words", "counts", "classes"])
+            count, cls = np.zeros(len(asked), np.int64), np.full(len(asked), _UNSEEN, np.uint8)
+            if len(known[0]):
+                place = np.minimum(np.searchsorted(known[0], asked), len(known[0]) - 1)
+                hit = known[0][place] == asked
+                count[hit], cls[hit] = known[1][place[hit]], known[2][place[hit]]
+            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([shard], pa.int64()), pa.array([count.tobytes()]),
+                                              pa.array([cls.tobytes()])], names=["block", "shard", "counts", "classes"])
 
 
 ENCODED = ("doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, words_score double, classes binary")
@@ -262,32 +266,24 @@ ENCODED = ("doc_id long, held_out boolean, n_tokens long, n_known long, base_sco
 def _encoder(n: int, v: int, in_class: np.ndarray):
     """Per text: counts, base score, log10 P(word | class) of the known words, and the classes of its tokens."""
     def run(texts: pa.Table, answers: pa.Table) -> pa.Table:
-        if answers.num_rows:
-            known = [np.concatenate([np.frombuffer(x, t) for x in answers.column(c).to_pylist()])
-                     for c, t in ((1, W.U64), (2, np.int64), (3, np.uint8))]
-            order = np.argsort(known[0])
-            known = [x[order] for x in known]
-        else:
-            known = [np.zeros(0, t) for t in (W.U64, np.int64, np.uint8)]
-        base = np.log10((known[1] + 1.0) / (n + v + 1.0))
-        inside = np.log10(np.maximum(known[1] - DISCOUNT, 1e-9) / np.maximum(in_class[known[2]], 1))
-        inside[known[2] == _END_CLASS] = 0.0
-        unseen = np.log10(1.0 / (n + v + 1.0))
+        chunks = [(at, *_tokens(chunk)) for at, chunk in W.text_chunks(texts.column(3).to_pylist())]
+        # The block's distinct words in their order are what it asked, shard by shard.
+        words = np.unique(np.concatenate([seq for _, seq, _ in chunks]))
+        order = np.argsort(answers.column(1).to_numpy())
+        count, cls = (np.concatenate([np.frombuffer(x, t) for x in answers.column(c).take(pa.array(order)).to_pylist()])
+                      for c, t in ((2, np.int64), (3, np.uint8)))
+        base = np.log10((count + 1.0) / (n + v + 1.0))
+        inside = np.log10(np.maximum(count - DISCOUNT, 1e-9) / np.maximum(in_class[cls], 1))
+        inside[(cls == _END_CLASS) | (cls == _UNSEEN)] = 0.0
         out = []
-        for at, chunk in W.text_chunks(texts.column(3).to_pylist()):
-            seq, size = _tokens(chunk)
-            begin = np.cumsum(size) - size
-            place = np.minimum(np.searchsorted(known[0], seq), max(len(known[0]) - 1, 0))
-            hit = known[0][place] == seq if len(known[0]) else np.zeros(len(seq), bool)
-            if not len(known[0]):
-                place = np.zeros(len(seq), np.int64)
-            pick = (lambda x, other: np.where(hit, x[place], other)) if len(known[0]) else (lambda x, other: np.full(len(seq), other))
-            classes = pick(known[2], np.uint8(_UNSEEN)).astype(np.uint8)
+        for at, seq, size in chunks:
+            place, begin = np.searchsorted(words, seq), np.cumsum(size) - size
+            classes = cls[place]
             data = classes.tobytes()
             out.append(pa.table([
-                texts.column(1).slice(at, len(chunk)).combine_chunks(), texts.column(2).slice(at, len(chunk)).combine_chunks(),
-                pa.array(size, pa.int64()), pa.array(np.add.reduceat(hit.astype(np.int64), begin)),
-                pa.array(np.add.reduceat(pick(base, unseen), begin)), pa.array(np.add.reduceat(pick(inside, 0.0), begin)),
+                texts.column(1).slice(at, len(size)).combine_chunks(), texts.column(2).slice(at, len(size)).combine_chunks(),
+                pa.array(size, pa.int64()), pa.array(np.add.reduceat((classes != _UNSEEN).astype(np.int64), begin)),
+                pa.array(np.add.reduceat(base[place], begin)), pa.array(np.add.reduceat(inside[place], begin)),
                 pa.array([data[b:b + s] for b, s in zip(begin.tolist(), size.tolist(), strict=True)], pa.binary())],
                 names=[c.split()[0] for c in ENCODED.split(", ")]))
         return pa.concat_tables(out)

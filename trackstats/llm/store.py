@@ -15,5 +15,5 @@ def stored(df: DataFrame, name: str = "step", *, narrow: bool = False) -> DataFr
     """
     spark = df.sparkSession
     path = f"{scratch_path(spark)}/{name}"
-    (df.coalesce(2 * spark.sparkContext.defaultParallelism) if narrow else df).write.parquet(path)
+    (df.coalesce(2 * spark.sparkContext.defaultParallelism) if narrow else df).write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

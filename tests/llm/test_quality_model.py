@@ -45,7 +45,7 @@ def test_edge_rows(spark):
 def test_context_vectors_equal_brute_force(spark):
     rows = [b"the cat sat on the mat !! THE CAT", b"", b"one", b"the cat sat on the mat again and again"]
     df = spark.createDataFrame([(r,) for r in rows], "text binary").repartition(2)
-    sums = Q.summed(df.mapInArrow(Q._contexts, Q.PARTS), (Q.BUCKETS // 64, 64 * (Q.DIMENSIONS + 1))).reshape(Q.BUCKETS, -1)
+    sums = Q.summed(df.mapInArrow(Q._contexts, Q.PARTS), (Q.BUCKETS // 64, 64 * (Q.DIMENSIONS + 1)), np.int32).reshape(Q.BUCKETS, -1)
     want = np.zeros_like(sums)
     for r in rows:
         b, _ = Q.units([r])

@@ -21,7 +21,7 @@ from .registry import query, table
 from .store import stored
 from .tables import PARTS, parts, summed
 
-BUCKETS, DIMENSIONS = 1 << 14, 64
+BUCKETS, DIMENSIONS = 1 << 14, 32
 #: Neighbours on each side.
 REACH = 2
 #: Labelled documents that the network learns from, at most: those with the smallest hash.
@@ -73,7 +73,7 @@ def _contexts(batches):
                     signs += [np.ones(len(row)), -np.ones(len(row))]
             total += np.bincount(np.concatenate(cells), np.concatenate(signs), len(total))
     grouped = total.reshape(BUCKETS // 64, -1)
-    made = parts(grouped)
+    made = parts(grouped.astype(np.int32))
     used = np.flatnonzero(grouped.any(1))
     yield made.take(pa.array(used))
 
@@ -84,7 +84,7 @@ def word_vectors(texts: DataFrame) -> np.ndarray:
     Sums are damped by their logarithm and the corpus mean is taken out, which
     otherwise is the direction of the most frequent neighbours.
     """
-    sums = summed(texts.mapInArrow(_contexts, PARTS), (BUCKETS // 64, 64 * (DIMENSIONS + 1)))
+    sums = summed(texts.mapInArrow(_contexts, PARTS), (BUCKETS // 64, 64 * (DIMENSIONS + 1)), np.int32)
     sums = sums.reshape(BUCKETS, DIMENSIONS + 1)
     vectors, count = sums[:, :-1], sums[:, -1:]
     vectors = np.sign(vectors) * np.log1p(np.abs(vectors))
@@ -120,7 +120,7 @@ def _pooled(vectors):
                     out[full, -3] = np.linalg.norm(mean, axis=1)
                     out[full, -2] = np.abs(mean).max(1)
                 out[:, -1] = np.log1p(n) / 10
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(chunk)), pa.array([r.tobytes() for r in out])],
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(chunk)), pa.array([r.tobytes() for r in out.astype(np.float16)])],
                                                  names=["doc_id", "features"])
     return run
 
@@ -196,18 +196,18 @@ def scored(docs: DataFrame, labels: DataFrame, *, held_out: Column | None = None
     spark = docs.sparkSession
     out = F.coalesce(remainder("doc_id", 3) == 1 if held_out is None else held_out, F.lit(False))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    vectors = spark.sparkContext.broadcast(word_vectors(rows.select("text")).tobytes())  # 4 MB
+    vectors = spark.sparkContext.broadcast(word_vectors(rows.select("text")).tobytes())  # 2 MB
     pooled = stored(rows.mapInArrow(_pooled(vectors), "doc_id long, features binary"), "features")
     known = (labels.where("doc_id is not null and quality is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id"))
              .agg(F.max("quality").alias("quality")))
     sample = (pooled.where("doc_id is not null").where(~out).join(known, "doc_id")
               .orderBy(F.xxhash64("doc_id"), "features").limit(at_most).select("features", "quality").toArrow())
-    x = np.array([np.frombuffer(f, np.float32) for f in sample.column("features").to_pylist()]).reshape(-1, FEATURES)
+    x = np.array([np.frombuffer(f, np.float16) for f in sample.column("features").to_pylist()]).reshape(-1, FEATURES)
     net = learned(x, (np.array(sample.column("quality").to_pylist(), float) > 0).astype(float))
 
     def run(batches):
         for batch in batches:
-            data = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.float32).reshape(-1, FEATURES)
+            data = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.float16).reshape(-1, FEATURES)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(net.probability(data.astype(float)))], names=["doc_id", "score"])
     return pooled.mapInArrow(run, "doc_id long, score double").select("doc_id", out.alias("held_out"), "score")
 

@@ -15,24 +15,24 @@ def parts(table: np.ndarray) -> pa.RecordBatch:
                                       names=["part", "data"])
 
 
-def summed(made: DataFrame, shape: tuple[int, ...], dtype=np.float64) -> np.ndarray:
-    """The sum of all tasks' tables. Tasks add up one part at a time; ``shape`` bounds what reaches the driver."""
+def summed(made: DataFrame, shape: tuple[int, ...], sent=np.float64) -> np.ndarray:
+    """The sum of all tasks' tables, made as ``sent``. Tasks add up one part at a time; ``shape`` bounds what reaches the driver."""
     def run(batches):
         at, total = None, None
         for batch in batches:
             for part, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                row = np.frombuffer(data, dtype)
+                row = np.frombuffer(data, sent)
                 if part != at:
                     if at is not None:
                         yield _row(at, total)
-                    at, total = part, np.zeros(len(row), dtype)
+                    at, total = part, np.zeros(len(row))
                 total += row
         if at is not None:
             yield _row(at, total)
     rows = made.repartition("part").sortWithinPartitions("part").mapInArrow(run, PARTS).collect()
-    out = np.zeros(shape, dtype)
+    out = np.zeros(shape)
     for r in rows:
-        out[r.part] = np.frombuffer(r.data, dtype).reshape(shape[1:])
+        out[r.part] = np.frombuffer(r.data).reshape(shape[1:])
     return out
 
 

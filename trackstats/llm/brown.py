@@ -30,7 +30,7 @@ CLASSES, ROUNDS = 32, 5
 GROUPS = 256
 DISCOUNT, SMOOTHING = 0.75, 50.0
 #: Tokens that a counting task sums up before it sends them on; bytes of text in a block; words in a shard.
-FLUSH, BLOCK, SHARD = 1 << 21, 32 << 20, 1 << 17
+FLUSH, BLOCK, SHARD = 1 << 20, 32 << 20, 1 << 17
 #: Class numbers of the end of a text and of unseen words.
 _END_CLASS, _UNSEEN = CLASSES, CLASSES + 1
 _STATES = CLASSES + 2

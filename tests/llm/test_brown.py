@@ -70,6 +70,25 @@ def test_exchange_finds_two_languages(spark):
     assert sum(r.score for r in out) > sum(r.base_score for r in out)
 
 
+def test_classes_and_rounds():
+    assert (B.CLASSES, B.ROUNDS) == (64, 8)
+
+
+def test_stored_classes_are_those_of_repeated_rounds(spark):
+    rng = np.random.default_rng(6)
+    vocab = [f"w{i}" for i in range(300)]
+    df = docs(spark, [(i, " ".join(rng.choice(vocab, 80)), "", "", "") for i in range(100)]).select(F.col("text").cast("binary").alias("text"))
+    counted = df.mapInArrow(B._count, B.COUNTED).repartition("word").mapInArrow(B._merge, B.COUNTED).cache()
+    history, kept, done = B._clustered(counted, B.KEPT + 2)
+    assert done == B.KEPT and len(history) == B.KEPT + 2
+
+    def classes(t, *more):
+        h, _, length, codes, counts = B._columns(t)
+        return dict(zip(h.tolist(), B._classes(h, length, codes, counts, history, *more).tolist(), strict=True))
+    t = kept.toArrow()
+    assert classes(t, B._now(t), done) == classes(counted.toArrow())
+
+
 def test_held_out_texts_score_better_than_the_base(spark):
     found = B.op8_language_scores(spark, "/root/testdata/sf0.01").toPandas()
     out = found[found.held_out]

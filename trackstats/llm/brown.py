@@ -25,12 +25,16 @@ from .registry import query, table
 from .store import stored
 from .tables import PARTS, parts, summed
 
-CLASSES, ROUNDS = 32, 5
+CLASSES, ROUNDS = 64, 8
 #: Hashed groups of neighbours on each side.
 GROUPS = 256
 DISCOUNT, SMOOTHING = 0.75, 50.0
 #: Tokens that a counting task sums up before it sends them on; bytes of text in a block; words in a shard.
 FLUSH, BLOCK, SHARD = 1 << 20, 32 << 20, 1 << 17
+#: Words whose gains are worked out at a time: they stay in the processor's cache.
+STEP = 1 << 12
+#: Rounds after which the classes are stored.
+KEPT = 4
 #: Class numbers of the end of a text and of unseen words.
 _END_CLASS, _UNSEEN = CLASSES, CLASSES + 1
 _STATES = CLASSES + 2
@@ -136,14 +140,19 @@ def exchange(h: np.ndarray, now: np.ndarray, length, codes, counts, total: np.nd
     begin = np.cumsum(length) - length
     out = now.copy()
     moving = np.flatnonzero((h >> W.U64(7)) % W.U64(2) == W.U64(round_ % 2))
-    step = 1 << 14
-    for at in range(0, len(moving), step):
-        rows = moving[at:at + step]
+    # Words of like length together: the j-th neighbours of all of them are added at once.
+    moving = moving[np.argsort(-length[moving], kind="stable")]
+    for at in range(0, len(moving), STEP):
+        rows = moving[at:at + STEP]
         size = length[rows]
         first = np.cumsum(size) - size
         entry = np.repeat(begin[rows] - first, size) + np.arange(size.sum())
         code, n = codes[entry], counts[entry].astype(np.float32)
-        gain = np.add.reduceat(shares[code] * n[:, None], first, axis=0)
+        gain = np.zeros((len(rows), CLASSES), np.float32)
+        longer = len(rows) - np.searchsorted(size[::-1], np.arange(size[0]), "right")
+        for j, m in enumerate(longer.tolist()):
+            e = first[:m] + j
+            gain[:m] += shares[code[e]] * n[e, None]
         # In its own class a word does not speak for itself.
         own = np.repeat(now[rows], size)
         tokens = np.repeat(np.add.reduceat(n, first) / 2, size)
@@ -154,30 +163,62 @@ def exchange(h: np.ndarray, now: np.ndarray, length, codes, counts, total: np.nd
     return out
 
 
-def _classes(h, length, codes, counts, history: list[np.ndarray]) -> np.ndarray:
-    """The classes after the rounds whose tables are given; rounds are repeated rather than stored."""
-    now = _first_classes(h, length, codes, counts)
-    for round_, total in enumerate(history):
+def _classes(h, length, codes, counts, history: list[np.ndarray], now: np.ndarray | None = None, done: int = 0) -> np.ndarray:
+    """The classes after the rounds whose tables are given, from ``now``, the classes after the first ``done`` of them."""
+    now = _first_classes(h, length, codes, counts) if now is None else now
+    for round_, total in enumerate(history[done:], done):
         now = exchange(h, now, length, codes, counts, total, round_)
     return now
 
 
-def cluster(counted: DataFrame, rounds: int = ROUNDS) -> list[np.ndarray]:
-    """Tables of classes against neighbours, one per round."""
-    spark, history = counted.sparkSession, []
-    for _ in range(rounds):
-        shared = spark.sparkContext.broadcast(history)
+def _gathered(batches, size: int = 1 << 16):
+    """Rows in tables of about ``size``."""
+    held, rows = [], 0
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            rows += batch.num_rows
+        if rows >= size:
+            yield pa.Table.from_batches(held)
+            held, rows = [], 0
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _now(table_: pa.Table) -> np.ndarray | None:
+    return table_.column(4).to_numpy().astype(np.int64) if table_.num_columns > 4 else None
+
+
+def _clustered(counted: DataFrame, rounds: int) -> tuple[list[np.ndarray], DataFrame, int]:
+    """Tables of classes against neighbours, one per round; the word table with the classes after some rounds, and how many.
 
-        def add(batches, shared=shared):
+    Classes are stored every ``KEPT`` rounds; in between, rounds are repeated rather than stored.
+    """
+    spark, history, done = counted.sparkSession, [], 0
+    for round_ in range(rounds):
+        shared = spark.sparkContext.broadcast(history)
+        if round_ - done == KEPT:
+            def keep(batches, shared=shared, done=done):
+                for t in _gathered(batches):
+                    h, _, length, codes, counts = _columns(t)
+                    now = _classes(h, length, codes, counts, shared.value, _now(t), done).astype(np.int16)
+                    yield from pa.table([*t.columns[:4], pa.array(now)], names=["word", "n", "codes", "counts", "class"]).to_batches()
+            counted, done = stored(counted.mapInArrow(keep, COUNTED + ", class short"), f"words{round_}"), round_
+
+        def add(batches, shared=shared, done=done):
             total = np.zeros(CLASSES * 2 * GROUPS)
-            for batch in batches:
-                if batch.num_rows:
-                    h, _, length, codes, counts = _columns(batch)
-                    now = _classes(h, length, codes, counts, shared.value)
-                    total += np.bincount(np.repeat(now, length) * (2 * GROUPS) + codes, counts, len(total))
+            for t in _gathered(batches):
+                h, _, length, codes, counts = _columns(t)
+                now = _classes(h, length, codes, counts, shared.value, _now(t), done)
+                total += np.bincount(np.repeat(now, length) * (2 * GROUPS) + codes, counts, len(total))
             yield parts(total.reshape(CLASSES, -1))
         history.append(summed(counted.mapInArrow(add, PARTS), (CLASSES, 2 * GROUPS)))
-    return history
+    return history, counted, done
+
+
+def cluster(counted: DataFrame, rounds: int = ROUNDS) -> list[np.ndarray]:
+    """Tables of classes against neighbours, one per round."""
+    return _clustered(counted, rounds)[0]
 
 
 def _shard(h: np.ndarray, bits: int) -> np.ndarray:
@@ -193,14 +234,12 @@ def _asked_batch(rows: list[tuple]) -> pa.RecordBatch:
                                       names=[c.split()[0] for c in ASKED.split(", ")])
 
 
-def _entries(history, bits: int):
+def _entries(history, done: int, bits: int):
     """The word table, packed by shard."""
     def run(batches):
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            h, n, length, codes, counts = _columns(batch)
-            now = _classes(h, length, codes, counts, history.value).astype(np.uint8)
+        for t in _gathered(batches):
+            h, n, length, codes, counts = _columns(t)
+            now = _classes(h, length, codes, counts, history.value, _now(t), done).astype(np.uint8)
             now[h == END] = _END_CLASS
             shard = _shard(h, bits)
             rows = []
@@ -334,9 +373,10 @@ def language_scores(docs: DataFrame, *, held_out: Column, rounds: int = ROUNDS)
     counted = stored(rows.where(~F.col("held_out")).select("text").mapInArrow(_count, COUNTED).repartition("word")
                      .mapInArrow(_merge, COUNTED), "words")
     n, v = counted.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    history = spark.sparkContext.broadcast(cluster(counted, rounds))
+    history, counted, done = _clustered(counted, rounds)
+    history = spark.sparkContext.broadcast(history)
     bits = max(0, int(v // SHARD).bit_length())
-    entries = stored(counted.mapInArrow(_entries(history, bits), ASKED), "entries")
+    entries = stored(counted.mapInArrow(_entries(history, done, bits), ASKED), "entries")
 
     def sizes(batches):
         total = np.zeros((2, _STATES))

@@ -66,3 +66,12 @@ def test_temperature_mends_overconfidence():
     net.logits = lambda z: 4 * z[:, 0]
     net.calibrate(x, y)
     assert 3 < net.temperature < 5.5
+
+
+def test_features_hold_64_dimensions_in_half_precision(spark):
+    assert Q.DIMENSIONS == 64 and Q.FEATURES == 133
+    texts = spark.createDataFrame([(1, b"the cat sat on the mat")], "doc_id long, text binary")
+    vectors = Q.word_vectors(texts.select("text"))
+    assert vectors.shape == (Q.BUCKETS, 64)
+    found = texts.mapInArrow(Q._pooled(spark.sparkContext.broadcast(vectors.tobytes())), "doc_id long, features binary").first()
+    assert len(found.features) == 2 * 133

@@ -319,8 +319,15 @@ def valid_numbers(spark, folder):
 # --- extraction -----------------------------------------------------------------------
 
 
+#: Tracks of a stored page, about.
+PAGE_TRACKS = 100
+
+
 def stored_chart_pages(spark, folder):
-    """A stored page per artist and year: header, a row per track, a nested table, rows to be left out."""
+    """Stored pages per artist and year: header, a row per track, a nested table, rows to be left out.
+
+    An artist's year has as many pages as its tracks need, so no page grows with the table.
+    """
     def row(*cells):
         return F.concat(F.lit("<tr class=r>"), *[F.concat(F.lit("<td> "), c, F.lit("</td>")) for c in cells], F.lit("</tr>\n"))
 
@@ -328,7 +335,11 @@ def stored_chart_pages(spark, folder):
     title = F.concat(F.lit("<a href='#'>"), "artist_title", F.lit("</a> &eacute;&#233;&#x2013; &amp;lt;"))
     rows = F.concat(row(title, number, F.format_number("duration_ms", 0)), row(F.col("Title"), number),
                     row(F.col("artist_title"), F.lit("n/a"), number))
-    paged = tracks(spark, folder).groupBy(F.col("Year").alias("year"), "Artist").agg(F.array_join(F.collect_list(rows), "").alias("rows"))
+    df = tracks(spark, folder)
+    blocks = df.groupBy("Year", "Artist").agg(F.ceil(F.count(F.lit(1)) / PAGE_TRACKS).alias("blocks"))
+    block = F.pmod(F.xxhash64("track_id"), F.col("blocks")).alias("block")
+    paged = (keys.lookup(df, blocks, ["Year", "Artist"], "inner").groupBy(F.col("Year").alias("year"), "Artist", block)
+             .agg(F.array_join(F.collect_list(rows), "").alias("rows")))
     html = F.concat(
         F.lit("<html><p>x</p><table class='c'><tr><th>Artist and Title</th><th>Streams</th><th>Daily</th></tr>\n"
               "<track src='t'><tr><td>in<table><tr><td>nested</td></tr></table></td><td>1</td></tr>"), "rows",

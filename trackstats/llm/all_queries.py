@@ -1,4 +1,5 @@
 """Imports every module of this subpackage that registers a query."""
 
-from . import brown, decontaminate, edit_counts, licences, mixing, near_dedup, packing, quality_model, quality_rules, warc  # noqa: F401
+from . import (  # noqa: F401
+    brown, decontaminate, edit_counts, licences, mixing, near_dedup, packing, quality_model, quality_rules, url_filter, warc)
 from .registry import ORACLES, QUERIES  # noqa: F401

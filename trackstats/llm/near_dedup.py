@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import words as W
+from .graph import components
 from .registry import query, table
 from .store import stored
 
@@ -170,32 +171,6 @@ def _may_be_similar(a: str, b: str, percent: int) -> Column:
     return flips <= _most_flips(percent)
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """``node, component`` (the smallest node reachable) of all nodes of the edges ``a, b``.
-
-    Alternates two star steps, each a minimum per node joined back to the edges,
-    until every node points at one node that points at none; every table is as large as the edges.
-    """
-    e = stored(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-               .where("u <> v").distinct(), "edges", narrow=True)
-    while True:
-        both = e.select("u", "v").unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("low"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.least("low", "u").alias("v"))
-        low = large.groupBy("u").agg(F.min("v").alias("low"))
-        small = (large.join(low, "u").where("v <> low").select(F.col("v").alias("u"), F.col("low").alias("v"))
-                 .unionByName(low.select("u", F.col("low").alias("v"))).distinct())
-        e = stored(small, "edges", narrow=True)
-        ends = (e.select(F.col("u").alias("node"), F.lit(1).alias("out"), F.lit(0).alias("into"))
-                .unionByName(e.select(F.col("v").alias("node"), F.lit(0).alias("out"), F.lit(1).alias("into")))
-                .groupBy("node").agg(F.sum("out").alias("out"), F.max("into").alias("into")))
-        if ends.where("out > 1 or out = 1 and into = 1").isEmpty():
-            break
-    tops = e.select("v").distinct()
-    return (e.select(F.col("u").alias("node"), F.col("v").alias("component"))
-            .unionByName(tops.select(F.col("v").alias("node"), F.col("v").alias("component"))))
-
-
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs ``a, b`` whose full sets are similar enough."""
     left = sets.select(F.col("doc_id").alias("a"), F.col("members").alias("sa"))

@@ -18,7 +18,9 @@ never mix texts. A text costs O(n log n) time and its arrays some 150 bytes a wo
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -245,10 +247,11 @@ def find_runs(ids: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 def _found(texts: list[bytes]) -> Iterator[tuple[list[tuple[int, int, int]], bytes]]:
     """Runs and the text without its repetitions, for texts of a chunk."""
-    numbers: dict[bytes, int] = {}
+    numbers: defaultdict[bytes, int] = defaultdict()
+    numbers.default_factory = numbers.__len__
     words = [t.split() for t in texts]  # ASCII white space only, as these are bytes
     first = np.concatenate([[0], np.cumsum([len(w) for w in words])]).astype(np.int64)
-    ids = np.fromiter((numbers.setdefault(x, len(numbers)) for w in words for x in w), np.int64, int(first[-1]))
+    ids = np.fromiter(map(numbers.__getitem__, chain.from_iterable(words)), np.int64, int(first[-1]))
     start, length, q = find_runs(ids, first)
     change = np.zeros(len(ids) + 1, np.int64)
     np.add.at(change, start + q, 1)

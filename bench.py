@@ -2,6 +2,8 @@
 
 Past the time budget a query gets one run after its warm-up.
 
+The corpus is one file of one row group, so it is dealt out to the threads.
+
 Prints one JSON line. ``BENCH_SF_DIR`` names the tables, ``BENCH_CPUS`` the threads.
 """
 
@@ -16,6 +18,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from trackstats.plans.all_queries import QUERIES  # noqa: E402
+from trackstats.plans.inputs import TEXT_PARTITIONS  # noqa: E402
 from trackstats.session import session  # noqa: E402
 
 BUDGET = 150.0
@@ -42,7 +45,7 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     names = sys.argv[1:] or HEADLINE
     spark = session(f"local[{cpus}]", app="bench", shuffle_partitions=int(cpus), **{
-        "spark.driver.memory": "16g", "spark.ui.showConsoleProgress": "false"})
+        "spark.driver.memory": "16g", "spark.ui.showConsoleProgress": "false", TEXT_PARTITIONS: cpus})
     spark.sparkContext.setLogLevel("ERROR")
     times, runs, start = {}, {}, time.perf_counter()
     for name in names:

@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from trackstats.operators import clean, density, enrich, evolution, keys, merge, rank, select, stats, text
+from trackstats.operators import clean, density, enrich, evolution, keys, merge, rank, scoring, select, stats, text
 from trackstats.plans import jobs
 
 
@@ -424,3 +424,36 @@ def test_feature_batch_flags_every_row(spark):
     done = spark.createDataFrame([(0,)], "k int")
     out = enrich.feature_batch(songs, feats, key="k", flag="done", batch_size=3, done=done)
     assert rows(out.select("k", "energy", "done"), "k") == [(1, 0.5, True), (2, None, True), (3, 0.7, True)]
+
+
+@pytest.mark.parametrize("kind", ["words", "trigrams"])
+def test_scores_by_blocks_equal_scores_in_the_row(spark, monkeypatch, kind):
+    import random
+    rng = random.Random(kind)
+    texts = [None, "", "zz", *(" ".join(rng.choice(["good", "bad", "sun", "été", "x", "новый"]) for _ in range(rng.randrange(60))) for _ in range(80))]
+    docs = spark.createDataFrame([(i % 7 or None, t) for i, t in enumerate(texts)], "id int, t string").repartition(3)
+    pieces = ["good", "bad", "été", "never"] if kind == "words" else ["goo", "ood", "été", "d b", "нов", "toolong"]
+    model = spark.createDataFrame([(p, lab, w + 0.5) for w, p in enumerate(pieces) for lab in ("A", "B")[:1 + w % 2]] + [("bad", "A", 1.0), (None, "A", 1.0)],
+                                  "piece string, label string, weight double")
+
+    def found():
+        out = scoring.scored(docs, ["id"], F.col("t"), model, kind=kind).collect()
+        return sorted(repr((r.id, [(s.label, s.score) for s in r.scores])) for r in out)
+    want = found()
+    assert len(want) == len(texts) and any("A" in w for w in want)
+    monkeypatch.setattr(scoring, "CHUNK", 300)
+    assert found() == want
+    monkeypatch.setattr(scoring, "ROWS", 0)
+    assert found() == want
+
+
+def test_scores_make_no_row_per_piece(spark):
+    lexicon = spark.createDataFrame([("good", 2.0)], "word string, weight double")
+    docs = spark.createDataFrame([(1, "good")], "id int, Lyrics string")
+    profiles = spark.createDataFrame([("de", "und", 5)], "lang string, gram string, weight long")
+    keywords = spark.createDataFrame([("good", "A", 1)], "word string, topic string, weight int")
+    for scored in (text.sentiment(docs, lexicon, key="id"), text.label_language(docs, profiles, key="id"), enrich.keyword_topics(docs, keywords, key="id")):
+        plan = scored._jdf.queryExecution().executedPlan().toString()
+        assert "Generate" not in plan and "Exchange" not in plan
+    trained = text.train_language_profiles(docs.select(F.lit("de").alias("lang"), F.col("Lyrics").alias("text")))
+    assert "Generate" not in trained._jdf.queryExecution().executedPlan().toString()

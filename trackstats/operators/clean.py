@@ -62,21 +62,33 @@ def preview(df: DataFrame, order: list[Column | str], n: int = 5) -> DataFrame:
 def quality_report(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """``(check, column, n)``: missing values per column, duplicate rows, duplicate keys.
 
-    All come from one table of different rows and their counts, so the input is
-    read once; texts move as digests.
+    A row moves as two 64-bit hashes of its values, two of its key and the bits
+    of its missing columns, whatever its width; equal rows are counted before
+    they move, and all checks come from that one table.
     """
     columns = df.columns
-    per = df.select(*[_digest(c, t) for c, t in df.dtypes]).groupBy(*columns).agg(F.count(F.lit(1)).alias("__n"))
+    with_keys = bool(keys) and all(k in columns for k in keys)
     gone = [F.col(c).isNull() | F.isnan(c) if t in ("double", "float") else F.col(c).isNull() for c, t in df.dtypes]
-    missing = per.agg(*[F.coalesce(F.sum(F.when(g, F.col("__n")).otherwise(0)), F.lit(0)) for g in gone])
+    words = [sum(F.shiftleft(g.cast("long"), j) for j, g in enumerate(gone[i:i + 62])).alias(f"__gone{i // 62}") for i in range(0, len(gone), 62)]
+    parts = [*words, *_row_hashes(columns, "__row"), *(_row_hashes(keys, "__key") if with_keys else [])]
+    narrow = df.select(*parts)
+    per = narrow.groupBy(*narrow.columns).agg(F.count(F.lit(1)).alias("__n"))
+    bit = [F.shiftright(f"__gone{i // 62}", i % 62).bitwiseAND(F.lit(1)) for i in range(len(columns))]
+    missing = per.agg(*[F.coalesce(F.sum(b * F.col("__n")), F.lit(0)) for b in bit])
     missing = missing.toDF(*columns).unpivot([], columns, "column", "n").select(
         F.lit("missing").alias("check"), "column", "n")
     report = missing.unionByName(_surplus(per, "duplicate_rows"))
-    if keys and all(k in columns for k in keys):
-        report = report.unionByName(_surplus(per.groupBy(*keys).agg(F.sum("__n").alias("__n")), "duplicate_keys"))
+    if with_keys:
+        report = report.unionByName(_surplus(per.groupBy("__key0", "__key1").agg(F.sum("__n").alias("__n")), "duplicate_keys"))
     return report
 
 
+def _row_hashes(columns: list[str], name: str) -> list[Column]:
+    """Two hashes of a row, 128 bits together; a missing value counts with its place."""
+    values = [x for c in columns for x in (F.col(c).isNull(), F.col(c))]
+    return [F.xxhash64(*values).alias(f"{name}0"), F.xxhash64(F.lit(name), *values).alias(f"{name}1")]
+
+
 def _digest(c: str, t: str) -> Column:
     """A text's SHA-256 in place of the text, whatever its length."""
     return F.sha2(F.col(c).cast("binary"), 256).alias(c) if t == "string" else F.col(c)

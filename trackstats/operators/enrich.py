@@ -11,7 +11,8 @@ from ..functions import scalars as S
 from ..functions import vocab
 from .keys import best_per_key, lookup
 from .merge import next_batch
-from .text import each_copy, own_row, text_pieces, word_list
+from .scoring import scored
+from .text import leading, spaced_words
 
 
 def classify(df: DataFrame, fn: Callable, schema: str, *, parallelism: int | None = None) -> DataFrame:
@@ -37,13 +38,9 @@ def keyword_topics(df: DataFrame, keywords: DataFrame, *, key: str, text: str =
     the alphabetically first topic.
     """
     src = df.select(key, text, S.is_blank(text).alias("__blank"))
-    table = keywords.select(F.col("word").alias("__piece"), F.col("topic").alias("__topic"), F.col("weight").alias("__weight"))
-    met = text_pieces(src, [key, "__blank"], text, word_list(text)).join(table, "__piece", "left")
-    scores = met.groupBy(key, "__blank", "__text", "__topic").agg(F.sum("__weight").alias("__score"), F.count_if(own_row()).alias("__rows"))
-    order = F.when(F.col("__topic").isNotNull(), F.struct((-F.col("__score")).alias("s"), F.col("__topic").alias("t")))
-    best = scores.groupBy(key, "__blank", "__text").agg(F.min_by("__topic", order).alias("__found"), F.max("__rows").alias("__copies"))
-    return each_copy(best).select(
-        key, F.when(F.col("__blank"), F.lit(blank_topic)).otherwise(F.col("__found")).alias("Topic"))
+    model = keywords.select(F.col("word").alias("piece"), F.col("topic").alias("label"), "weight")
+    found = scored(src, [key, "__blank"], spaced_words(text), model, kind="words")
+    return found.select(key, F.when(F.col("__blank"), F.lit(blank_topic)).otherwise(leading(F.col("scores"))).alias("Topic"))
 
 
 def topic_keywords(topics: list[str] = vocab.TOPICS) -> list[tuple[str, str, int]]:

@@ -1,7 +1,8 @@
 """Word counts, stems, language, sentiment and readability of long texts.
 
-Texts are exploded to words and reduced again by map-side combined aggregation
-before anything is shuffled; the text column itself never leaves its task.
+Counts of words explode a text and are reduced again by map-side combined
+aggregation before anything is shuffled; scores of a text are made inside its row
+(``scoring``). The text column itself never leaves its task.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from ..functions import scalars as S
 from ..functions import vocab
 from ..functions.stem import porter
 from .keys import once, top_n
+from .scoring import scored, tallies
 
 DEFAULT_STOPWORDS = sorted({*vocab.LYRIC_STOPWORDS, *vocab.ENGLISH_EXTRA_STOPWORDS})
 
@@ -27,9 +29,14 @@ def merge_vocabularies(*tables: DataFrame) -> DataFrame:
     return out.distinct()
 
 
+def spaced_words(text) -> Column:
+    """The cleaned text: lower case, only words and white space."""
+    return S.punctuation_to_space(S.strip_markers(F.lower(text)))
+
+
 def word_list(text) -> Column:
     """All words of the cleaned text."""
-    return F.array_remove(F.split(S.punctuation_to_space(S.strip_markers(F.lower(text))), r"\s+"), "")
+    return F.array_remove(F.split(spaced_words(text), r"\s+"), "")
 
 
 def words(df: DataFrame, keep: list[str], text: str = "Lyrics") -> DataFrame:
@@ -37,28 +44,6 @@ def words(df: DataFrame, keep: list[str], text: str = "Lyrics") -> DataFrame:
     return df.select(*keep, F.explode(word_list(text)).alias("word"))
 
 
-def text_pieces(df: DataFrame, keep: list[str], text: str, pieces: Column) -> DataFrame:
-    """``(keep..., __text, __piece)``: the pieces of every text, and an empty piece for the row itself.
-
-    ``__text`` is a digest: rows are scored by key and text, so a key may repeat
-    or be NULL, and rows alike in both are counted by their empty pieces. A
-    table of any size can be joined on ``__piece``; the texts are read once.
-    """
-    some = F.array_append(F.coalesce(pieces, F.array().cast("array<string>")), F.lit(""))
-    digest = F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")))
-    return df.select(*keep, digest.alias("__text"), F.explode(some).alias("__piece"))
-
-
-def own_row() -> Column:
-    """True on the empty piece that stands for the row."""
-    return F.col("__piece") == ""
-
-
-def each_copy(scored: DataFrame, copies: str = "__copies") -> DataFrame:
-    """One row for each of the rows that were counted."""
-    return scored.withColumn(copies, F.explode(F.sequence(F.lit(1), F.col(copies)))).drop(copies)
-
-
 def word_counts(df: DataFrame, group: list[str], *, text: str = "Lyrics",
                 stopwords: list[str] | DataFrame = DEFAULT_STOPWORDS, min_length: int = 3) -> DataFrame:
     """``(group..., word, n)`` of content words."""
@@ -132,43 +117,43 @@ def language_text(text) -> Column:
     return S.strip_blanks(S.strip_markers(text, ""))
 
 
-def trigrams(text) -> Column:
-    """All character triples of the letters of a text, words one space apart."""
-    letters = F.regexp_replace(F.lower(S.col(text)), r"[^\p{L}]+", " ")
-    return F.regexp_extract_all(letters, F.lit("(?=(...))"), F.lit(1))
+def letters(text) -> Column:
+    """The letters of a text in lower case, words one space apart."""
+    return F.regexp_replace(F.lower(S.col(text)), r"[^\p{L}]+", " ")
 
 
 def train_language_profiles(labelled: DataFrame, *, text: str = "text", language: str = "lang",
                             size: int | None = None) -> DataFrame:
-    """``(lang, gram, weight)``: the trigrams of every language, or only the ``size`` commonest.
+    """``(lang, gram, weight)``: the character triples of every language, or only the ``size`` commonest.
 
     The weight is a whole-number log probability above a fixed floor, so that
     scores add up exactly in any order.
     """
-    grams = labelled.where(F.col(language).isNotNull()).select(
-        F.col(language).alias("lang"), F.explode(trigrams(text)).alias("gram"))
-    counts = grams.groupBy("lang", "gram").agg(F.count(F.lit(1)).alias("n"))
+    known = labelled.where(F.col(language).isNotNull())
+    counts = tallies(known, F.col(language), letters(text), kind="trigrams").select(F.col("label").alias("lang"), F.col("piece").alias("gram"), "n")
     totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
     best = counts if size is None else top_n(counts, ["lang"], [F.col("n").desc(), F.col("gram")], size)
     weight = F.greatest(F.round(F.log(F.col("n") / F.col("total") * 1e6) * 1000), F.lit(0.0))
     return best.join(totals, "lang").select("lang", "gram", weight.cast("bigint").alias("weight"))
 
 
+def leading(scores: Column) -> Column:
+    """The label with the greatest score, the alphabetically first of equals; NULL without any."""
+    return F.array_min(F.transform(scores, lambda s: F.struct((-s["score"]).alias("less"), s["label"].alias("label"))))["label"]
+
+
 def label_language(df: DataFrame, profiles: DataFrame, *, key: str, text: str = "Lyrics", default: str = "en",
                    min_length: int = 30) -> DataFrame:
     """``(key, language)`` of every row: the likeliest language by trigrams, for any number of languages.
 
     Blank, ``'0'`` and short texts, and texts without a known trigram, get the
-    default. Scores of one text are summed inside its task before the shuffle.
+    default. Texts are scored in the task that read them.
     """
     cleaned = language_text(text)
     usable = (~S.is_blank(text) & (S.strip_blanks(text) != "0") & (F.length(cleaned) >= min_length))
-    grams = text_pieces(df, [key], text, F.when(usable, trigrams(cleaned)))
-    met = grams.join(profiles.select(F.col("gram").alias("__piece"), F.col("lang").alias("__lang"), F.col("weight").alias("__weight")), "__piece", "left")
-    scores = met.groupBy(key, "__text", "__lang").agg(F.sum("__weight").alias("__score"), F.count_if(own_row()).alias("__rows"))
-    order = F.when(F.col("__lang").isNotNull(), F.struct((-F.col("__score")).alias("s"), F.col("__lang").alias("l")))
-    best = scores.groupBy(key, "__text").agg(F.min_by("__lang", order).alias("__best"), F.max("__rows").alias("__copies"))
-    return each_copy(best).select(key, F.coalesce("__best", F.lit(default)).alias("language"))
+    model = profiles.select(F.col("gram").alias("piece"), F.col("lang").alias("label"), "weight")
+    found = scored(df, [key], F.when(usable, letters(cleaned)), model, kind="trigrams")
+    return found.select(key, F.coalesce(leading(F.col("scores")), F.lit(default)).alias("language"))
 
 
 # --- sentiment --------------------------------------------------------------------
@@ -179,12 +164,10 @@ def sentiment(df: DataFrame, lexicon: DataFrame, *, key: str, text: str = "Lyric
     The summed weights s of a text become s / sqrt(s^2 + alpha) with four
     decimals (Hutto & Gilbert 2014); texts without a listed word score 0.
     """
-    weights = lexicon.groupBy(F.col("word").alias("__piece")).agg(F.max("weight").alias("__weight"))
-    met = text_pieces(df, [key], text, word_list(text)).join(weights, "__piece", "left")
-    sums = met.groupBy(key, "__text").agg(F.sum("__weight").cast("double").alias("__s"), F.count_if(own_row()).alias("__copies"))
-    s = F.coalesce(F.col("__s") / F.col("__copies"), F.lit(0.0))
-    scored = sums.withColumn("Sentiment_Score", F.round(s / F.sqrt(s * s + alpha), 4))
-    return each_copy(scored).select(key, "Sentiment_Score")
+    model = lexicon.groupBy(F.col("word").alias("piece")).agg(F.max("weight").alias("weight")).withColumn("label", F.lit(""))
+    found = scored(df, [key], spaced_words(text), model, kind="words")
+    s = F.coalesce(F.get("scores", F.lit(0))["score"], F.lit(0.0))
+    return found.select(key, F.round(s / F.sqrt(s * s + alpha), 4).alias("Sentiment_Score"))
 
 
 # --- readability --------------------------------------------------------------------

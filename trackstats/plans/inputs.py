@@ -103,8 +103,15 @@ fresh AS (
     AND (o_orderstatus <> 'F' OR o_orderpriority = '1-URGENT' OR year(o_orderdate) > 1999))"""
 
 
+#: Session setting: deal the documents out to so many tasks. For corpora in a few large row groups; unset, a scan's own tasks stay.
+TEXT_PARTITIONS = "trackstats.textPartitions"
+
+
 def lyrics(spark: SparkSession, folder: str) -> DataFrame:
     d = table(spark, folder, "documents")
+    wanted = spark.conf.get(TEXT_PARTITIONS, None)
+    if wanted:
+        d = d.repartition(int(wanted))
     return d.select(
         "doc_id", (F.col("doc_id") % 16 + 2010).cast("int").alias("Year"), F.col("source").alias("Artist"),
         F.concat(F.lit("doc"), "doc_id").alias("Title"), F.col("lang").alias("language"),

@@ -17,7 +17,7 @@ def rows(df):
 
 def test_long_rows_are_skipped_and_short_ones_padded(spark, tmp_path):
     path = write(tmp_path / "a.csv", 'a,b\n1,2\n3,4,5\n6\n"say ""hi""\nx",NA\n')
-    assert rows(tables.read_csv(spark, path, multiline=True)) == [("1", "2"), ("6", None), ('say "hi"\nx', None)]
+    assert rows(tables.read_csv(spark, path)) == [("1", "2"), ("6", None), ('say "hi"\nx', None)]
 
 
 def test_types_and_byte_order_mark(spark, tmp_path):
@@ -91,7 +91,7 @@ def test_responses(spark):
 def test_csv_round_trip(spark, tmp_path):
     df = spark.createDataFrame([(1, 'a "q", b'), (2, "line\nbreak")], "id int, text string")
     sinks.write_csv(df, str(tmp_path / "out"), bom=True)
-    back = tables.read_csv(spark, str(tmp_path / "out"), {"id": "int"}, multiline=True)
+    back = tables.read_csv(spark, str(tmp_path / "out"), {"id": "int"})
     assert sorted(rows(back)) == sorted(rows(df))
     with pytest.raises(Exception):
         sinks.write_csv(df, str(tmp_path / "out"))
@@ -115,3 +115,46 @@ def test_batches_resume_and_repeat(spark, tmp_path):
     saved = sinks.saved_batches(spark, path, df.schema)
     assert saved.count() == 7 and membership(df, saved, ["id"], present=False).count() == 3
     assert sorted(r.id for r in sinks.pending(df, path, "id").collect()) == [7, 8, 9]
+
+
+@pytest.mark.parametrize("seed", range(3))
+@pytest.mark.parametrize("split", [23, 120, 1 << 20])
+def test_quoted_line_ends_in_a_splittable_read(spark, tmp_path, seed, split):
+    import csv
+    import io
+    import random
+    rng = random.Random(seed)
+    words = ["a", "b c", "", '"', ",", "\n", "\r\n", 'say "x"', "long " * 30, "é", "5\" disk\n"]
+    want = []
+    for f in range(3):
+        out = io.StringIO()
+        w = csv.writer(out, lineterminator="\r\n" if f == 1 else "\n", quoting=csv.QUOTE_ALL if f == 2 else csv.QUOTE_MINIMAL)
+        w.writerow(["id", "xé", "y"])
+        for i in range(rng.randrange(1, 40)):
+            row = [f"{f}-{i}", "".join(rng.choice(words) for _ in range(rng.randrange(4))), rng.choice(words)]
+            w.writerow(row)
+            want.append(row)
+        (tmp_path / f"{f}.csv").write_bytes(out.getvalue().encode() if f else out.getvalue().encode().rstrip(b"\n"))
+    for name, value in (("maxPartitionBytes", split), ("openCostInBytes", 0)):
+        spark.conf.set(f"spark.sql.files.{name}", str(value))
+    try:
+        got = rows(tables.read_ragged_csv(spark, str(tmp_path), "y")[0])
+    finally:
+        for name in ("maxPartitionBytes", "openCostInBytes"):
+            spark.conf.unset(f"spark.sql.files.{name}")
+    assert sorted(got) == sorted((a, b, c) for a, b, c in want)
+
+
+def test_lines_within_quotes(tmp_path):
+    from trackstats.sources.records import ends_inside
+    assert [ends_inside(t, False) for t in ('a,b', '"a', 'a,"b""', 'a,"b"', 'a 5" b,c', '"a"b,"', '"a""', '""', '"""', '', 'a,')] == [
+        False, True, True, False, False, True, True, False, True, False, False]
+    assert [ends_inside(t, True) for t in ('a,b', 'a"', 'a""', 'a"",b"', 'a","b', 'a",5" b', '"', '""')] == [
+        True, False, True, False, True, False, False, True]
+
+
+def test_a_quote_that_is_never_closed_keeps_its_text(spark, tmp_path):
+    path = write(tmp_path / "open.csv", 'a,b\n1,2\n3,"x\ny\n')
+    assert rows(tables.read_csv(spark, path, one_line=False).select("a")) == [("1",), ("3",)]
+    assert rows(tables.read_csv(spark, write(tmp_path / "e.csv", "a,b\n"))) == []
+    assert rows(tables.read_csv(spark, write(tmp_path / "one.csv", "a,b\n1,2\n"), one_line=True)) == [("1", "2")]

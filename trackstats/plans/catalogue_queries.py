@@ -374,7 +374,7 @@ def json_feature_rows(spark, folder):
     """Responses with numbers beside names, objects, numbers in quotes and missing values."""
     more = F.concat(F.lit('{"id":"abc","nested":{"energy":1},"text":"'), (F.col("user_id") / 2).cast("string"), F.lit('","tempo":'),
                     F.when(F.col("event_type") == "error", F.lit("null")).otherwise(F.col("value").cast("string")), F.lit(","),
-                    F.substring("props", 2, 100_000))
+                    F.expr("substring(props, 2, length(props))"))
     return pages.feature_rows(table(spark, folder, "events").select("event_id", more.alias("r")), ["event_id"], "r")
 
 
@@ -436,23 +436,37 @@ def write_lines(df, line, header: str, path: str) -> str:
     return path
 
 
-@query("""SELECT p_partkey AS id, CASE WHEN p_type = 'SMALL' THEN NULL ELSE p_brand END AS brand,
-  CASE WHEN p_type IN ('ECONOMY', 'LARGE') THEN NULL ELSE p_size END AS size FROM part WHERE p_type <> 'PROMO'""")
+#: A text with a line end, a comma and a quote, as it stands in a quoted field and as it is read.
+IN_QUOTES, AS_READ = '"first, ""line""\n{}\n"', 'first, "line"\n{}\n'
+
+
+def _quoted(template: str, name):
+    before, after = template.split("{}")
+    return F.concat(F.lit(before), name, F.lit(after))
+
+
+READ_SQL = "concat('first, \"line\"', chr(10), p_name, chr(10))"
+
+
+@query(f"""SELECT p_partkey AS id, CASE WHEN p_type = 'SMALL' THEN NULL ELSE p_brand END AS brand,
+  CASE WHEN p_type IN ('ECONOMY', 'LARGE') THEN NULL ELSE p_size END AS size,
+  CASE WHEN p_type = 'LARGE' THEN NULL WHEN p_partkey % 2 = 0 THEN {READ_SQL} ELSE p_name END AS lyrics FROM part WHERE p_type <> 'PROMO'""")
 def csv_malformed(spark, folder):
-    """Rows with too many, too few and unreadable fields."""
+    """Rows with too many, too few and unreadable fields, texts with line ends, quotes and commas."""
     p = F.col("p_type")
+    lyrics = F.when(F.col("p_partkey") % 2 == 0, _quoted(IN_QUOTES, F.col("p_name"))).otherwise(F.col("p_name"))
     line = F.concat_ws(",", F.col("p_partkey").cast("string"), F.when(p == "SMALL", F.lit("")).otherwise(F.col("p_brand")),
                        F.when(p == "ECONOMY", F.lit("many")).when(p != "LARGE", F.col("p_size").cast("string")),
-                       F.when(p == "PROMO", F.lit("surplus")))
-    out = write_lines(table(spark, folder, "part"), line, "id,brand,size", keys.scratch_path(spark))
+                       F.when(p != "LARGE", lyrics), F.when(p == "PROMO", F.lit("surplus")))
+    out = write_lines(table(spark, folder, "part"), line, "id,brand,size,lyrics", keys.scratch_path(spark))
     return tables.read_csv(spark, out, {"id": "bigint", "size": "int"})
 
 
-@query("""SELECT CAST(p_partkey AS VARCHAR) AS id, p_brand AS brand, CASE WHEN p_type = 'PROMO' THEN '' ELSE p_name END AS name,
+@query(f"""SELECT CAST(p_partkey AS VARCHAR) AS id, p_brand AS brand, CASE WHEN p_type = 'PROMO' THEN '' ELSE {READ_SQL} END AS name,
   '' AS Lyrics FROM part""")
 def csv_ragged(spark, folder):
-    """Short rows padded with empty text, the wanted column added, an old index column removed."""
-    line = F.concat_ws(",", F.lit("0"), F.col("p_partkey").cast("string"), "p_brand", F.when(F.col("p_type") != "PROMO", F.col("p_name")))
+    """Short rows padded with empty text, the wanted column added, an old index column removed, texts with line ends kept."""
+    line = F.concat_ws(",", F.lit("0"), F.col("p_partkey").cast("string"), "p_brand", F.when(F.col("p_type") != "PROMO", _quoted(IN_QUOTES, F.col("p_name"))))
     out = write_lines(table(spark, folder, "part"), line, "Unnamed: 0,id,brand,name", keys.scratch_path(spark))
     return tables.drop_index_columns(tables.read_ragged_csv(spark, out, "Lyrics")[0])
 

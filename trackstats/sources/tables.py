@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from ..functions import scalars as S
 from ..functions import vocab
+from .records import csv_records
 
 OVERFLOW = "__overflow"
 
@@ -17,17 +18,25 @@ def csv_header(spark: SparkSession, path: str) -> list[str]:
     return [c.lstrip("﻿") for c in spark.read.csv(path, header=True, escape='"').columns]
 
 
+def _text_columns(spark: SparkSession, path: str, names: list[str], one_line: bool) -> DataFrame:
+    """The fields of all records as text."""
+    if one_line:
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in names])
+        return spark.read.schema(schema).csv(path, header=True, escape='"', enforceSchema=True)
+    ddl = ", ".join(f"`{c.replace('`', '``')}` string" for c in names)
+    return csv_records(spark, path).select(F.from_csv("record", ddl, {"escape": '"'}).alias("r")).select("r.*")
+
+
 def read_csv(spark: SparkSession, path: str, types: dict[str, str] | None = None, *,
-             multiline: bool = False, missing: list[str] = vocab.MISSING_TEXT) -> DataFrame:
+             one_line: bool = False, missing: list[str] = vocab.MISSING_TEXT) -> DataFrame:
     """CSV with a header: rows with too many fields are skipped, short ones padded with NULL.
 
     Text that stands for a missing value becomes NULL, and so does what does not
-    parse as the declared type. Files are split over tasks; quoted line breaks
-    need ``multiline``, which reads a file in one task.
+    parse as the declared type. Files are split over tasks, and quoted fields may
+    hold line ends; ``one_line`` saves a scan where every record is known to be one line.
     """
     names = csv_header(spark, path)
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, OVERFLOW]])
-    raw = spark.read.schema(schema).csv(path, header=True, multiLine=multiline, escape='"', enforceSchema=True)
+    raw = _text_columns(spark, path, [*names, OVERFLOW], one_line)
     raw = raw.where(F.col(f"`{OVERFLOW}`").isNull()).drop(OVERFLOW)
     types = types or {}
     out = []
@@ -43,15 +52,14 @@ def read_csv(spark: SparkSession, path: str, types: dict[str, str] | None = None
     return raw.select(*out)
 
 
-def read_ragged_csv(spark: SparkSession, path: str, column: str, *, multiline: bool = False) -> tuple[DataFrame, str]:
+def read_ragged_csv(spark: SparkSession, path: str, column: str, *, one_line: bool = False) -> tuple[DataFrame, str]:
     """CSV whose short rows are padded with empty text, with a named column added if absent.
 
     Returns the table and the column's name as spelled in the header; the name is
     looked up ignoring case. Empty lines are skipped by the reader.
     """
     names = csv_header(spark, path)
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in names])
-    raw = spark.read.schema(schema).csv(path, header=True, multiLine=multiline, escape='"', enforceSchema=True)
+    raw = _text_columns(spark, path, names, one_line)
     df = raw.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in names])
     spelled = next((c for c in names if c.lower() == column.lower()), None)
     if spelled is None:

@@ -93,7 +93,10 @@ def test_only_parts_that_change_entry_migrate(spark, monkeypatch):
                 yield owner, block
         return count
     monkeypatch.setattr(R, "_leaving", counted)
+    partitions, updated = [], R._updated
+    monkeypatch.setattr(R, "_updated", lambda books, members, owners: partitions.append(members.getNumPartitions()) or updated(books, members, owners))
     R.compressed(rows, parts=4)
+    assert len(partitions) == R.ROUNDS and len(set(partitions)) == 1  # who stays is not copied to further partitions
     assert 0 < moved.value < 5 * 2000 * 4 / 2  # at most half of the parts a round, on average
 
 

@@ -67,3 +67,34 @@ def test_cut_off_archive():
 def test_empty_table(spark, tmp_path):
     empty = spark.createDataFrame([], "page_id long, url string, html string")
     assert warc.read_archives(warc.write_archives(empty, f"file:{tmp_path}/w")).count() == 0
+
+
+def test_records_that_fail_are_returned_and_names_do_not_repeat(spark, tmp_path):
+    rows = [(3, "u", "one"), (3, "u", "one"), (None, "v", "two"), (None, "w", "three")]
+    made = warc.write_archives(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1), f"file:{tmp_path}/w").collect()
+    path = made[0].archive.removeprefix("file:")
+    with open(path, "rb") as f:
+        records = list(warc.frames(f))
+    names = [next(x for x in r.split(b"\r\n") if x.startswith(b"WARC-Record-ID")) for r in records]
+    assert len(set(names)) == len(rows)
+    with open(path, "wb") as f:
+        f.writelines(zstandard.ZstdCompressor().compress(r.replace(b"three", b"thr3e")) for r in records)
+    got = warc.read_archives(spark.createDataFrame([(f"file:{path}",)], "archive string")).collect()
+    assert sorted(r.problem or "" for r in got) == ["", "", "", "payload digest"]
+
+
+def test_one_payload_of_most_rows_is_split(spark, tmp_path):
+    pages = spark.range(4000).select(F.col("id").alias("page_id"), F.lit("u").alias("url"),
+                                     F.when(F.col("id") % 10 < 7, F.lit("x" * 500)).otherwise(F.concat(F.lit("y" * 500), "id")).alias("html"))
+    conf = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5", "spark.sql.shuffle.partitions": "20"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        made = warc.write_archives(pages.repartition(16), f"file:{tmp_path}/w").collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert sum(r.records for r in made) == 4000 and max(r.records for r in made) < 1600

@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.keys import lookup
 from . import words as W
 from .graph import components
 from .registry import query, table
@@ -32,7 +33,7 @@ BANDS, ROWS = 28, 5
 #: At a similarity of 0.8 the estimate's standard deviation is below 0.022.
 SAMPLES, BITS = 512, 1024
 #: Hubs of a bucket in each round after the first, and members that one task compares with them, about.
-HUBS, SLICE = 256, 4096
+HUBS, SLICE = 256, 1024
 #: Estimates this far below the threshold are dropped unconfirmed (over four standard deviations).
 MARGIN = 0.1
 
@@ -192,14 +193,14 @@ def near_duplicates(docs: DataFrame, *, k: int = 5, percent: int = 80) -> DataFr
     named = sigs.where("doc_id is not null and digest is not null")
     groups = (named.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
               .where("copies > 1").drop("copies"))
-    placed = named.join(groups, "digest", "left")
+    placed = lookup(named, groups, ["digest"], "left")
     links = placed.where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
 
     rows = placed.where("rep is null or doc_id = rep").select("doc_id", F.explode("bands").alias("bucket"))
     shared = (rows.groupBy("bucket").agg(F.min("doc_id").alias("hub"), F.max("doc_id").alias("other"))
               .where("hub <> other").select("bucket", "hub"))
     sketches = placed.where("rep is null or doc_id = rep").select("doc_id", "sketch")
-    members = stored(rows.join(shared, "bucket").distinct(), "members")
+    members = stored(lookup(rows, shared, ["bucket"], "inner").distinct(), "members")
     inside = stored(members.select("doc_id").distinct().join(sketches, "doc_id")
                     .dropDuplicates(["doc_id"]), "sketches")
     candidates = _id_and_text(docs).join(inside.select("doc_id"), "doc_id", "left_semi")
@@ -222,12 +223,12 @@ def near_duplicates(docs: DataFrame, *, k: int = 5, percent: int = 80) -> DataFr
               .select("bucket", "doc_id", F.coalesce("component", "doc_id").alias("component")))
         mixed = at.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
                                          F.ceil(F.count(F.lit(1)) / SLICE).alias("slices")).where("lo <> hi")
-        left = stored(at.join(mixed.select("bucket", "slices"), "bucket"), "open", narrow=True)
+        left = stored(lookup(at, mixed.select("bucket", "slices"), ["bucket"], "inner"), "open", narrow=True)
         if left.isEmpty():
             break
         sizes = left.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("size"))
         order = Window.partitionBy("bucket").orderBy("size", "component", "doc_id")
-        chosen = stored(left.join(sizes, ["bucket", "component"]).withColumn("place", F.row_number().over(order))
+        chosen = stored(lookup(left, sizes, ["bucket", "component"], "inner").withColumn("place", F.row_number().over(order))
                         .where(F.col("place") <= HUBS).drop("place", "size"), "hubs", narrow=True)
         hubs = chosen.select("bucket", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"),
                              F.lit(0).alias("kind"), "doc_id", "component")

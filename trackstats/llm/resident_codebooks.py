@@ -191,8 +191,9 @@ def lloyd(rows: DataFrame, books: np.ndarray, *, rounds: int = ROUNDS) -> np.nda
     size = rows.count() * positions * width * 4
     partitions = max(sc.defaultParallelism, -(-size // PARTITION_BYTES))
     owners = Owners(entries, partitions)
+    place = owners.partition  # one object: Spark joins the rounds' members without a shuffle only if it is the same
     placed = rows.select("vector").mapInArrow(_placed(books, owners), "owner long, block binary").rdd.map(lambda r: (r.owner, bytes(r.block)))
-    members = placed.partitionBy(partitions, owners.partition).mapPartitions(_compacted(width), preservesPartitioning=True)
+    members = placed.partitionBy(partitions, place).mapPartitions(_compacted(width), preservesPartitioning=True)
     old = None
     for done in range(1, rounds + 1):
         members.persist(StorageLevel.MEMORY_AND_DISK)
@@ -205,7 +206,7 @@ def lloyd(rows: DataFrame, books: np.ndarray, *, rounds: int = ROUNDS) -> np.nda
             break
         if done < rounds:
             stay = members.mapPartitions(_staying(books, owners, width), preservesPartitioning=True)
-            moved = members.mapPartitions(_leaving(books, owners, width)).partitionBy(partitions, owners.partition)
+            moved = members.mapPartitions(_leaving(books, owners, width)).partitionBy(partitions, place)
             old, members = members, stay.union(moved).mapPartitions(_compacted(width), preservesPartitioning=True)
     members.unpersist()
     return books

@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.keys import scratch_path
+from ..operators.keys import lookup, scratch_path
 from .registry import query, table
 from .store import stored
 
@@ -45,21 +45,22 @@ def digest_of(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def _name(key: int | None) -> str:
-    return f"<urn:page:{'' if key is None else key}>"
+def _name(key: int | None, place: str = "") -> str:
+    """The name of a page; a record adds its place, since page_ids may repeat or be missing."""
+    return f"<urn:page:{'' if key is None else key}{place and ':' + place}>"
 
 
 def _key(name: str) -> int | None:
-    text = name.removeprefix("<urn:page:").removesuffix(">")
+    text = name.removeprefix("<urn:page:").removesuffix(">").partition(":")[0]
     return int(text) if text else None
 
 
-def record(key: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None) -> bytes:
-    """One record: a response with its payload, or a revisit of the response ``refers_to`` without it."""
+def record(key: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None, place: str = "") -> bytes:
+    """One record: a response with its payload, or a revisit of the page ``refers_to`` without it."""
     revisit = refers_to is not None
     block = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(payload)
     block += b"" if revisit else payload
-    head = [("WARC-Type", "revisit" if revisit else "response"), ("WARC-Record-ID", _name(key)), ("WARC-Date", DATE),
+    head = [("WARC-Type", "revisit" if revisit else "response"), ("WARC-Record-ID", _name(key, place)), ("WARC-Date", DATE),
             ("WARC-Target-URI", " ".join((url or "").split())), ("WARC-Payload-Digest", f"sha1:{digest}"),
             ("Content-Type", "application/http;msgtype=response")]
     if revisit:
@@ -158,7 +159,7 @@ def _writer(folder: str, dictionary: bytes | None):
                     out, count = files.open_output_stream(temp, compression=None), 0
                     out.write(lead)
                     size = len(lead)
-                frame = packer.compress(record(key, url, payload, digest, refers_to))
+                frame = packer.compress(record(key, url, payload, digest, refers_to, f"{part}-{len(made)}-{count}"))
                 out.write(frame)
                 size, count = size + len(frame), count + 1
                 if size >= ARCHIVE_BYTES:
@@ -195,7 +196,7 @@ def write_archives(pages: DataFrame, folder: str, *, revisit_from: int = 0) -> D
     groups = (rows.select("page_id", "hex", F.octet_length("payload").alias("n")).where(F.col("n") >= revisit_from)
               .groupBy("hex").agg(F.min("page_id").alias("owner"), F.count(F.lit(1)).alias("copies"))
               .where("copies > 1 and owner is not null").select("hex", "owner"))
-    joined = rows.join(groups, "hex", "left")
+    joined = lookup(rows, groups, ["hex"], "left")  # the payloads of one digest may go to many tasks
     refers = F.when(~F.col("owner").eqNullSafe(F.col("page_id")), F.col("owner"))
     laid = joined.select("page_id", "url", "payload", "hex", refers.alias("refers_to"))
     return stored(laid.mapInArrow(_with_digest(_writer(folder, train_dictionary(rows.select("payload")))),
@@ -257,9 +258,10 @@ SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes,
   array_to_string(list_transform(range(32), lambda i: substr('{BASE32}', CAST(((CAST('0x' || substr(hex, 5 * (i // 4) + 1, 5) AS INTEGER)
     >> CAST(15 - 5 * (i % 4) AS INTEGER)) & 31) AS INTEGER) + 1, 1)), '') AS payload_digest,
   CASE WHEN copies > 1 AND page_id IS DISTINCT FROM owner AND owner IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type,
-  CASE WHEN copies > 1 AND page_id IS DISTINCT FROM owner THEN owner END AS refers_to
+  CASE WHEN copies > 1 AND page_id IS DISTINCT FROM owner THEN owner END AS refers_to,
+  CAST(NULL AS VARCHAR) AS problem
 FROM p JOIN owner USING (hex)""")
 def op9_warc_round_trip(spark, folder):
     made = write_archives(table(spark, folder, "pages"), scratch_path(spark) + "/warc")
-    found = read_archives(made, payload=False).where("problem is null")
-    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    found = read_archives(made, payload=False)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "problem")

@@ -24,9 +24,10 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.keys import once
 from .registry import query, table
 from .words import text_chunks
 
@@ -295,25 +296,24 @@ def periodic_runs(docs: DataFrame) -> DataFrame:
     return made.select("doc_id", "runs", F.decode("collapsed", "UTF-8").alias("collapsed"))
 
 
-def planted(doc_id: Column, text: Column) -> Column:
-    """The text of the registered query: every tenth document, by its id's checksum, repeats some of its words to its end."""
-    words = F.filter(F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    return F.when(F.crc32(doc_id.cast("string")) % 10 == 0, F.array_join(_repeated(doc_id, words), " ")).otherwise(text)
-
-
-def _repeated(doc_id: Column, words: Column) -> Column:
-    g, n = F.floor(F.crc32(doc_id.cast("string")) / 10), F.size(words)
-    a = g % n
-    p = 1 + F.floor((n - a) / (3 + g % 8))
-    tail = F.transform(F.sequence(a, n - 1), lambda i: F.get(words, (a + (i - a) % p).cast("int")))
-    return F.when(n > 0, F.concat(F.slice(words, F.lit(1), a.cast("int")), tail)).otherwise(words)
+def planted(docs: DataFrame) -> DataFrame:
+    """``doc_id, text`` of the registered query: every tenth document, by its id's checksum, repeats some of its words to its end."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    split = F.filter(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    rows = once(docs.select("doc_id", "text"), words=F.when(h % 10 == 0, split))  # split once, however often used
+    g, n = F.floor(h / 10), F.size("words")
+    a = (g % n).cast("int")
+    p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+    times = F.ceil((n - a) / p).cast("int")
+    tail = F.slice(F.flatten(F.array_repeat(F.slice("words", a + 1, p), times)), F.lit(1), n - a)
+    repeated = F.array_join(F.concat(F.slice("words", F.lit(1), a), tail), " ")
+    return rows.select("doc_id", F.when(n > 0, repeated).otherwise(F.col("text")).alias("text"))
 
 
 @query()
 def op13_periodic_runs(spark, folder):
     docs = table(spark, folder, "documents")
-    doc_id = F.col("doc_id").cast("long")
-    found = periodic_runs(docs.select(doc_id.alias("doc_id"), planted(doc_id, F.col("text")).alias("text")))
+    found = periodic_runs(planted(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")))
     lines = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r.start, r.length, r.period)), "\n")
     best = F.array_sort(F.transform("runs", lambda r: F.struct((-r.length).alias("less"), r.start.alias("start"), r.period.alias("period"))))
     longest = F.get(best, F.lit(0))

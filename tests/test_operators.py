@@ -1,10 +1,11 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from trackstats.operators import clean, density, enrich, evolution, keys, merge, rank, scoring, select, stats, text
+from trackstats.operators import clean, density, enrich, evolution, keys, merge, ordering, rank, scoring, select, stats, text
 from trackstats.plans import jobs
 
 
@@ -35,11 +36,75 @@ def test_top_n_with_a_hot_group(spark, salt_by):
     assert got == want
 
 
-def test_row_index_is_consecutive_and_ordered(spark):
+@pytest.mark.parametrize("ranges", [1, 4, 13, 1000])
+def test_row_index_is_consecutive_and_ordered(spark, ranges):
     data = [(random.Random(i).randrange(5), i) for i in range(997)]
     df = spark.createDataFrame(data, "v int, id int").repartition(7)
-    got = rows(keys.with_row_index(df, [F.col("v"), F.col("id")], "i"), "i")
-    assert got == [(v, i, n) for n, (v, i) in enumerate(sorted(data))]
+    indexed = ordering.with_row_index(df, ["v", "id"], "i", ranges=ranges)
+    assert rows(indexed, "i") == [(v, i, n) for n, (v, i) in enumerate(sorted(data))]
+    per = [r["count"] for r in ordering.with_range(df, ["v", "id"], ranges=ranges).groupBy(ordering.RANGE).count().collect()]
+    assert len(per) == min(ranges, 997) if ranges < 100 else len(per) > 60
+    assert max(per) < 997 / ranges * 2 + 30
+
+
+@pytest.mark.parametrize("ranges", [1, 3, 10])
+def test_row_index_of_any_order(spark, ranges):
+    data = [(random.Random(i).choice([None, "a", "b", "ß", "c"]), random.Random(-i).choice([None, 1.5, -2.0, 0.0]), i) for i in range(300)]
+    df = spark.createDataFrame(data, "s string, x double, id int").repartition(5)
+    by = [ordering.By("s", descending=True, nulls_last=True), ordering.By("x", nulls_last=True), ordering.By("id", descending=True)]
+    want = rows(df, F.col("s").desc_nulls_last(), F.col("x").asc_nulls_last(), F.col("id").desc())
+    assert [r[:3] for r in rows(ordering.with_row_index(df, by, "i", ranges=ranges), "i")] == want
+    assert ordering.with_row_index(df.limit(0), by, "i", ranges=ranges).count() == 0
+    assert rows(ordering.with_row_index(df.limit(1), by, "i", ranges=ranges).select("i")) == [(0,)]
+
+
+def test_row_index_runs_no_job_and_writes_nothing_before_the_action(spark):
+    jobs_before = spark.sparkContext.statusTracker().getJobIdsForGroup()
+    indexed = rank.batch_numbers(spark.range(1000), ["id"], 10)
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup() == jobs_before
+    assert "ExistingRDD" not in indexed._jdf.queryExecution().optimizedPlan().toString() and indexed.agg(F.max("batch")).first()[0] == 100
+
+
+def test_running_sum_over_ranges(spark):
+    data = [(i, random.Random(i).choice([None, 1, 5, -3])) for i in range(500)]
+    df = spark.createDataFrame(data, "y int, v long").repartition(6)
+    total, want = 0, []
+    for y, v in data:
+        total += v or 0
+        want.append((y, v, total))
+    assert rows(ordering.with_running_sum(df, ["y"], "v", "t", ranges=7), "y") == want
+
+
+def test_top_n_beyond_any_threshold(spark):
+    data = [(1 if i % 10 else i, random.Random(i).randrange(400), i) for i in range(6000)]
+    df = spark.createDataFrame(data, "g int, v int, id int").repartition(8)
+    top = ordering.top_n_by_ranges(df, ["g"], [ordering.By("v", descending=True), "id"], 2000, rank="r", ranges=12)
+    want = []
+    for g in sorted({d[0] for d in data}):
+        best = sorted((d for d in data if d[0] == g), key=lambda d: (-d[1], d[2]))[:2000]
+        want += [(*d, i + 1) for i, d in enumerate(best)]
+    assert rows(top, "g", "r") == want
+    sizes = ordering.with_range(df, ["g", ordering.By("v", descending=True), "id"], ranges=12).groupBy(ordering.RANGE).count()
+    assert sizes.agg(F.max("count")).first()[0] < 1500  # the hot group has 5400 rows
+
+
+@pytest.mark.parametrize("ranges", [1, 2, 9])
+def test_as_of_on_any_grid(spark, ranges):
+    rng = random.Random(ranges)
+    grids = {g: sorted({round(rng.uniform(-3, 3) ** 3, 2) for _ in range(40)}) for g in ("a", "b", None)}
+    points = [(g, x, f"{g}{x}") for g, xs in grids.items() for x in xs]
+    asked = [(rng.choice(["a", "b", None, "no points"]), rng.choice([None, float("nan"), -99.0, 99.0, rng.uniform(-20, 20), rng.choice(grids["a"])]), i) for i in range(400)]
+    asked += [("a", 0.5, 1000 + i) for i in range(300)]
+    got = rows(ordering.as_of(spark.createDataFrame(asked, "g string, v float, id int").repartition(4),
+                              spark.createDataFrame(points, "g string, x double, tag string").repartition(3), "v", at="x", by=["g"], ranges=ranges), "id")
+    want = []
+    for g, v, i in asked:
+        if v is None or v != v or g not in grids:
+            continue
+        f = float(np.float32(v))
+        x = next((p for p in grids[g] if p >= f), grids[g][-1])
+        want.append((i, x, f"{g}{x}"))
+    assert [(r[2], r[3], r[4]) for r in got] == sorted(want)
 
 
 @pytest.fixture()
@@ -256,8 +321,8 @@ def test_lookup_and_histogram_edges(spark):
 
 def test_every_nth(spark):
     df = spark.range(3001).repartition(5)
-    assert [r.id for r in rank.every_nth(df, [F.col("id")]).orderBy("id").collect()] == list(range(0, 3001, 3))
-    assert rank.every_nth(spark.range(1500), [F.col("id")]).count() == 1500
+    assert [r.id for r in rank.every_nth(df, ["id"]).orderBy("id").collect()] == list(range(0, 3001, 3))
+    assert rank.every_nth(spark.range(1500), ["id"]).count() == 1500
 
 
 def test_category_totals_default_is_not_hidden(spark):

@@ -1,4 +1,4 @@
-"""Shared building blocks: bounded lookups, skew-safe key joins, top-n, row index."""
+"""Shared building blocks: bounded lookups, skew-safe key joins, top-n, the shared folder."""
 
 from __future__ import annotations
 
@@ -98,25 +98,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise in the shared folder, so that a lost executor costs no recomputation."""
     shared_folder(df.sparkSession)
     return df.checkpoint()
-
-
-def with_row_index(df: DataFrame, order: list[Column], name: str = "row_index") -> DataFrame:
-    """Number rows 0..n-1 in a total order without a single-task sort.
-
-    Rows are range-partitioned, sorted inside each partition and materialised
-    once, so the boundaries cannot change under a retry. The number is the
-    position within the partition plus the rows in the partitions before it;
-    that offset table has one row per partition.
-    """
-    mid = F.monotonically_increasing_id()
-    placed = cut_lineage(
-        df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__mid", mid))
-    part, local = F.shiftright("__mid", 33), F.col("__mid").bitwiseAND(F.lit((1 << 33) - 1))
-    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (placed.groupBy(part.alias("__part")).count()
-               .select("__part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("__before")))
-    # One row per shuffle partition: the broadcast cannot grow with the data.
-    return (placed.withColumn("__part", part)
-            .join(F.broadcast(offsets), "__part")
-            .withColumn(name, F.col("__before") + local)
-            .drop("__part", "__mid", "__before"))

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .keys import top_n, with_row_index
+from .keys import top_n
+from .ordering import By, Order, with_row_index
 
 
 def totals(df: DataFrame, key: str = "Artist", measure: str = "Streams") -> DataFrame:
@@ -34,19 +35,19 @@ def leaderboard(df: DataFrame, n: int = 10, *, year: str = "Year", key: str = "A
 def overall_rank(df: DataFrame, *, key: str = "Artist", measure: str = "Streams") -> DataFrame:
     """``(key, streams, rank)`` of every key, numbered across partitions."""
     per = df.groupBy(key).agg(F.sum(measure).alias("streams"))
-    order = [F.col("streams").desc(), F.col(key).asc_nulls_last()]
+    order = [By("streams", descending=True, nulls_last=True), By(key, nulls_last=True)]
     return with_row_index(per, order, "__i").select(key, "streams", (F.col("__i") + 1).alias("rank"))
 
 
-def every_nth(df: DataFrame, order: list[Column], cap: int = 1500) -> DataFrame:
+def every_nth(df: DataFrame, order: Order, cap: int = 1500) -> DataFrame:
     """All rows up to the cap; beyond it every ceil(n / cap)-th in the given order."""
     indexed = with_row_index(df, order, "__i")
-    n = indexed.agg(F.count(F.lit(1)).alias("n")).scalar()
+    n = df.agg(F.count(F.lit(1)).alias("n")).scalar()
     step = F.greatest(F.ceil(n / F.lit(float(cap))), F.lit(1)).cast("bigint")
     return indexed.where(F.col("__i") % step == 0).drop("__i")
 
 
-def batch_numbers(df: DataFrame, order: list[Column], size: int = 20) -> DataFrame:
+def batch_numbers(df: DataFrame, order: Order, size: int = 20) -> DataFrame:
     """Consecutive batches of ``size`` rows, counted from 1."""
     indexed = with_row_index(df, order, "__i")
     return indexed.withColumn("batch", (F.floor(F.col("__i") / size) + 1).cast("bigint")).drop("__i")

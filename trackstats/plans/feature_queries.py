@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import scalars as S
 from ..functions import vocab
 from ..operators import density, rank, stats
+from ..operators.ordering import By
 from ..operators.select import Selection
 from .inputs import RAW_TRACKS, TRACKS, raw_tracks, table, tracks
 from .registry import query
@@ -296,11 +297,11 @@ def artist_rank(spark, folder):
 SELECT track_id, Streams FROM i WHERE i % greatest(CAST(ceil(n / 1500.0E0) AS BIGINT), 1) = 0""")
 def nth_sample(spark, folder):
     df = tracks(spark, folder).select("track_id", "Streams")
-    return rank.every_nth(df, [F.col("Streams").desc(), F.col("track_id")])
+    return rank.every_nth(df, [By("Streams", descending=True), "track_id"])
 
 
 @query("""SELECT doc_id, CAST(floor((row_number() OVER (ORDER BY source, doc_id) - 1) / 20.0E0) + 1 AS BIGINT) AS batch
 FROM documents""")
 def batch_numbers(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "source")
-    return rank.batch_numbers(docs, [F.col("source"), F.col("doc_id")]).select("doc_id", "batch")
+    return rank.batch_numbers(docs, ["source", "doc_id"]).select("doc_id", "batch")

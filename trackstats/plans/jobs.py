@@ -75,7 +75,7 @@ class Dashboard:
             "density": density.density(chosen, self.features, h=0.12, bounds=bounds),
             "ridgeline": density.density_with_total(self.tracks, self.features, group="Year", bounds=bounds),
             "key_ring": evolution.key_ring(chosen),
-            "parallel": rank.every_nth(chosen, [F.col(self.tie)]),
+            "parallel": rank.every_nth(chosen, [self.tie]),
             "topic_share": evolution.share_by_year(self.tracks),
             "word_cloud": text.word_cloud(text.all_time_words(words)),
             "word_categories": evolution.category_totals(words),

@@ -299,7 +299,7 @@ def test_density_equals_the_definition(spark, h):
 def test_density_area_and_total(spark):
     df = spark.range(1000).select((F.col("id") % 4).alias("Year"), (0.3 + F.rand(5) * 0.4).alias("v"))
     curve = density.density_with_total(df, ["v"], group="Year", h=0.12)
-    areas = [r.area for r in density.curve_area(curve, ["period"], 0.02).collect()]
+    areas = [r.area for r in curve.groupBy("period").agg((F.sum("density") * 0.02).alias("area")).collect()]  # no weight at the ends
     assert len(areas) == 5 and all(abs(a - 1) < 0.01 for a in areas)
     curve = density.density_with_total(df.withColumn("Year", F.when(F.col("Year") > 0, F.col("Year"))), ["v"], group="Year", h=0.12)
     direct = density.density(df, ["v"], h=0.12)  # rows without a year belong to the total only

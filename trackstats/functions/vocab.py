@@ -67,11 +67,11 @@ CIRCLE_OF_FIFTHS = [0, 7, 2, 9, 4, 11, 6, 1, 8, 3, 10, 5]
 
 # Industry events (year, label).
 INDUSTRY_EVENTS = [
-    (2013, "Vine Launches"),
-    (2014, "Musical.ly Launches"),
-    (2018, "TikTok Global Merger"),
-    (2020, "Pandemic Lockdowns"),
-    (2023, "Peak 'Brainrot'"),
+    (2013, "Vine Launches", "Birth of the 6-second loop. Forced music to rely on punchy, repetitive ad-libs for comedy sketches."),
+    (2014, "Musical.ly Launches", "The Lip-Sync Era. 15-second audio snippets become more important than full tracks."),
+    (2018, "TikTok Global Merger", "The Algorithm Takeover. Record labels begin forcing 'TikTok-friendly' hooks in the first 15 seconds."),
+    (2020, "Pandemic Lockdowns", "Screen time peaks. Massive rise in user-generated dance trends and 'Sped-Up' remixes."),
+    (2023, "Peak 'Brainrot'", "Hyper-fragmented, high-stimulation content dominates. Songs become significantly shorter with meme-focused lyrics."),
 ]
 
 # Columns a clean row must have, and columns dropped on cleaning.

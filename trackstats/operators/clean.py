@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from ..functions import scalars as S
 from ..functions import vocab
 from .keys import best_per_key, top_n
+from .ordering import By, top_n_by_ranges
+
+#: Spark cuts groups before a shuffle up to so many rows (``spark.sql.optimizer.windowGroupLimitThreshold``).
+LARGE_N = 1000
 
 
 def drop_missing(df: DataFrame, required: list[str]) -> DataFrame:
@@ -45,9 +49,15 @@ def project_available(df: DataFrame, wanted: list[str]) -> DataFrame:
 
 def top_per_year(df: DataFrame, n: int, *, year: str = "Year", measure: str = "Streams",
                  ties: list[str]) -> DataFrame:
-    """Highest ``n`` rows of every year; rows without a year belong to none."""
-    order = [F.col(measure).desc_nulls_last(), *[F.col(t).asc_nulls_last() for t in ties]]
-    return top_n(df.where(F.col(year).isNotNull()), [year], order, n, salt_by=ties)
+    """Highest ``n`` rows of every year; rows without a year belong to none.
+
+    Up to ``LARGE_N`` rows a task keeps its own first ``n`` before they meet; a larger ``n`` is settled by ranges of the order.
+    """
+    order = [By(measure, descending=True, nulls_last=True), *[By(t, nulls_last=True) for t in ties]]
+    dated = df.where(F.col(year).isNotNull())
+    if n > LARGE_N:
+        return top_n_by_ranges(dated, [year], order, n)
+    return top_n(dated, [year], [o.sort() for o in order], n, salt_by=ties)
 
 
 def sort_catalogue(df: DataFrame, *, year: str = "Year", measure: str = "Streams",

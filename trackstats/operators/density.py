@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from .keys import lookup
+from .ordering import as_of
 
 
 def tick_step(low: float, high: float, count: int) -> float:
@@ -129,6 +130,15 @@ def density_at(rows: DataFrame, curve: DataFrame, feature: str, *, low: float =
     return lookup(rows.where(S.present(feature)).withColumn("__i", index), points, [*group, "__i"], "inner").drop("__i")
 
 
+def density_as_of(rows: DataFrame, curve: DataFrame, feature: str, *, group: list[str] = ()) -> DataFrame:
+    """Density of each row's value on a curve of any grid: the next point, or the last one beyond the end.
+
+    Rows of groups without a curve are left out; NULL groups match.
+    """
+    points = curve.where(F.col("feature") == feature).select(*group, F.col("x").alias("curve_x"), "density")
+    return as_of(rows, points, feature, at="curve_x", by=list(group))
+
+
 def histogram(df: DataFrame, feature: str, *, low: float = 0.0, high: float = 1.0, bins: int = 25) -> DataFrame:
     """``(x0, x1, n)`` over round bins; the last bin includes the upper edge."""
     first, last, step = tick_grid(low, high, bins)
@@ -142,6 +152,20 @@ def histogram(df: DataFrame, feature: str, *, low: float = 0.0, high: float = 1.
         F.coalesce(F.col("n"), F.lit(0)).alias("n"))
 
 
+def histogram_with_mean(df: DataFrame, feature: str, *, low: float = 0.0, high: float = 1.0, bins: int = 25) -> DataFrame:
+    """``(x0, x1, n, mean)``: the histogram and, on every bin, the mean of all values, those outside the bins included."""
+    first, last, step = tick_grid(low, high, bins)
+    v = F.col(feature).cast("double")
+    index = F.when(v.between(low, high), F.least(F.floor(F.round(_of(v, step), 9)), F.lit(last - 1)).cast("bigint"))
+    counted = df.where(S.present(feature)).groupBy(index.alias("i")).agg(F.count(F.lit(1)).alias("n"), F.sum(v).alias("s"))
+    # One row per bin, and one for what is outside: rows of both ends meet in a full join.
+    every = Window.partitionBy()
+    spine = df.sparkSession.range(first, last).withColumnRenamed("id", "i").withColumn("__bin", F.lit(True))
+    whole = spine.join(counted, "i", "full").withColumn("mean", F.sum("s").over(every) / F.sum("n").over(every))
+    return whole.where("__bin").select(
+        _at(F.col("i"), step).alias("x0"), _at(F.col("i") + 1, step).alias("x1"), F.coalesce(F.col("n"), F.lit(0)).alias("n"), "mean")
+
+
 def density_2d(df: DataFrame, x: str, y: str, *, x_domain: tuple[float, float], y_domain: tuple[float, float],
                cells: int = 40, radius: int = 3) -> DataFrame:
     """``(bx, by, x, y, weight)``: smoothed counts on a ``cells`` by ``cells`` grid.
@@ -180,13 +204,6 @@ def peak(surface: DataFrame) -> DataFrame:
 def nearest(df: DataFrame, x: str, y: str, point: DataFrame, *, x_span: float, y_span: float,
             ties: list[str]) -> DataFrame:
     """The row nearest to a one-row ``(x, y)`` point, axes scaled by their spans."""
-    px, py = point.select("x").scalar(), point.select("y").scalar()
-    dx, dy = (F.col(x) - px) / x_span, (F.col(y) - py) / y_span
+    at = point.select(F.struct("x", "y")).scalar()  # one subquery for both
+    dx, dy = (F.col(x) - at["x"]) / x_span, (F.col(y) - at["y"]) / y_span
     return df.withColumn("distance", dx * dx + dy * dy).orderBy("distance", *ties).limit(1)
-
-
-def curve_area(curve: DataFrame, group: list[str], step: float) -> DataFrame:
-    """Trapezoid area under each curve (a check: about 1 away from the borders)."""
-    w = Window.partitionBy(*group).orderBy("x")
-    pair = F.col("density") + F.lead("density").over(w)
-    return curve.withColumn("__a", pair * step / 2).groupBy(*group).agg(F.sum("__a").alias("area"))

@@ -6,11 +6,14 @@ on (year, series) totals, whose size is the number of years times series.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..functions import vocab
+from .keys import lookup
+from .ordering import with_running_sum
 
 
 def literal_table(spark: SparkSession, rows: list[tuple], names: list[str]) -> DataFrame:
@@ -94,8 +97,8 @@ def with_wiggle(long: DataFrame, *, year: str = "Year", order: str = "series_no"
                 value: str = "value") -> DataFrame:
     """Add the ``baseline`` that minimises the weighted slope of the layers (Byron & Wattenberg 2008).
 
-    A chain of windows over one (year, series) table: the table is computed once
-    and joined with nothing.
+    Windows within a year and within a series give each year's step; the steps,
+    one per year, are added up by ranges of years, so no task sees all years.
     """
     in_year = Window.partitionBy(year)
     ordered = in_year.orderBy(order)
@@ -104,10 +107,9 @@ def with_wiggle(long: DataFrame, *, year: str = "Year", order: str = "series_no"
     slope = F.col("__rise") / 2.0 + F.coalesce(F.sum("__rise").over(below), F.lit(0))
     ratio = F.try_divide(-F.sum(F.col("__slope") * F.col(value)).over(in_year), F.sum(value).over(in_year))
     step = F.when(F.col("__first") == 1, F.coalesce(ratio, F.lit(0.0))).otherwise(0.0)
-    upto = Window.orderBy(year).rangeBetween(Window.unboundedPreceding, 0)
-    out = (long.withColumn("__rise", rise).withColumn("__slope", slope).withColumn("__first", F.row_number().over(ordered))
-           .withColumn("__step", step).withColumn("baseline", F.sum("__step").over(upto)))
-    return out.drop("__rise", "__slope", "__first", "__step")
+    steps = (long.withColumn("__rise", rise).withColumn("__slope", slope).withColumn("__first", F.row_number().over(ordered))
+             .withColumn("__step", step).groupBy(year).agg(F.sum("__step").alias("__step")))
+    return lookup(long, with_running_sum(steps, [year], "__step", "baseline").drop("__step"), [year], "left")
 
 
 def wiggle_baseline(long: DataFrame, *, year: str = "Year", order: str = "series_no",
@@ -120,26 +122,31 @@ def inside_out_order(long: DataFrame, *, year: str = "Year", series: str = "seri
                      order: str = "series_no", value: str = "value") -> DataFrame:
     """``(series, position)``: early peaks in the middle, sides kept in balance.
 
-    Runs on one row per series.
+    The walk goes from the earliest peak to the latest and knows only the two
+    sides' totals: one task, a row per series, nothing held in memory.
     """
     per = long.groupBy(series, order).agg(
         F.sum(value).cast("double").alias("total"),
         F.min_by(year, F.struct((-F.col(value)).alias("v"), F.col(year).alias("y"))).alias("peak"))
-    walk = F.sort_array(F.collect_list(F.struct("peak", order, "total", series)))
-    none = F.array().cast("array<string>")
-    start = F.struct(F.lit(0.0).alias("top"), F.lit(0.0).alias("bottom"), none.alias("tops"), none.alias("bottoms"))
-
-    def place(acc, s):
-        up = acc["top"] < acc["bottom"]
-        one = F.array(s[series])
-        return F.struct(
-            F.when(up, acc["top"] + s["total"]).otherwise(acc["top"]).alias("top"),
-            F.when(up, acc["bottom"]).otherwise(acc["bottom"] + s["total"]).alias("bottom"),
-            F.when(up, F.concat(acc["tops"], one)).otherwise(acc["tops"]).alias("tops"),
-            F.when(up, acc["bottoms"]).otherwise(F.concat(acc["bottoms"], one)).alias("bottoms"))
-
-    ordered = F.aggregate("walk", start, place, lambda a: F.concat(F.reverse(a["bottoms"]), a["tops"]))
-    return per.agg(walk.alias("walk")).select(F.posexplode(ordered).alias("position", series))
+    ordered = per.repartition(1).sortWithinPartitions("peak", order).select(F.col(series).cast("string").alias("series"), "total")
+    sides = ordered.mapInArrow(_sides, "series string, side int, place long")
+    bottoms = sides.agg(F.count_if(F.col("side") == 0)).scalar()
+    position = F.when(F.col("side") == 0, bottoms - 1 - F.col("place")).otherwise(bottoms + F.col("place"))
+    return sides.select(position.cast("int").alias("position"), F.col("series").alias(series))
+
+
+def _sides(batches):
+    """Each series goes to the side with the smaller total, the lower one (0) if they are equal, further out than those before."""
+    totals, placed = [0.0, 0.0], [0, 0]
+    for batch in batches:
+        side, place = [], []
+        for total in batch.column(1).to_pylist():
+            s = int(totals[1] < totals[0])
+            side.append(s)
+            place.append(placed[s])
+            totals[s] += total or 0.0
+            placed[s] += 1
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(side, pa.int32()), pa.array(place, pa.int64())], names=["series", "side", "place"])
 
 
 def reorder(long: DataFrame, positions: DataFrame, *, series: str = "series", order: str = "series_no") -> DataFrame:
@@ -182,7 +189,7 @@ def with_events(yearly: DataFrame, events: DataFrame | None = None, *, year: str
     by whatever strategy its size allows.
     """
     if events is None:
-        events = F.broadcast(literal_table(yearly.sparkSession, vocab.INDUSTRY_EVENTS, ["event_year", "event"]))
+        events = F.broadcast(literal_table(yearly.sparkSession, vocab.INDUSTRY_EVENTS, ["event_year", "event", "description"]))
     if first is not None:
         events = events.where(F.col("event_year") >= first)
     if last is not None:

@@ -25,6 +25,20 @@ def feature_bound(df: DataFrame, feature: str) -> tuple[Column, Column]:
     return bound(low, F.min, 0.0), bound(high, F.max, default)
 
 
+def feature_bounds(df: DataFrame, features: list[str], fixed: dict[str, tuple] | None = None) -> list[tuple[Column, Column]]:
+    """The bounds of several features from one aggregate of the table."""
+    known = {f: (fixed or {}).get(f) or vocab.FEATURE_BOUNDS.get(f, vocab.OPEN_BOUNDS) for f in features}
+    parts = []
+    for i, f in enumerate(features):
+        value = F.when(S.present(f), F.col(f))
+        parts += [F.min(value).cast("double").alias(f"low{i}"), F.max(value).cast("double").alias(f"high{i}")]
+    found = df.agg(F.struct(*parts)).scalar()
+
+    def bound(value, at: str, fallback: float) -> Column:
+        return F.lit(value) if value is not None else F.coalesce(F.nullif(found[at], F.lit(0.0)), F.lit(fallback))
+    return [(bound(known[f][0], f"low{i}", 0.0), bound(known[f][1], f"high{i}", known[f][2])) for i, f in enumerate(features)]
+
+
 def within_band(df: DataFrame, feature: str, target: float, *, bounds_from: DataFrame | None = None,
                 tolerance: float = 0.15) -> Column:
     """Predicate: normalised distance to the target is within the tolerance.

@@ -160,13 +160,8 @@ def mean_profile(stats: DataFrame, label: str, name: str = "average") -> DataFra
 def encode_marks(df: DataFrame, size: str, color: str, all_rows: DataFrame, *,
                  size_range: tuple[float, float] = (2.0, 22.0)) -> DataFrame:
     """Mark size and colour position of every row, on the domain of the whole table."""
-    from .select import feature_bound
-    low, high = feature_bound(all_rows, color)
-    if size == "Streams":
-        top = all_rows.agg(F.max(size).cast("double")).scalar()
-        s_low, s_high = F.lit(0.0), F.coalesce(F.nullif(top, F.lit(0.0)), F.lit(1.0))
-    else:
-        s_low, s_high = feature_bound(all_rows, size)
+    from .select import feature_bounds
+    (low, high), (s_low, s_high) = feature_bounds(all_rows, [color, size], {"Streams": (0.0, None, 1.0)})
     return df.withColumn("mark_size", S.sqrt_scale(size, s_low, s_high, *size_range)).withColumn(
         "mark_color", S.linear_scale(color, low, high))
 

@@ -60,6 +60,16 @@ def event_annotation(spark, folder):
     return evolution.with_events(yearly, events, first=1996, last=2000)
 
 
+EVENTS = ", ".join("({}, '{}', '{}')".format(y, *(t.replace("'", "''") for t in texts)) for y, *texts in vocab.INDUSTRY_EVENTS)
+
+
+@query(f"""WITH {WORDS}, e(event_year, event, description) AS (VALUES {EVENTS}),
+y AS (SELECT Year, CAST(sum(Frequency) AS BIGINT) AS n FROM words GROUP BY Year)
+SELECT y.Year, y.n, e.event, e.description FROM y LEFT JOIN e ON y.Year = e.event_year""")
+def industry_events(spark, folder):
+    return evolution.with_events(words(spark, folder).groupBy("Year").agg(F.sum("Frequency").alias("n")))
+
+
 TOTALS = WORDS + """, t AS (SELECT coalesce(nullif(Category, ''), 'other') AS category, CAST(sum(Frequency) AS BIGINT) AS value
   FROM (SELECT Word, Frequency, CASE WHEN Category = 'Time' THEN NULL ELSE Category END AS Category FROM words) GROUP BY 1)"""
 
@@ -128,6 +138,31 @@ def inside_out_order(spark, folder):
     return evolution.inside_out_order(_long(spark, folder))
 
 
+STREAM = [*PART_TYPES[:4], "Other"]
+STREAM_SQL = TRACKS + ", wide AS (SELECT Year, " + ", ".join(
+    f"CAST(round(count(*) FILTER (Topic = '{t}') / count(*) * 1e6) AS BIGINT) AS \"{t}\"" for t in PART_TYPES[:4]) + """,
+  CAST(round(count(*) FILTER (Topic NOT IN ('ECONOMY', 'LARGE', 'MEDIUM', 'PROMO')) / count(*) * 1e6) AS BIGINT) AS "Other" FROM tracks GROUP BY Year),
+given AS (""" + " UNION ALL ".join(f"SELECT Year, {i} AS series_no, '{c}' AS series, \"{c}\" AS value FROM wide" for i, c in enumerate(STREAM)) + ")"
+
+
+@query(f"""WITH RECURSIVE {STREAM_SQL}, {ORDER.replace('FROM long', 'FROM given')}, walk(k, t, b, ordered) AS (
+  SELECT CAST(0 AS BIGINT), 0.0E0, 0.0E0, CAST([] AS VARCHAR[])
+  UNION ALL SELECT seq.k, CASE WHEN t < b THEN t + total ELSE t END, CASE WHEN t < b THEN b ELSE b + total END,
+    CASE WHEN t < b THEN list_append(ordered, series) ELSE list_prepend(series, ordered) END
+  FROM walk JOIN seq ON seq.k = walk.k + 1),
+pos AS (SELECT CAST(generate_subscripts(ordered, 1) - 1 AS INT) AS series_no, unnest(ordered) AS series
+  FROM (SELECT ordered FROM walk ORDER BY k DESC LIMIT 1)),
+long AS (SELECT g.Year, pos.series_no, series, g.value FROM given g JOIN pos USING (series)), {STACK}, {BASELINE}
+SELECT Year, series_no, series, value, round(y1 + baseline, 3) + 0.0E0 AS y1, round(y1 - value + baseline, 3) + 0.0E0 AS y0 FROM plain JOIN base USING (Year)""")
+def topic_stream(spark, folder):
+    """The topics' shares of every year, in inside-out order on the wiggle baseline; shares in millionths."""
+    shares = evolution.share_by_year(tracks(spark, folder), PART_TYPES[:4])
+    whole = shares.select("Year", *[F.round(F.col(c) * 10_000).cast("bigint").alias(c) for c in STREAM])
+    long = evolution.melt(whole, "Year", STREAM)
+    placed = evolution.reorder(long, evolution.inside_out_order(long)).select("Year", F.col("series_no"), "series", "value")
+    return rounded(evolution.stack_layers(placed, offset="wiggle"), 3, "y0", "y1")
+
+
 @query(f"""WITH {LONG}, {STACK}, m AS (SELECT *, max(value) OVER (PARTITION BY series) AS mx,
   avg(Year) OVER (PARTITION BY series) AS mid FROM plain),
 best AS (SELECT * FROM m WHERE value >= mx * 0.5 QUALIFY row_number() OVER (PARTITION BY series ORDER BY abs(Year - mid), Year) = 1)

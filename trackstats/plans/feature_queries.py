@@ -223,6 +223,22 @@ def density_lookup(spark, folder):
     return settled(out, "density")
 
 
+@query(f"""WITH {TRACKS}, long AS (SELECT 'valence' AS feature, valence AS v FROM tracks), {_kde_sql('0.12E0', '')},
+uneven AS (SELECT x + 0.0013E0 AS x, density FROM curve WHERE CAST(round(x * 50) AS BIGINT) % 7 IN (0, 1, 4)),
+asked AS (SELECT track_id, valence * 1.4E0 - 0.2E0 AS valence FROM tracks),
+found AS (SELECT a.track_id, a.valence, u.x, u.density FROM asked a ASOF LEFT JOIN uneven u ON a.valence <= u.x)
+SELECT track_id, round(valence, 9) AS valence, round(coalesce(x, (SELECT max(x) FROM uneven)), 9) AS curve_x,
+  round(coalesce(density, (SELECT arg_max(density, x) FROM uneven)) + 1e-10, 6) AS density FROM found""")
+def density_lookup_any_grid(spark, folder):
+    """Values within, between and beyond the points of an uneven grid."""
+    df = tracks(spark, folder)
+    curve = density.density(df, ["valence"], h=0.12)
+    uneven = curve.where((F.round(F.col("x") * 50).cast("bigint") % 7).isin(0, 1, 4))
+    asked = df.select("track_id", (F.col("valence") * 1.4 - 0.2).alias("valence"))
+    out = density.density_as_of(asked, uneven.withColumn("x", F.col("x") + 0.0013), "valence")
+    return rounded(settled(out, "density"), 9, "valence", "curve_x")
+
+
 @query(f"""WITH {TRACKS}, b AS (SELECT least(floor(round(acousticness * 20, 9)), 19) AS i, count(*) AS n FROM tracks GROUP BY 1)
 SELECT s.i / 20.0E0 AS x0, (s.i + 1) / 20.0E0 AS x1, coalesce(n, 0) AS n
 FROM (SELECT unnest(range(0, 20)) AS i) s LEFT JOIN b ON s.i = b.i""")
@@ -230,6 +246,16 @@ def histogram(spark, folder):
     return density.histogram(tracks(spark, folder), "acousticness", bins=25)
 
 
+@query(f"""WITH {TRACKS}, s AS (SELECT loudness / 40.0E0 + 0.5E0 AS v FROM tracks),
+b AS (SELECT least(floor(round(v * 20, 9)), 19) AS i, count(*) AS n FROM s WHERE v BETWEEN 0 AND 1 GROUP BY 1)
+SELECT s.i / 20.0E0 AS x0, (s.i + 1) / 20.0E0 AS x1, coalesce(n, 0) AS n, round((SELECT avg(v) FROM s), 6) AS mean
+FROM (SELECT unnest(range(0, 20)) AS i) s LEFT JOIN b ON s.i = b.i""")
+def histogram_mean(spark, folder):
+    """Part of the values lie outside the bins; they count in the mean."""
+    df = tracks(spark, folder).select((F.col("loudness") / 40.0 + 0.5).alias("v"))
+    return rounded(density.histogram_with_mean(df, "v", bins=25), 6, "mean")
+
+
 SURFACE = """n2 AS (SELECT CAST(least(floor((tempo - 0.0E0) / (200.0E0 / 40)), 39) AS INT) AS cx,
     CAST(least(floor((valence - 0.0E0) / (1.0E0 / 40)), 39) AS INT) AS cy, count(*) AS n FROM tracks GROUP BY ALL),
 surface AS (SELECT CAST(cx + dx AS INT) AS bx, CAST(cy + dy AS INT) AS "by",
@@ -259,6 +285,22 @@ def nearest_to_peak(spark, folder):
     return found.select("track_id", "tempo", "valence")
 
 
+@query(f"""WITH {TRACKS} SELECT track_id,
+  CASE WHEN tempo > 100 THEN CAST(CAST(tempo AS BIGINT) AS VARCHAR) ELSE concat(CAST(CAST(tempo AS BIGINT) AS VARCHAR), '.00') END AS summary,
+  CASE Topic WHEN 'PROMO' THEN 'Instr.' WHEN 'SMALL' THEN 'Dance.' ELSE 'Energy' END AS short,
+  CASE WHEN Topic = 'LARGE' THEN NULL ELSE Year END AS year_number, (key + 9) % 12 AS minor,
+  CASE WHEN Topic = 'ECONOMY' THEN lpad(CAST(Streams AS VARCHAR), 22, '0') END AS bare_id FROM tracks""")
+def detail_texts(spark, folder):
+    """Summaries, short labels, whole numbers from text such as '1997.0', relative minors, bare ids."""
+    p = F.col("Topic")
+    name = F.when(p == "PROMO", F.lit("Instrumentalness")).when(p == "SMALL", F.lit("Danceability")).otherwise(F.lit("Energy"))
+    year = F.when(p == "LARGE", F.lit("unknown")).otherwise(F.concat(F.lit(" "), F.col("Year").cast("string"), F.lit(".0")))
+    link = F.when(p == "ECONOMY", F.lpad(F.col("Streams").cast("string"), 22, "0")).otherwise(F.lit("spotless"))
+    return tracks(spark, folder).select(
+        "track_id", S.summary_text("tempo", F.col("tempo")).alias("summary"), S.short_label(name).alias("short"),
+        S.as_int(year).alias("year_number"), S.relative_minor("key").cast("int").alias("minor"), S.id_from_url(link).alias("bare_id"))
+
+
 # --- rankings and samples ----------------------------------------------------------
 
 

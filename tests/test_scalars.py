@@ -3,7 +3,8 @@ import math
 from pyspark.sql import functions as F
 
 from trackstats.functions import scalars as S
-from trackstats.functions.stem import stem_word
+from porter_by_word import stem_word
+from trackstats.functions.stem import porter
 
 
 def test_numbers(values):
@@ -90,5 +91,22 @@ STEMS = {
 }
 
 
-def test_stemmer():
-    assert {w: stem_word(w) for w in STEMS} == STEMS
+def test_stemmer(spark):
+    got = porter(spark.createDataFrame([(w,) for w in STEMS], "w string"), "w", "stem").collect()
+    assert {r.w: r.stem for r in got} == STEMS == {w: stem_word(w) for w in STEMS}
+
+
+def test_stemmer_of_all_kinds_of_words_equals_the_rules_word_by_word(spark):
+    import random
+
+    from trackstats.functions import stem
+    rng = random.Random(1)
+    ends = ["", "y", "yy", "yyy", "e", "ll", "ed", "ing", "ied", "ies", "alli", "s", *(x for x, _ in stem.PLURAL + stem.DERIVED + stem.QUALITY), *stem.RESIDUAL]
+    words = {"".join(rng.choices("abcdeilnorstuvwxyz\u00e9", k=rng.randrange(7))) + rng.choice(ends) + rng.choice(["", "", "s", "ed", "ing", "ly"]) for _ in range(6000)}
+    words |= {*stem.IRREGULAR, "", "a", "Yy", "SAYING", "yyyeah", "\U0001d49cing", "123s"}
+    df = spark.createDataFrame([(w, 1) for w in words] + [(None, 2)], "w string, stem_of int")
+    out = porter(df, "w", "stem")
+    assert out.columns == ["w", "stem_of", "stem"] and "Python" not in out._jdf.queryExecution().executedPlan().toString()
+    bad = [(r.w, r.stem, stem_word(r.w)) for r in out.collect() if r.w is not None and r.stem != stem_word(r.w)]
+    assert not bad, bad[:5]
+    assert out.where("w is null and stem is null").count() == 1

@@ -83,7 +83,7 @@ def test_responses(spark):
     assert out.columns == ["id", "r", "energy", "tempo", "valence"]
     assert rows(out.drop("r").orderBy("id")) == [(1, 0.5, 120.0, None), (2, None, None, 0.1), (3, None, None, None), (4, None, None, None)]
     assert set(rows(pages.feature_rows(df, ["id"], "r"))) == {
-        (1, "id", None), (1, "energy", 0.5), (1, "tempo", 120.0), (2, "valence", 0.1), (2, "energy", None)}
+        (1, "id", None), (1, "energy", 0.5), (1, "tempo", 120.0), (2, "valence", 0.1), (2, "energy.x", 1.0)}
     ids = spark.createDataFrame([('{"content":[{"id":"q"}]}',), ('{"content":[]}',), ("x",)], "r string")
     assert [r[0] for r in ids.select(pages.content_id("r")).collect()] == ["q", None, None]
 
@@ -158,3 +158,20 @@ def test_a_quote_that_is_never_closed_keeps_its_text(spark, tmp_path):
     assert rows(tables.read_csv(spark, path, one_line=False).select("a")) == [("1",), ("3",)]
     assert rows(tables.read_csv(spark, write(tmp_path / "e.csv", "a,b\n"))) == []
     assert rows(tables.read_csv(spark, write(tmp_path / "one.csv", "a,b\n1,2\n"), one_line=True)) == [("1", "2")]
+
+
+def test_members_of_any_name_and_depth(spark):
+    long_ = "y" * 200_000
+    data = [(1, '{"id":"abc","nested":{"energy":1,"deep":{"x y":"2.5"}},"a.b":3,"list":[1,{"q":1}],"none":null,"no":true,"empty":{}}'),
+            (2, '{"nested":5,"text":"{not an object}","pad":"' + long_ + '","last":1e3}'), (3, "bad"), (4, None), (5, "{}"), (5, "[1]")]
+    df = spark.createDataFrame(data, "k int, r string")
+    assert pages.nesting(df, "r") == 2
+    got = sorted(rows(pages.feature_rows(df, ["k"], "r")), key=str)
+    assert got == sorted([(1, "id", None), (1, "nested.energy", 1.0), (1, "nested.deep.x y", 2.5), (1, "a.b", 3.0), (1, "list", None), (1, "none", None),
+                          (1, "no", None), (2, "nested", 5.0), (2, "text", None), (2, "pad", None), (2, "last", 1000.0)], key=str)
+    wide = pages.with_all_features(df.select("k", "r"), "r").drop("r")
+    assert wide.columns == ["k", "a.b", "id", "last", "list", "nested", "nested.deep.x y", "nested.energy", "no", "none", "pad", "text"]
+    by = {r.k: r.asDict() for r in wide.where("k < 5").collect()}
+    assert (by[1]["a.b"], by[1]["nested.deep.x y"], by[1]["nested"], by[2]["nested"], by[2]["last"], by[3]["last"]) == (3.0, 2.5, None, 5.0, 1000.0, None)
+    with pytest.raises(ValueError, match="more than 3"):
+        pages.with_all_features(df, "r", most=3)

@@ -1,14 +1,17 @@
-"""Porter's suffix-stripping algorithm (1980) with its common extensions.
+"""Porter's suffix-stripping algorithm (1980) with its common extensions, as column expressions.
 
-The rules are data; the code that applies them runs as a Pandas UDF. Callers
-aggregate to distinct words first, so it sees a vocabulary and never the corpus.
+The rules are data. A word has a shape of ``c`` and ``v`` for consonants and
+vowels; a stem is a prefix of the word, so its shape is the same prefix of the
+word's. Every step computes word and shape once and passes them on. Callers
+aggregate to distinct words first.
 """
 
 from __future__ import annotations
 
-import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from ..operators.keys import once
 
 # Words that bypass the rules.
 IRREGULAR = {
@@ -39,85 +42,112 @@ RESIDUAL = [
 ]
 
 
-def _shape(word: str) -> str:
+def _shape(word: Column) -> Column:
     """``c`` for consonants and ``v`` for vowels; y is a vowel after a consonant."""
-    shape = ""
-    for ch in word:
-        vowel = ch in "aeiou" or (ch == "y" and shape.endswith("c"))
-        shape += "v" if vowel else "c"
-    return shape
+    def next_(shape: Column, ch: Column) -> Column:
+        vowel = ch.isin(*"aeiou") | ((ch == "y") & shape.endswith("c"))
+        return F.concat(shape, F.when(vowel, "v").otherwise("c"))
+    return F.aggregate(F.regexp_extract_all(word, F.lit("(?s)."), F.lit(0)), F.lit(""), next_)
+
+
+class _Stem:
+    """The first ``n`` characters of the word ``__w`` with shape ``__s``."""
+
+    def __init__(self, cut: int):
+        n = F.length("__w") - cut
+        self.text, self.shape = F.left("__w", n), F.left("__s", n)
+        self.measure = F.regexp_count(self.shape, F.lit("vc"))
+        self.short_end = (self.shape.endswith("cvc") & ~F.right(self.text, F.lit(1)).isin(*"wxy")) | (self.shape == "vc")
 
 
-def _measure(word: str) -> int:
-    return _shape(word).replace("vv", "v").count("vc")
+def _ends(suffix: str) -> Column:
+    return F.endswith("__w", F.lit(suffix))
 
 
-def _short_end(word: str) -> bool:
-    shape = _shape(word)
-    return (shape.endswith("cvc") and word[-1] not in "wxy") or shape == "vc"
+def _first_match(cases: list[tuple[Column, Column]]) -> Column:
+    """The value of the first case that holds, else the word as it is."""
+    out = None
+    for when, value in cases:
+        out = F.when(when, value) if out is None else out.when(when, value)
+    return out.otherwise(F.col("__w"))
 
 
-def _swap(word: str, rules, condition) -> str:
+def _swap(rules, condition) -> Column:
+    """The first suffix that matches decides; it is replaced if the stem meets the condition."""
+    cases = []
     for suffix, replacement in rules:
-        if word.endswith(suffix):
-            stem = word[: len(word) - len(suffix)]
-            return stem + replacement if condition(suffix, stem) else word
-    return word
-
-
-def _past(word: str) -> str:
-    if word.endswith("ied"):
-        return word[:-3] + ("ie" if len(word) == 4 else "i")
-    if word.endswith("eed"):
-        return word[:-1] if _measure(word[:-3]) > 0 else word
-    for suffix in ("ed", "ing"):
-        if word.endswith(suffix):
-            stem = word[: len(word) - len(suffix)]
-            break
-    else:
-        return word
-    if "v" not in _shape(stem):
-        return word
-    if stem.endswith(("at", "bl", "iz")):
-        return stem + "e"
-    if len(stem) > 1 and stem[-1] == stem[-2] and _shape(stem)[-1] == "c":
-        return stem if stem[-1] in "lsz" else stem[:-1]
-    return stem + "e" if _measure(stem) == 1 and _short_end(stem) else stem
-
-
-def _derive(word: str) -> str:
-    while word.endswith("alli") and _measure(word[:-4]) > 0:
-        word = word[:-2]
-    return _swap(word, DERIVED, lambda s, stem: _measure(stem + "l" if s == "logi" else stem) > 0)
-
-
-def stem_word(word: str) -> str:
-    word = word.lower()
-    if word in IRREGULAR:
-        return IRREGULAR[word]
-    if len(word) <= 2:
-        return word
-    if word.endswith("ies") and len(word) == 4:
-        word = word[:-1]
-    else:
-        word = _swap(word, PLURAL, lambda s, stem: True)
-    word = _past(word)
-    if word.endswith("y") and len(word) > 2 and _shape(word)[-2] == "c":
-        word = word[:-1] + "i"
-    word = _derive(word)
-    word = _swap(word, QUALITY, lambda s, stem: _measure(stem) > 0)
-    word = _swap(word, [(s, "") for s in RESIDUAL],
-                 lambda s, stem: _measure(stem) > 1 and (s != "ion" or stem.endswith(("s", "t"))))
-    if word.endswith("e"):
-        bare = word[:-1]
-        m = _measure(bare)
-        if m > 1 or (m == 1 and not _short_end(bare)):
-            word = bare
-    if word.endswith("ll") and _measure(word[:-1]) > 1:
-        word = word[:-1]
-    return word
-
-
-@F.pandas_udf(T.StringType())
-def porter(words: pd.Series) -> pd.Series:
-    return words.map(stem_word, na_action="ignore")
+        stem = _Stem(len(suffix))
+        cases.append((_ends(suffix), F.when(condition(suffix, stem), F.concat(stem.text, F.lit(replacement))).otherwise(F.col("__w"))))
+    return _first_match(cases)
+
+
+def _plural() -> Column:
+    short = _ends("ies") & (F.length("__w") == 4)
+    return F.when(short, _Stem(1).text).otherwise(_swap(PLURAL, lambda s, stem: F.lit(True)))
+
+
+def _past() -> Column:
+    def bare(cut: int) -> Column:
+        stem = _Stem(cut)
+        last = F.right(stem.text, F.lit(1))
+        double = (F.length(stem.text) > 1) & (last == F.left(F.right(stem.text, F.lit(2)), F.lit(1))) & stem.shape.endswith("c")
+        restored = F.when(stem.text.endswith("at") | stem.text.endswith("bl") | stem.text.endswith("iz"), F.concat(stem.text, F.lit("e")))
+        restored = restored.when(double, F.when(last.isin(*"lsz"), stem.text).otherwise(F.left(stem.text, F.length(stem.text) - 1)))
+        restored = restored.when((stem.measure == 1) & stem.short_end, F.concat(stem.text, F.lit("e"))).otherwise(stem.text)
+        return F.when(F.contains(stem.shape, F.lit("v")), restored).otherwise(F.col("__w"))
+    return _first_match([
+        (_ends("ied"), F.concat(_Stem(3).text, F.when(F.length("__w") == 4, "ie").otherwise("i"))),
+        (_ends("eed"), F.when(_Stem(3).measure > 0, _Stem(1).text).otherwise(F.col("__w"))),
+        (_ends("ed"), bare(2)), (_ends("ing"), bare(3))])
+
+
+def _final_y() -> Column:
+    stem = _Stem(1)
+    return F.when(_ends("y") & (F.length("__w") > 2) & stem.shape.endswith("c"), F.concat(stem.text, F.lit("i"))).otherwise(F.col("__w"))
+
+
+def _doubly_derived() -> Column:
+    return F.when(_ends("alli") & (_Stem(4).measure > 0), _Stem(2).text).otherwise(F.col("__w"))
+
+
+def _derived() -> Column:
+    return _swap(DERIVED, lambda s, stem: (_Stem(len(s) - 1) if s == "logi" else stem).measure > 0)
+
+
+def _quality() -> Column:
+    return _swap(QUALITY, lambda s, stem: stem.measure > 0)
+
+
+def _residual() -> Column:
+    def allowed(suffix: str, stem: _Stem) -> Column:
+        ok = stem.measure > 1
+        return ok & (stem.text.endswith("s") | stem.text.endswith("t")) if suffix == "ion" else ok
+    return _swap([(s, "") for s in RESIDUAL], allowed)
+
+
+def _final_e() -> Column:
+    bare = _Stem(1)
+    return F.when(_ends("e") & ((bare.measure > 1) | ((bare.measure == 1) & ~bare.short_end)), bare.text).otherwise(F.col("__w"))
+
+
+def _final_l() -> Column:
+    return F.when(_ends("ll") & (_Stem(1).measure > 1), _Stem(1).text).otherwise(F.col("__w"))
+
+
+STEPS = [_plural, _past, _final_y, _doubly_derived, _derived, _quality, _residual, _final_e, _final_l]
+
+
+def porter(df: DataFrame, word: str, name: str) -> DataFrame:
+    """``df`` with the stem of ``word`` in the column ``name``; NULL stays NULL.
+
+    Words of up to two letters and irregular ones bypass the rules.
+    """
+    low = F.lower(F.col(word))
+    irregular = F.create_map(*[F.lit(x) for pair in IRREGULAR.items() for x in pair])
+    out = once(df, __low=low)
+    out = once(out, __known=F.try_element_at(irregular, F.col("__low")), __w=F.col("__low"))
+    for step in STEPS:
+        out = once(once(out, __s=_shape(F.col("__w"))), __next=step())
+        out = out.drop("__w", "__s").withColumnRenamed("__next", "__w")
+    stem = F.coalesce("__known", F.when(F.length("__low") <= 2, F.col("__low")).otherwise(F.col("__w")))
+    return out.withColumn(name, stem).select(*df.columns, name)

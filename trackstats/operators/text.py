@@ -58,7 +58,7 @@ def word_counts(df: DataFrame, group: list[str], *, text: str = "Lyrics",
 
 
 def stem_counts(counts: DataFrame, group: list[str], *, lemmas: DataFrame | None = None,
-                stem: Callable[[Column], Column] | None = porter) -> DataFrame:
+                stem: Callable[[DataFrame, str, str], DataFrame] | None = porter) -> DataFrame:
     """``(group..., stem, Word, Frequency)``: counts per stem and its commonest surface form.
 
     Works on per-word counts; a word is stemmed once, however many groups it is in. A ``(word, lemma)`` table is applied before
@@ -71,7 +71,7 @@ def stem_counts(counts: DataFrame, group: list[str], *, lemmas: DataFrame | None
         base = F.coalesce("lemma", "word")
     counts = counts.withColumn("__base", base)
     if stem:
-        stems = counts.select("__base").distinct().withColumn("stem", stem("__base"))
+        stems = stem(counts.select("__base").distinct(), "__base", "stem")
         counts = counts.join(stems, "__base")
     else:
         counts = counts.withColumn("stem", F.col("__base"))

@@ -378,13 +378,20 @@ def json_features(spark, folder):
     return pages.with_features(table(spark, folder, "events").select("event_id", "props"), "props", ["k"]).select("event_id", "k")
 
 
-@query("""SELECT event_id, unnest(['id', 'nested', 'text', 'tempo', 'k']) AS feature,
-  unnest([NULL, NULL, user_id / 2, CASE WHEN event_type = 'error' THEN NULL ELSE value END, CAST(json_extract_string(props, '$.k') AS DOUBLE)]) AS value
-FROM events""")
+#: Characters of a member that makes some responses long.
+PAD = 150_000
+
+
+@query("""SELECT event_id, feature, value FROM (SELECT event_id,
+  unnest(['id', 'nested.energy', 'nested.deep.x y', 'text', 'tempo', 'pad', 'k']) AS feature,
+  unnest([NULL, 1, event_id % 10, user_id / 2, CASE WHEN event_type = 'error' THEN NULL ELSE value END, NULL, CAST(json_extract_string(props, '$.k') AS DOUBLE)]) AS value
+FROM events) WHERE (feature <> 'pad' OR event_id % 997 = 0) AND (feature <> 'nested.deep.x y' OR event_id % 3 = 0)""")
 def json_feature_rows(spark, folder):
-    """Responses with numbers beside names, objects, numbers in quotes and missing values."""
-    more = F.concat(F.lit('{"id":"abc","nested":{"energy":1},"text":"'), (F.col("user_id") / 2).cast("string"), F.lit('","tempo":'),
-                    F.when(F.col("event_type") == "error", F.lit("null")).otherwise(F.col("value").cast("string")), F.lit(","),
+    """Responses with numbers beside names, objects within objects, numbers in quotes, missing values and very long members."""
+    deep = F.when(F.col("event_id") % 3 == 0, F.concat(F.lit(',"deep":{"x y":'), (F.col("event_id") % 10).cast("string"), F.lit("}"))).otherwise("")
+    pad = F.when(F.col("event_id") % 997 == 0, F.concat(F.lit('"pad":"'), F.repeat(F.lit("x"), F.lit(PAD)), F.lit('",'))).otherwise("")
+    more = F.concat(F.lit('{"id":"abc","nested":{"energy":1'), deep, F.lit('},"text":"'), (F.col("user_id") / 2).cast("string"), F.lit('","tempo":'),
+                    F.when(F.col("event_type") == "error", F.lit("null")).otherwise(F.col("value").cast("string")), F.lit(","), pad,
                     F.expr("substring(props, 2, length(props))"))
     return pages.feature_rows(table(spark, folder, "events").select("event_id", more.alias("r")), ["event_id"], "r")
 

@@ -106,9 +106,58 @@ def feature_map(response) -> Column:
     return F.transform_values(members, lambda _, v: v.try_cast("double"))
 
 
-def feature_rows(df: DataFrame, keep: list[str], response: str) -> DataFrame:
-    """``(keep..., feature, value)``: a row per member of every response, whatever the names."""
-    return df.select(*keep, F.explode(feature_map(F.col(response))).alias("feature", "value"))
+_MEMBERS = "map<string,variant>"
+
+
+def _is_object(v: Column) -> Column:
+    return F.schema_of_variant(v).startswith("OBJECT")
+
+
+def _members(response: str, depth: int) -> Column:
+    """``array<struct<key, value>>``: members by dotted name, objects down to ``depth`` replaced by their own members."""
+    found = F.map_entries(F.try_variant_get(F.try_parse_json(F.col(response)), "$", _MEMBERS))
+
+    def opened(e: Column) -> Column:
+        inner = F.map_entries(F.try_variant_get(e["value"], "$", _MEMBERS))
+        named = F.transform(inner, lambda x: F.struct(F.concat(e["key"], F.lit("."), x["key"]).alias("key"), x["value"].alias("value")))
+        return F.when(_is_object(e["value"]), named).otherwise(F.array(e))
+    for _ in range(depth):
+        found = F.flatten(F.transform(found, opened))
+    return found
+
+
+def nesting(df: DataFrame, response: str) -> int:
+    """How many levels of objects within objects the responses have; one pass of the table for each level."""
+    depth = 0
+    while not df.where(F.exists(_members(response, depth), lambda e: _is_object(e["value"]))).isEmpty():
+        depth += 1
+    return depth
+
+
+def feature_rows(df: DataFrame, keep: list[str], response: str, *, depth: int | None = None) -> DataFrame:
+    """``(keep..., feature, value)``: a row per member of every response, whatever the names and however deep.
+
+    A member of a member is named ``outer.inner``. Numbers and numbers in quotes
+    are values, everything else is NULL; an empty object has no members, and what
+    does not parse gives no rows. Without ``depth`` the table is looked through first.
+    """
+    levels = nesting(df, response) if depth is None else depth
+    found = df.select(*keep, F.inline(_members(response, levels)).alias("feature", "__value"))
+    return found.select(*keep, "feature", F.try_variant_get("__value", "$", "string").try_cast("double").alias("value"))
+
+
+def with_all_features(df: DataFrame, response: str, *, most: int = 10_000) -> DataFrame:
+    """One column per member that any response has, in alphabetical order, NULL where a response lacks it.
+
+    The names are read from the table first; more than ``most`` of them are an error, for then rows are the right shape.
+    """
+    depth = nesting(df, response)
+    names = sorted(r.feature for r in feature_rows(df, [], response, depth=depth).select("feature").distinct().limit(most + 1).collect())
+    if len(names) > most:
+        raise ValueError(f"more than {most} names: use feature_rows")
+    found = F.map_from_entries(F.transform(_members(response, depth), lambda e: F.struct(
+        e["key"], F.try_variant_get(e["value"], "$", "string").try_cast("double").alias("value"))))
+    return once(df, __m=found).withColumns({n: F.try_element_at("__m", F.lit(n)) for n in names}).drop("__m")
 
 
 def with_features(df: DataFrame, response: str, names: list[str]) -> DataFrame:

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from trackstats.operators import clean, density, enrich, evolution, keys, merge, ordering, rank, scoring, select, stats, text
+from trackstats.operators import clean, density, enrich, evolution, keys, labels, layout, merge, ordering, rank, scoring, select, stats, text
 from trackstats.plans import jobs
 
 
@@ -522,3 +522,55 @@ def test_scores_make_no_row_per_piece(spark):
         assert "Generate" not in plan and "Exchange" not in plan
     trained = text.train_language_profiles(docs.select(F.lit("de").alias("lang"), F.col("Lyrics").alias("text")))
     assert "Generate" not in trained._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("most", [1 << 21, 8])
+def test_first_of_many_labels(spark, monkeypatch, most):
+    monkeypatch.setattr(labels, "MOST", most)
+    listed = [(5, "Love"), (2, "Grief"), (9, "lov"), (1, ""), (0, None), (7, "GRIEF"), (3, "é x"), (None, "day")]
+    docs = [(1, "a GRIEF of love"), (2, "glove"), (3, "an É X day"), (4, "none"), (5, None), (5, ""), (None, "slov"), (1, "a GRIEF of love")]
+    got = labels.first_label(spark.createDataFrame(docs, "id int, t string"), ["id"], F.col("t"), spark.createDataFrame(listed, "place int, label string"))
+    assert got.columns == ["id", "label"]
+    assert sorted(map(str, rows(got))) == sorted(map(str, [
+        (1, "Grief"), (1, "Grief"), (2, "Love"), (3, "é x"), (4, None), (5, None), (5, None), (None, "lov")]))
+    assert rows(labels.first_label(spark.createDataFrame([(1, "x")], "id int, t string"), ["id"], F.col("t"),
+                                   spark.createDataFrame([], "place int, label string"))) == [(1, None)]
+
+
+def test_many_labels_against_brute_force(spark):
+    rng = random.Random(8)
+    known = [(i, "".join(rng.choices("abc ", k=rng.randrange(1, 9)))) for i in rng.sample(range(20_000), 3000)]
+    texts = [(i, "".join(rng.choices("abcd ", k=rng.randrange(60)))) for i in range(200)]
+    want = [(i, min(((p, v) for p, v in known if v in t), default=(None, None))[1]) for i, t in texts]
+    found = labels.first_label(spark.createDataFrame(texts, "id int, t string"), ["id"], F.col("t"), spark.createDataFrame(known, "place int, label string"))
+    first = {}
+    for p, v in sorted(known):
+        first.setdefault(v, p)
+    assert [(i, v and first[v]) for i, v in rows(found, "id")] == [(i, v and first[v]) for i, v in want]
+
+
+def test_stored_base_is_not_shuffled_again(spark, tmp_path):
+    base = spark.createDataFrame([(i % 50 if i % 7 else None, 2000 + i % 3, i) for i in range(400)], "k int, y int, m long")
+    fresh = spark.createDataFrame([(i if i % 9 else None, 2000 + i % 4, 1000 + i) for i in range(80)], "k int, y int, m long")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        stored = layout.store_bucketed(base, "layout_test", str(tmp_path / "t"), ["k", "y"], buckets=5)
+        pairs = [(layout.refresh(stored, fresh, ["k", "y"], ["m"]), merge.refresh(base, fresh, ["k", "y"], ["m"])),
+                 (layout.unmatched(fresh, stored, ["k", "y"]), merge.unmatched(fresh, base, ["k", "y"]))]
+        for got, want in pairs:
+            assert sorted(map(str, rows(got))) == sorted(map(str, rows(want))) and got.columns == want.columns
+        again = spark.createDataFrame([(1, 5, 1), (1, 6, 2), (None, 7, 3)], "k int, m long, load int")
+        by_key = layout.store_bucketed(base.select("k", "m"), "layout_test_k", str(tmp_path / "k"), ["k"], buckets=5)
+        assert sorted(map(str, rows(layout.patch(by_key, again, "k", ["m", "absent"], "load")))) == sorted(
+            map(str, rows(merge.patch_columns(base.select("k", "m"), again, "k", ["m", "absent"], "load"))))
+        whole = stored.where("k is not null and y is not null").join(fresh.where("k is not null and y is not null"), ["k", "y"])
+        for plan in (whole, layout.refresh(stored, fresh, ["k", "y"], ["m"])):
+            text_ = plan._jdf.queryExecution().executedPlan().toString()
+            joined = text_.split("SortMergeJoin", 1)[1]
+            left = joined.split("Scan parquet spark_catalog.default.layout_test", 1)[0]
+            assert "Exchange" not in left and "Bucketed: true" in text_
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.sql("DROP TABLE IF EXISTS layout_test")
+        spark.sql("DROP TABLE IF EXISTS layout_test_k")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
-from ..operators import clean, enrich, keys, merge, select
+from ..operators import clean, enrich, keys, layout, merge, select
 from ..sources import pages, sinks, tables
 from . import jobs
 from .inputs import ORDERS, RAW_TRACKS, TRACKS, base_orders, fresh_orders, raw_tracks, table, tracks
@@ -150,6 +150,31 @@ def merge_with_new_rows(spark, folder):
     return merge.merge(base_orders(spark, folder), fresh_orders(spark, folder), KEYS, MEASURES, include_new=True)
 
 
+def _stored_orders(spark, folder):
+    """The base in buckets of its key, in a place and under a name of its own."""
+    path = keys.scratch_path(spark)
+    return layout.store_bucketed(base_orders(spark, folder), "orders_" + path.rsplit("-", 1)[-1], path, KEYS)
+
+
+@query(f"WITH {ORDERS} {REFRESHED}")
+def refresh_stored(spark, folder):
+    return layout.refresh(_stored_orders(spark, folder), fresh_orders(spark, folder), KEYS, MEASURES)
+
+
+@query(f"""WITH {ORDERS} SELECT * FROM fresh f
+WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.o_orderkey = f.o_orderkey AND b.Year = f.Year)""")
+def new_rows_stored(spark, folder):
+    return layout.unmatched(fresh_orders(spark, folder), _stored_orders(spark, folder), KEYS)
+
+
+@query(f"""WITH {ORDERS} SELECT * FROM base UNION ALL BY NAME SELECT * FROM fresh f
+WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.o_orderkey = f.o_orderkey AND b.Year = f.Year)""")
+def base_and_new_rows(spark, folder):
+    """The stored base with the rows it lacks."""
+    stored = _stored_orders(spark, folder)
+    return stored.unionByName(layout.unmatched(fresh_orders(spark, folder), stored, KEYS), allowMissingColumns=True)
+
+
 @query(f"""WITH {ORDERS}, u AS ({REFRESHED}) SELECT
   (SELECT count(*) FROM u) AS n_updated,
   (SELECT count(*) FROM base WHERE Year IN (SELECT Year FROM fresh)) - (SELECT count(*) FROM u) AS n_unmatched,
@@ -190,6 +215,15 @@ def patch_columns(spark, folder):
     return merge.patch_columns(target, source, "p_partkey", ["p_size", "p_brand"], "load_no")
 
 
+@query(f"""WITH {PATCH} SELECT t.p_partkey, t.p_name, CASE WHEN s.p_partkey IS NOT NULL THEN s.p_size ELSE t.p_size
+END AS p_size FROM part t LEFT JOIN lastsrc s ON t.p_partkey = s.p_partkey""")
+def patch_stored(spark, folder):
+    target, source = _patch_inputs(spark, folder)
+    path = keys.scratch_path(spark)
+    stored = layout.store_bucketed(target, "parts_" + path.rsplit("-", 1)[-1], path, ["p_partkey"])
+    return layout.patch(stored, source, "p_partkey", ["p_size", "p_brand"], "load_no")
+
+
 @query(f"""WITH {PATCH} SELECT p_partkey, p_name, p_size FROM part
 WHERE p_partkey NOT IN (SELECT p_partkey FROM src)""")
 def patch_unmatched(spark, folder):

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..functions import vocab
-from ..operators import enrich, evolution, rank, select, text
+from ..operators import enrich, evolution, labels, rank, select, text
 from .feature_queries import rounded
 from .inputs import COUNTS, LYRICS, STOPWORD_SQL, WORDS, WORDS_SQL, lyrics, table, words
 from .porter_sql import STEMS
@@ -183,6 +183,21 @@ def topic_canonicalise(spark, folder):
     return enrich.finish_topics(answered, "raw").select("doc_id", "Topic")
 
 
+OPENING = r"^[^\s]+ [^\s]+"
+
+
+@query(rf"""WITH lab AS (SELECT regexp_extract(lower(text), '{OPENING}') AS label, min(doc_id) AS place FROM documents
+  WHERE text IS NOT NULL GROUP BY 1 HAVING label <> ''),
+hit AS (SELECT d.doc_id, arg_min(label, place) AS label FROM documents d JOIN lab ON contains(lower(d.text), label) GROUP BY d.doc_id)
+SELECT d.doc_id, label FROM documents d LEFT JOIN hit USING (doc_id)""")
+def first_of_many_labels(spark, folder):
+    """The first two words of every text are a label; each text has the earliest label that it contains."""
+    d = table(spark, folder, "documents")
+    opening = F.regexp_extract(F.lower("text"), OPENING, 0)
+    found = d.groupBy(opening.alias("label")).agg(F.min("doc_id").alias("place"))
+    return labels.first_label(d, ["doc_id"], F.col("text"), found)
+
+
 TOPIC_LIST = "[" + ", ".join(f"'{v}'" for v in vocab.TOPICS) + "]"
 
 

@@ -1,10 +1,17 @@
 """Language-model scores from Brown classes.
 
-Exchange clustering puts every training word into one of ``CLASSES`` classes: a
-word moves to the class whose neighbours are likeliest for it, its own counts
-taken out of its present class. Neighbours are counted in hashed groups, so the
-table of classes against neighbours has a fixed size; the table of words grows
-with the corpus and stays distributed. The model is
+Exchange clustering puts every training word into one of ``CLASSES`` classes so
+that bigrams of classes become as likely as possible: a word moves to the class
+in which the sum of n log n over the class bigrams, less that over the classes on
+both sides, grows most, its own bigrams taken out of its present class. Half of
+the words may move in a round; a round that would make the corpus less likely is
+taken back and fewer words move at once from then on, so the likelihood never falls.
+
+The ``COMMON`` words counted most often have names of their own as neighbours;
+their classes, a byte each, are all that travels between rounds. The bigrams of
+words with such neighbours are counted once and stay distributed. Rarer words, of
+which there may be any number, are one kind of neighbour, END is another; a rarer
+word joins the class that its neighbours make likeliest. The model is
 P(word | before) = P(class | class before) P(word | class); absolute discounting
 of the words of a class leaves room for unseen words.
 
@@ -26,18 +33,19 @@ from .store import stored
 from .tables import PARTS, parts, summed
 
 CLASSES, ROUNDS = 64, 8
-#: Hashed groups of neighbours on each side.
-GROUPS = 256
+#: Words that are neighbours in their own name; their hashes take 8 MB and their classes 1 MB.
+COMMON = 1 << 20
 DISCOUNT, SMOOTHING = 0.75, 50.0
 #: Tokens that a counting task sums up before it sends them on; bytes of text in a block; words in a shard.
 FLUSH, BLOCK, SHARD = 1 << 20, 32 << 20, 1 << 17
-#: Words whose gains are worked out at a time: they stay in the processor's cache.
-STEP = 1 << 12
-#: Rounds after which the classes are stored.
-KEPT = 4
-#: Class numbers of the end of a text and of unseen words.
+#: Words whose neighbours are counted by class, and entries whose gains are worked out, at a time.
+STEP, ENTRIES = 1 << 15, 1 << 15
+#: Class numbers of the end of a text and of unseen words; among neighbours the second is that of rarer words.
 _END_CLASS, _UNSEEN = CLASSES, CLASSES + 1
+_RARE = _UNSEEN
 _STATES = CLASSES + 2
+#: Neighbour numbers of END and of rarer words; those of the words behind come after all those before.
+_END_ID, _RARE_ID, _SIDE = COMMON, COMMON + 1, COMMON + 2
 END = W.mix(np.array([0xE0D], W.U64))[0]
 
 
@@ -51,13 +59,13 @@ def _tokens(chunk: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 def _sparse(rows: np.ndarray, codes: np.ndarray, n_rows: int, weights: np.ndarray | None = None):
     """Sums by (row, code), in order, and where each row begins."""
-    key, inverse = np.unique(rows * (2 * GROUPS) + codes, return_inverse=True)
+    key, inverse = np.unique(rows * (2 * _SIDE) + codes, return_inverse=True)
     total = np.bincount(inverse, weights, len(key)).astype(np.int64)
-    begin = np.searchsorted(key, np.arange(n_rows + 1) * (2 * GROUPS))
-    return key % (2 * GROUPS), total, begin
+    begin = np.searchsorted(key, np.arange(n_rows + 1) * (2 * _SIDE))
+    return key % (2 * _SIDE), total, begin
 
 
-COUNTED = "word long, n long, codes array<short>, counts array<int>"
+COUNTED = "word long, n long, codes array<int>, counts array<int>"
 
 
 def _word_batches(h, n, codes, counts, begin, size: int = 1 << 15):
@@ -67,34 +75,65 @@ def _word_batches(h, n, codes, counts, begin, size: int = 1 << 15):
         ends = pa.array(begin[at:stop + 1] - a, pa.int32())
         yield pa.RecordBatch.from_arrays([
             pa.array(W.signed(h[at:stop])), pa.array(n[at:stop], pa.int64()),
-            pa.ListArray.from_arrays(ends, pa.array(codes[a:b], pa.int16())),
+            pa.ListArray.from_arrays(ends, pa.array(codes[a:b], pa.int32())),
             pa.ListArray.from_arrays(ends, pa.array(counts[a:b], pa.int32()))], names=["word", "n", "codes", "counts"])
 
 
-def _count(batches):
-    """Each task's words with their counts and neighbours, every ``FLUSH`` tokens."""
+def _flushed(batches, flush):
     held, size = [], 0
-
-    def flush():
-        seq = np.concatenate(held)
-        before = np.concatenate([[END], seq[:-1]])
-        after = np.concatenate([seq[1:], [END]])
-        after = np.where(seq == END, END, after)
-        h, inverse, n = np.unique(seq, return_inverse=True, return_counts=True)
-        code = np.concatenate([before >> W.U64(56), (after >> W.U64(56)) + W.U64(GROUPS)]).astype(np.int64)
-        codes, counts, begin = _sparse(np.concatenate([inverse, inverse]), code, len(h))
-        return _word_batches(h, n, codes, counts, begin)
-
     for batch in batches:
         for _, chunk in W.text_chunks(batch.column(0).to_pylist()):
             seq, _ = _tokens(chunk)
             held.append(seq)
             size += len(seq)
             if size >= FLUSH:
-                yield from flush()
+                yield from flush(np.concatenate(held))
                 held, size = [], 0
     if held:
-        yield from flush()
+        yield from flush(np.concatenate(held))
+
+
+def _tally(batches):
+    """Words that occur at least twice among ``FLUSH`` tokens of a task: no other is common."""
+    def flush(seq):
+        h, n = np.unique(seq, return_counts=True)
+        often = (n > 1) & (h != END)
+        yield pa.RecordBatch.from_arrays([pa.array(W.signed(h[often])), pa.array(n[often])], names=["word", "n"])
+    return _flushed(batches, flush)
+
+
+def common_words(texts: DataFrame) -> np.ndarray:
+    """Hashes, in order, of at most ``COMMON`` words that were counted most often; words counted alike are in or out together."""
+    counts = stored(texts.mapInArrow(_tally, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "tallies")
+    left, least = COMMON, None
+    for r in sorted(counts.groupBy("n").agg(F.count(F.lit(1)).alias("words")).collect(), key=lambda r: -r.n):  # one row per count
+        left -= r.words
+        if left < 0:
+            break
+        least = r.n
+    if least is None:
+        return np.zeros(0, W.U64)
+    found = counts.where(F.col("n") >= least).select("word").toArrow()
+    return np.sort(found.column("word").to_numpy().view(W.U64))
+
+
+def _ids(common: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Neighbour numbers of words."""
+    at = np.minimum(np.searchsorted(common, h), max(len(common) - 1, 0))
+    known = common[at] == h if len(common) else np.zeros(len(h), bool)
+    return np.where(h == END, _END_ID, np.where(known, at, _RARE_ID))
+
+
+def _count(common):
+    """Each task's words with their counts and neighbours, every ``FLUSH`` tokens."""
+    def flush(seq):
+        h, place, n = np.unique(seq, return_inverse=True, return_counts=True)
+        ids = _ids(common.value, h)[place]
+        before = np.concatenate([[_END_ID], ids[:-1]])
+        after = np.where(seq == END, _END_ID, np.concatenate([ids[1:], [_END_ID]]))
+        codes, counts, begin = _sparse(np.concatenate([place, place]), np.concatenate([before, after + _SIDE]), len(h))
+        return _word_batches(h, n, codes, counts, begin)
+    return lambda batches: _flushed(batches, flush)
 
 
 def _columns(table_: pa.Table | pa.RecordBatch):
@@ -120,55 +159,86 @@ def _merge(batches):
     yield from _word_batches(words, total, codes, counts, begin)
 
 
-def _first_classes(h: np.ndarray, length: np.ndarray, codes: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """By the most frequent group of neighbours."""
+def _first_classes(length: np.ndarray, codes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """By the most frequent neighbour."""
     begin = np.cumsum(length) - length
-    most = np.maximum.reduceat(counts * (4 * GROUPS) + codes, begin) % (4 * GROUPS)
-    return (W.mix(most.astype(W.U64)) % W.U64(CLASSES)).astype(np.int64)
+    most = np.maximum.reduceat(counts * (2 * _SIDE) + codes, begin) % (2 * _SIDE)
+    return (W.mix(most.astype(W.U64)) % W.U64(CLASSES)).astype(np.uint8)
 
 
-def _log_shares(counts: np.ndarray, alpha: float = 0.05) -> np.ndarray:
-    """log P(group | class) on each side; ``counts`` is classes by groups of both sides."""
-    sides = counts.reshape(CLASSES, 2, GROUPS) + alpha
-    return np.log(sides / sides.sum(2, keepdims=True)).reshape(CLASSES, 2 * GROUPS)
+def _by_class(classes: np.ndarray, length, codes, counts) -> np.ndarray:
+    """Neighbours of each word by their class: words, side, class."""
+    of = np.concatenate([classes, np.full(COMMON - len(classes), _RARE, np.uint8), [_END_CLASS, _RARE]]).astype(np.int64)
+    code = of[codes % _SIDE] + np.where(codes >= _SIDE, _STATES, 0)
+    rows = np.repeat(np.arange(len(length)), length)
+    return np.bincount(rows * (2 * _STATES) + code, counts, len(length) * 2 * _STATES).reshape(-1, 2, _STATES)
 
 
-def exchange(h: np.ndarray, now: np.ndarray, length, codes, counts, total: np.ndarray, round_: int) -> np.ndarray:
-    """One round: half of the words, chosen by their hash, may move to the class that suits their neighbours best."""
-    shares = _log_shares(total).T.astype(np.float32)
-    side = total.reshape(CLASSES, 2, GROUPS).sum(2)
-    begin = np.cumsum(length) - length
-    out = now.copy()
-    moving = np.flatnonzero((h >> W.U64(7)) % W.U64(2) == W.U64(round_ % 2))
-    # Words of like length together: the j-th neighbours of all of them are added at once.
-    moving = moving[np.argsort(-length[moving], kind="stable")]
-    for at in range(0, len(moving), STEP):
-        rows = moving[at:at + STEP]
-        size = length[rows]
-        first = np.cumsum(size) - size
-        entry = np.repeat(begin[rows] - first, size) + np.arange(size.sum())
-        code, n = codes[entry], counts[entry].astype(np.float32)
-        gain = np.zeros((len(rows), CLASSES), np.float32)
-        longer = len(rows) - np.searchsorted(size[::-1], np.arange(size[0]), "right")
-        for j, m in enumerate(longer.tolist()):
-            e = first[:m] + j
-            gain[:m] += shares[code[e]] * n[e, None]
-        # In its own class a word does not speak for itself.
-        own = np.repeat(now[rows], size)
-        tokens = np.repeat(np.add.reduceat(n, first) / 2, size)
-        without = np.maximum(total[own, code] - n, 0) + 0.05
-        rest = np.maximum(side[own, code // GROUPS] - tokens, 0) + 0.05 * GROUPS
-        gain[np.arange(len(rows)), now[rows]] = np.add.reduceat(n * np.log(without / rest), first)
-        out[rows] = gain.argmax(1)
-    return out
+def _xlogx(x: np.ndarray) -> np.ndarray:
+    return x * np.log(np.maximum(x, 1.0))
 
 
-def _classes(h, length, codes, counts, history: list[np.ndarray], now: np.ndarray | None = None, done: int = 0) -> np.ndarray:
-    """The classes after the rounds whose tables are given, from ``now``, the classes after the first ``done`` of them."""
-    now = _first_classes(h, length, codes, counts) if now is None else now
-    for round_, total in enumerate(history[done:], done):
-        now = exchange(h, now, length, codes, counts, total, round_)
-    return now
+def likelihood(bigrams: np.ndarray) -> float:
+    """What of the corpus's log likelihood depends on the classes."""
+    return float(_xlogx(bigrams).sum() - _xlogx(bigrams.sum(0)).sum() - _xlogx(bigrams.sum(1)).sum())
+
+
+def gains(near: np.ndarray, n: np.ndarray, own: np.ndarray | None, twice: np.ndarray, bigrams: np.ndarray) -> np.ndarray:
+    """By how much the likelihood grows when each word is put into each class, after it was taken out of its ``own``.
+
+    ``near`` are its neighbours by side and class, ``n`` its count, ``twice`` how
+    often it follows itself (counted in its own class on both sides). Without
+    ``own`` the words are in no class yet.
+    """
+    rows = np.arange(len(n))
+    near = near.astype(float)
+    if own is not None:
+        near[rows, 0, own] -= twice
+        near[rows, 1, own] -= twice
+    sizes = bigrams.sum(0)[:CLASSES]
+    gain = np.zeros((len(n), CLASSES))
+    for side in (0, 1):
+        table_ = bigrams if side == 0 else bigrams.T  # neighbour's class, word's class
+        other = near[:, 1 - side, :CLASSES]
+        row, g = np.nonzero(near[:, side])
+        for at in range(0, len(row), ENTRIES):
+            r, c = row[at:at + ENTRIES], g[at:at + ENTRIES]
+            with_ = near[r, side, c]
+            base = table_[c, :CLASSES].copy()
+            if own is not None:
+                mine = np.flatnonzero(c == own[r])  # neighbours in the word's own class: bigrams with the word go
+                base[mine] -= other[r[mine]]
+                base[np.arange(len(r)), own[r]] = table_[c, own[r]] - with_
+                base[mine, own[r[mine]]] = 0  # both ends in the class the word leaves: below
+            grown = _xlogx(base + with_[:, None]) - _xlogx(base)
+            inside = np.flatnonzero(c < CLASSES)
+            grown[inside, c[inside]] = 0
+            first = np.flatnonzero(np.diff(r, prepend=-1))
+            gain[r[first]] += np.add.reduceat(grown, first)
+    both = near[:, 0, :CLASSES] + near[:, 1, :CLASSES] + twice[:, None]
+    corner = np.broadcast_to(np.diag(bigrams)[:CLASSES], both.shape).copy()
+    left = np.broadcast_to(sizes, both.shape).copy()
+    if own is not None:
+        corner[rows, own] -= both[rows, own]
+        left[rows, own] -= n
+    gain += _xlogx(corner + both) - _xlogx(corner)
+    return gain - 2 * (_xlogx(left + n[:, None]) - _xlogx(left))
+
+
+def _tables(batches, common: np.ndarray, classes: np.ndarray):
+    """Words of the table in steps: hash, number among the common ones, count, neighbours by class, how often a word follows itself."""
+    for t in _gathered(batches):
+        h, n, length, codes, counts = _columns(t)
+        begin = np.concatenate([[0], np.cumsum(length)])
+        ids = _ids(common, h)
+        for at in range(0, len(h), STEP):
+            stop = min(at + STEP, len(h))
+            part = slice(begin[at], begin[stop])
+            near = _by_class(classes, length[at:stop], codes[part], counts[part])
+            owner = np.repeat(np.arange(stop - at), length[at:stop])
+            same = codes[part] == ids[at:stop][owner]
+            twice = np.bincount(owner[same], counts[part][same], stop - at)
+            yield h[at:stop], ids[at:stop], n[at:stop], near, np.where(ids[at:stop] < COMMON, twice, 0)
 
 
 def _gathered(batches, size: int = 1 << 16):
@@ -185,40 +255,77 @@ def _gathered(batches, size: int = 1 << 16):
         yield pa.Table.from_batches(held)
 
 
-def _now(table_: pa.Table) -> np.ndarray | None:
-    return table_.column(4).to_numpy().astype(np.int64) if table_.num_columns > 4 else None
+def _collected(made: DataFrame, size: int) -> np.ndarray:
+    """Classes by word number from packed rows ``ids, classes``: a byte for each common word."""
+    out = np.full(size, _RARE, np.uint8)
+    for r in made.collect():  # five bytes a common word
+        out[np.frombuffer(r.ids, np.int32)] = np.frombuffer(r.classes, np.uint8)
+    return out
 
 
-def _clustered(counted: DataFrame, rounds: int) -> tuple[list[np.ndarray], DataFrame, int]:
-    """Tables of classes against neighbours, one per round; the word table with the classes after some rounds, and how many.
+_MOVED = "ids binary, classes binary"
 
-    Classes are stored every ``KEPT`` rounds; in between, rounds are repeated rather than stored.
-    """
-    spark, history, done = counted.sparkSession, [], 0
+
+def _moved(ids: np.ndarray, classes: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([ids.astype(np.int32).tobytes()]), pa.array([classes.astype(np.uint8).tobytes()])], names=["ids", "classes"])
+
+
+def class_bigrams(counted: DataFrame, common, classes: np.ndarray) -> np.ndarray:
+    """Bigrams by the classes of both words, those of two rarer words or of END with one left out: they never change."""
+    shared = counted.sparkSession.sparkContext.broadcast(classes)
+
+    def add(batches):
+        total = np.zeros((_STATES, _STATES))
+        for _, ids, _, near, _ in _tables(batches, common.value, shared.value):
+            own = shared.value[ids].astype(np.int64)
+            for c in np.unique(own):
+                side = near[own == c].sum(0)
+                total[:, c] += side[0]
+                total[c, CLASSES:] += side[1, CLASSES:]  # bigrams of two common words are counted with the second
+        yield parts(total)
+    return summed(counted.mapInArrow(add, PARTS), (_STATES, _STATES))
+
+
+def cluster(counted: DataFrame, common, rounds: int = ROUNDS) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Classes of the common words, whose rows ``counted`` has, and the class bigrams after each round that was kept."""
+    spark, size = counted.sparkSession, len(common.value)
+
+    def first(batches):
+        for t in _gathered(batches):
+            h, _, length, codes, counts = _columns(t)
+            yield _moved(_ids(common.value, h), _first_classes(length, codes, counts))
+    classes = _collected(counted.mapInArrow(first, _MOVED), size)
+    history, share = [class_bigrams(counted, common, classes)], 2
     for round_ in range(rounds):
-        shared = spark.sparkContext.broadcast(history)
-        if round_ - done == KEPT:
-            def keep(batches, shared=shared, done=done):
-                for t in _gathered(batches):
-                    h, _, length, codes, counts = _columns(t)
-                    now = _classes(h, length, codes, counts, shared.value, _now(t), done).astype(np.int16)
-                    yield from pa.table([*t.columns[:4], pa.array(now)], names=["word", "n", "codes", "counts", "class"]).to_batches()
-            counted, done = stored(counted.mapInArrow(keep, COUNTED + ", class short"), f"words{round_}"), round_
-
-        def add(batches, shared=shared, done=done):
-            total = np.zeros(CLASSES * 2 * GROUPS)
-            for t in _gathered(batches):
-                h, _, length, codes, counts = _columns(t)
-                now = _classes(h, length, codes, counts, shared.value, _now(t), done)
-                total += np.bincount(np.repeat(now, length) * (2 * GROUPS) + codes, counts, len(total))
-            yield parts(total.reshape(CLASSES, -1))
-        history.append(summed(counted.mapInArrow(add, PARTS), (CLASSES, 2 * GROUPS)))
-    return history, counted, done
-
-
-def cluster(counted: DataFrame, rounds: int = ROUNDS) -> list[np.ndarray]:
-    """Tables of classes against neighbours, one per round."""
-    return _clustered(counted, rounds)[0]
+        state = spark.sparkContext.broadcast((classes, history[-1]))
+
+        def exchange(batches, state=state, share=share, round_=round_):
+            now, bigrams = state.value
+            for h, ids, n, near, twice in _tables(batches, common.value, now):
+                may = np.flatnonzero((h >> W.U64(7)) % W.U64(share) == W.U64(round_ % share))
+                own = now[ids[may]].astype(np.int64)
+                gain = gains(near[may], n[may], own, twice[may], bigrams)
+                best = gain.argmax(1)
+                better = gain[np.arange(len(may)), best] > gain[np.arange(len(may)), own] + 1e-6
+                yield _moved(ids[may], np.where(better, best, own))
+        moved = _collected(counted.mapInArrow(exchange, _MOVED), size)
+        trial = np.where(moved < CLASSES, moved, classes)
+        bigrams = class_bigrams(counted, common, trial)
+        if likelihood(bigrams) >= likelihood(history[-1]):
+            classes = trial
+            history.append(bigrams)
+        else:
+            share *= 2
+    return classes, history
+
+
+def _only_common(common):
+    """The rows of common words."""
+    def run(batches):
+        for batch in batches:
+            known = _ids(common.value, batch.column(0).to_numpy().view(W.U64)) < COMMON
+            yield batch.filter(pa.array(known))
+    return run
 
 
 def _shard(h: np.ndarray, bits: int) -> np.ndarray:
@@ -234,13 +341,15 @@ def _asked_batch(rows: list[tuple]) -> pa.RecordBatch:
                                       names=[c.split()[0] for c in ASKED.split(", ")])
 
 
-def _entries(history, done: int, bits: int):
-    """The word table, packed by shard."""
+def _entries(common, state, bits: int):
+    """The word table, packed by shard; rarer words get the class that their neighbours make likeliest."""
     def run(batches):
-        for t in _gathered(batches):
-            h, n, length, codes, counts = _columns(t)
-            now = _classes(h, length, codes, counts, history.value, _now(t), done).astype(np.uint8)
-            now[h == END] = _END_CLASS
+        classes, bigrams = state.value
+        for h, ids, n, near, twice in _tables(batches, common.value, classes):
+            now = np.where(ids < COMMON, np.append(classes, 0)[np.minimum(ids, len(classes))], _END_CLASS).astype(np.uint8)
+            rare = np.flatnonzero(ids == _RARE_ID)
+            if len(rare):
+                now[rare] = gains(near[rare], n[rare], None, twice[rare], bigrams).argmax(1)
             shard = _shard(h, bits)
             rows = []
             for s in np.unique(shard):
@@ -365,18 +474,21 @@ def language_scores(docs: DataFrame, *, held_out: Column, rounds: int = ROUNDS)
 
     The model learns from the rows that are not ``held_out`` (null counts as
     not). A null or empty text is an end token alone. Without any training row
-    all words are unseen. Repeated rows count as often as they occur.
+    all words are unseen. Repeated rows count as often as they occur. Whole texts
+    are read, very long ones as a chunk of their own; other columns are not read.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"),
                        F.coalesce(held_out, F.lit(False)).alias("held_out"))
-    counted = stored(rows.where(~F.col("held_out")).select("text").mapInArrow(_count, COUNTED).repartition("word")
-                     .mapInArrow(_merge, COUNTED), "words")
+    training = rows.where(~F.col("held_out")).select("text")
+    common = spark.sparkContext.broadcast(common_words(training))
+    counted = stored(training.mapInArrow(_count(common), COUNTED).repartition("word").mapInArrow(_merge, COUNTED), "words")
     n, v = counted.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    history, counted, done = _clustered(counted, rounds)
-    history = spark.sparkContext.broadcast(history)
+    named = stored(counted.mapInArrow(_only_common(common), COUNTED), "common")
+    classes, history = cluster(named, common, rounds)
+    state = spark.sparkContext.broadcast((classes, history[-1]))
     bits = max(0, int(v // SHARD).bit_length())
-    entries = stored(counted.mapInArrow(_entries(history, done, bits), ASKED), "entries")
+    entries = stored(counted.mapInArrow(_entries(common, state, bits), ASKED), "entries")
 
     def sizes(batches):
         total = np.zeros((2, _STATES))
@@ -389,7 +501,8 @@ def language_scores(docs: DataFrame, *, held_out: Column, rounds: int = ROUNDS)
 
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = int(size // BLOCK) + 1
-    dealt = rows.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).alias("block"), "doc_id", "held_out", "text")
+    # Rows alike in id and text are dealt by where they were read, so no block has more of them than one partition.
+    dealt = rows.select(F.pmod(F.xxhash64("doc_id", "text", F.spark_partition_id()), F.lit(blocks)).alias("block"), "doc_id", "held_out", "text")
     dealt = dealt.repartition(blocks, "block")
     asked = entries.unionByName(dealt.mapInArrow(_questions(bits), ASKED))
     answers = (asked.repartition("shard").sortWithinPartitions("shard", "kind").mapInArrow(_answers, ANSWER))

@@ -145,3 +145,10 @@ def test_equals_brute_force_over_all_windows(spark):
     got = find(spark, [(*d, "", "") for d in docs], [(*i, "") for i in items])
     want = brute(docs, items)
     assert len(want) > 20 and {k: round(r.coverage, 9) for k, r in got.items()} == {k: round(v, 9) for k, v in want.items()}
+
+
+def test_columns_of_clashing_names_stay(spark):
+    docs = spark.createDataFrame([(1, "what is the capital of France", 7, "k", 0.5), (2, "other text", 8, "l", 0.1)],
+                                 "doc_id long, text string, item_id long, kind string, coverage double")
+    bench = spark.createDataFrame([(5, "What is the capital of France?", 1)], "item_id long, text string, doc_id long")
+    assert [tuple(r) for r in D.without_leaks(docs, bench).collect()] == [(2, "other text", 8, "l", 0.1)]

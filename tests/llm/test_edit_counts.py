@@ -20,7 +20,10 @@ def test_counts_equal_a_full_count(text, edits):
         tree = E.build(text, encode)
         assert tree.tokens[1] == len(encode(text))
         for start, n, insert in edits:
-            text, _ = E.apply(text, tree, start, start + n, insert, encode)
+            a = min(start, len(text))
+            text = text[:a] + insert + text[min(start + n, len(text)):]
+            E.apply(tree, start, start + n, insert, encode)
+            assert tree.text() == text
             assert tree.tokens[1] == len(encode(text)) and tree.chars[1] == len(text)
     finally:
         E.RUN, E.cuts = old, cuts
@@ -29,8 +32,42 @@ def test_counts_equal_a_full_count(text, edits):
 def test_only_touched_runs_are_encoded():
     encode, text = encoding().encode_ordinary, "plain words follow each other here " * 20_000
     tree = E.build(text, encode)
-    new, again = E.apply(text, tree, 350_000, 350_010, "other", encode)
-    assert tree.tokens[1] == len(encode(new)) and again < 4 * E.RUN
+    again = E.apply(tree, 350_000, 350_010, "other", encode)
+    assert tree.tokens[1] == len(encode(tree.text())) and again < 4 * E.RUN
+
+
+def test_edits_that_change_the_number_of_runs_leave_other_leaves_alone():
+    encode, text = encoding().encode_ordinary, "plain words follow each other here " * 20_000
+    tree = E.build(text, encode)
+    leaves, built = list(tree.leaves), []
+    tree._build = lambda rows: built.append(rows)
+    again = E.apply(tree, 350_000, 350_010, "many more words " * 60, encode)
+    again += E.apply(tree, 200_000, 202_000, "", encode)
+    changed = sum(a is not b for a, b in zip(leaves, tree.leaves, strict=True))
+    assert not built and changed < 20 and again < 8 * E.RUN + 1000
+    want = text[:350_000] + "many more words " * 60 + text[350_010:]
+    want = want[:200_000] + want[202_000:]
+    assert tree.text() == want and tree.tokens[1] == len(encode(want)) and tree.chars[1] == len(want)
+
+
+def test_many_edits_of_one_place():
+    encode, text = encoding().encode_ordinary, "some words to begin with here " * 50
+    tree = E.build(text, encode)
+    for i in range(200):
+        E.apply(tree, 300, 300, f" number {i} was put in", encode)
+        text = text[:300] + f" number {i} was put in" + text[300:]
+    assert tree.text() == text and tree.tokens[1] == len(encode(text)) and max(map(len, tree.leaves)) <= E.CountTree.FULL
+    for _ in range(40):
+        E.apply(tree, 0, 500, "", encode)
+        text = text[500:]
+        assert tree.text() == text and tree.tokens[1] == len(encode(text))
+
+
+def test_columns_of_clashing_names(spark):
+    docs = spark.createDataFrame([(1, "some text", 5, "x")], "doc_id long, text string, n_tokens int, n_before string")
+    kept = E.counted(docs).withColumn("n_edits", F.lit(7)).withColumn("edits", F.from_json(F.lit('[{"start":0,"stop":4,"insert":"more"}]'), E.EDIT))
+    got = E.edited(kept).first()
+    assert (got.text, got.n_edits, got.n_before) == ("more text", 1, 2)
 
 
 def test_edge_rows(spark):

@@ -11,6 +11,8 @@ pre-token, whatever stands further left or right, so runs can be encoded alone.
 
 from __future__ import annotations
 
+from itertools import accumulate
+
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,25 +42,46 @@ def cuts(text: str, run: int = RUN) -> list[int]:
 
 
 class CountTree:
-    """Characters and tokens of runs, summed in two arrays of a complete binary tree."""
+    """Runs of a text at the leaves of a complete binary tree that sums their characters and tokens.
+
+    A leaf holds a few runs. An edit that changes the number of runs deals the new
+    ones out to the leaves of the old ones, so only the paths above these change
+    and the text is not copied. A leaf that has become too full has the tree
+    dealt out anew, which happens once in many edits of one place.
+    """
+
+    #: Runs that a leaf may hold.
+    FULL = 8
 
-    def __init__(self, chars: list[int], tokens: list[int]):
-        self._build(chars, tokens)
+    def __init__(self, runs: list[str], tokens: list[int]):
+        self._build(list(zip(runs, tokens, strict=True)))
 
-    def _build(self, chars: list[int], tokens: list[int]):
-        self.n = len(chars)
-        self.size = size = 1 << max(0, (self.n - 1).bit_length())
-        self.chars = [0] * size + list(chars) + [0] * (size - self.n)
-        self.tokens = [0] * size + list(tokens) + [0] * (size - self.n)
+    def _build(self, rows: list[tuple[str, int]]):
+        self.size = size = 1 << max(0, (len(rows) - 1).bit_length())
+        self.leaves: list[list[tuple[str, int]]] = [[r] for r in rows] + [[] for _ in range(size - len(rows))]
+        self.chars, self.tokens = [0] * (2 * size), [0] * (2 * size)
+        for i in range(size):
+            self._sum(i)
         for i in range(size - 1, 0, -1):
             self.chars[i] = self.chars[2 * i] + self.chars[2 * i + 1]
             self.tokens[i] = self.tokens[2 * i] + self.tokens[2 * i + 1]
 
+    def _sum(self, leaf: int):
+        self.chars[self.size + leaf] = sum(len(t) for t, _ in self.leaves[leaf])
+        self.tokens[self.size + leaf] = sum(n for _, n in self.leaves[leaf])
+
+    def rows(self) -> list[tuple[str, int]]:
+        return [r for leaf in self.leaves for r in leaf]
+
+    def text(self) -> str:
+        return "".join(t for t, _ in self.rows())
+
     def runs(self) -> tuple[list[int], list[int]]:
-        return self.chars[self.size:self.size + self.n], self.tokens[self.size:self.size + self.n]
+        rows = self.rows()
+        return [len(t) for t, _ in rows], [n for _, n in rows]
 
-    def find(self, place: int) -> tuple[int, int]:
-        """The run that holds a character (the last one for places at the end) and where the run starts."""
+    def find(self, place: int) -> tuple[int, int, int]:
+        """Leaf and number of the run that holds a character (the last one for places at the end), and where the run starts."""
         node, start = 1, 0
         place = min(place, self.chars[1] - 1)
         while node < self.size:
@@ -66,51 +89,65 @@ class CountTree:
             if place >= start + self.chars[node]:
                 start += self.chars[node]
                 node += 1
-        return node - self.size, start
-
-    def replace(self, first: int, last: int, chars: list[int], tokens: list[int]):
-        """Put new runs in place of ``first..last``."""
-        if len(chars) == last - first + 1:
-            for i, (c, t) in enumerate(zip(chars, tokens, strict=True), first + self.size):
-                grown, more = c - self.chars[i], t - self.tokens[i]
-                while i:
-                    self.chars[i] += grown
-                    self.tokens[i] += more
-                    i //= 2
-        else:  # another number of runs: the sums are made anew, nothing is encoded
-            c, t = self.runs()
-            self._build(c[:first] + chars + c[last + 1:], t[:first] + tokens + t[last + 1:])
-
-
-def build(text: str, encode) -> CountTree:
-    chars = cuts(text)
-    tokens, at = [], 0
-    for n in chars:
-        tokens.append(len(encode(text[at:at + n])))
+        leaf = node - self.size
+        for i, (text, _) in enumerate(self.leaves[leaf]):
+            if place < start + len(text):
+                return leaf, i, start
+            start += len(text)
+        raise IndexError(place)
+
+    def between(self, first: tuple[int, int], last: tuple[int, int]) -> list[tuple[str, int]]:
+        """The runs from one to another, both included."""
+        if first[0] == last[0]:
+            return self.leaves[first[0]][first[1]:last[1] + 1]
+        inner = [r for leaf in self.leaves[first[0] + 1:last[0]] for r in leaf]
+        return self.leaves[first[0]][first[1]:] + inner + self.leaves[last[0]][:last[1] + 1]
+
+    def replace(self, first: tuple[int, int], last: tuple[int, int], rows: list[tuple[str, int]]):
+        """Put new runs in place of those from one to another."""
+        rows = self.leaves[first[0]][:first[1]] + rows + self.leaves[last[0]][last[1] + 1:]
+        each = -(-len(rows) // (last[0] - first[0] + 1))
+        for k, leaf in enumerate(range(first[0], last[0] + 1)):
+            self.leaves[leaf] = rows[k * each:(k + 1) * each]
+            self._sum(leaf)
+        low, high = (first[0] + self.size) // 2, (last[0] + self.size) // 2
+        while low:
+            for i in range(low, high + 1):
+                self.chars[i] = self.chars[2 * i] + self.chars[2 * i + 1]
+                self.tokens[i] = self.tokens[2 * i] + self.tokens[2 * i + 1]
+            low, high = low // 2, high // 2
+        if each > self.FULL:
+            self._build(self.rows())
+
+
+def _encoded(text: str, encode) -> list[tuple[str, int]]:
+    rows, at = [], 0
+    for n in cuts(text):
+        rows.append((text[at:at + n], len(encode(text[at:at + n]))))
         at += n
-    return CountTree(chars, tokens)
+    return rows
 
 
-def apply(text: str, tree: CountTree, start: int, stop: int, insert: str, encode) -> tuple[str, int]:
-    """Replace ``text[start:stop]``; changes the tree, returns the new text and the characters encoded again."""
-    start = max(0, min(start, len(text)))
-    stop = max(start, min(stop, len(text)))
-    if not text:
-        fresh = build(insert, encode)
-        tree.__dict__.update(fresh.__dict__)
-        return insert, len(insert)
+def build(text: str, encode) -> CountTree:
+    rows = _encoded(text, encode)
+    return CountTree([t for t, _ in rows], [n for _, n in rows])
+
+
+def apply(tree: CountTree, start: int, stop: int, insert: str, encode) -> int:
+    """Replace the characters ``start:stop`` of the tree's text; returns how many characters were encoded again."""
+    size = tree.chars[1]
+    start = max(0, min(start, size))
+    stop = max(start, min(stop, size))
+    if not size:
+        tree.__dict__.update(build(insert, encode).__dict__)
+        return len(insert)
     # The blank that begins a run holds only with its neighbours: a change beside it opens the run before it.
-    first, low = tree.find(max(0, start - 2))
-    last, at = tree.find(stop + 1)
-    high = at + tree.chars[last + tree.size]
-    new = text[:start] + insert + text[stop:]
-    middle = new[low:high + len(insert) - (stop - start)]
-    chars, tokens, at = cuts(middle), [], 0
-    for n in chars:
-        tokens.append(len(encode(middle[at:at + n])))
-        at += n
-    tree.replace(first, last, chars, tokens)
-    return new, len(middle)
+    *first, low = tree.find(max(0, start - 2))
+    *last, _ = tree.find(stop + 1)
+    old = "".join(t for t, _ in tree.between(first, last))
+    middle = old[:start - low] + insert + old[stop - low:]
+    tree.replace(first, last, _encoded(middle, encode))
+    return len(middle)
 
 
 KEPT = "doc_id long, text string, n_tokens long, run_chars array<int>, run_tokens array<int>"
@@ -122,7 +159,11 @@ def _rows(names: list[str], types: list, rows: list[tuple]) -> pa.RecordBatch:
 
 
 def counted(docs: DataFrame, *, vocabulary: str = f"{FOLDER}/{VOCABULARY}") -> DataFrame:
-    """``doc_id, text, n_tokens`` and the runs of every row; a null text is empty and has no runs."""
+    """``doc_id, text, n_tokens`` and the runs of every row; a null text is empty and has no runs.
+
+    Whole texts are read, very long ones too; repeated rows and null doc_ids come back as often as they are there; other
+    columns are not read.
+    """
     def run(batches):
         encode = encoding(vocabulary).encode_ordinary
         for batch in batches:
@@ -150,7 +191,7 @@ def edited(kept: DataFrame, *, edits: str = "edits", vocabulary: str = f"{FOLDER
     """Apply each row's edits, in their order, each to the outcome of those before; same columns as ``counted`` and more.
 
     Places are characters (code points); places beyond the text are taken as its
-    end, a null insert as empty, null edits as none.
+    end, a null insert as empty, null edits as none. Columns beside those of ``counted`` and the edits are not read.
     """
     def run(batches):
         encode = encoding(vocabulary).encode_ordinary
@@ -159,10 +200,11 @@ def edited(kept: DataFrame, *, edits: str = "edits", vocabulary: str = f"{FOLDER
             columns = [batch.column(i) for i in range(6)]
             for i in range(batch.num_rows):
                 key, text, before, chars, tokens, todo = (c[i].as_py() for c in columns)
-                tree, again = CountTree(chars, tokens), 0
+                ends = list(accumulate(chars, initial=0))
+                tree, again = CountTree([text[a:b] for a, b in zip(ends, ends[1:], strict=False)], tokens), 0
                 for e in todo or []:
-                    text, n = apply(text, tree, e["start"] or 0, e["stop"] or 0, e["insert"] or "", encode)
-                    again += n
+                    again += apply(tree, e["start"] or 0, e["stop"] or 0, e["insert"] or "", encode)
+                text = tree.text()
                 rows.append((key, text, tree.tokens[1], *tree.runs(), before, len(todo or []), again))
                 size += len(text)
                 if size > 4 << 20:

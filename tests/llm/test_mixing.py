@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from trackstats.llm import mixing
 
@@ -69,6 +70,14 @@ def test_inclusion_is_close_to_its_probability(spark):
     assert short / long == pytest.approx(2 ** (0.1 * 3), rel=0.1)  # three size classes apart
 
 
+def test_a_very_long_text_and_clashing_names(spark):
+    data = [(1, "w " * 120_000, "a", "t", "c", "l"), (2, "w " * 10, "a", None, None, None), (3, "w " * 130_000, "b", "t", "c", "l")]
+    docs = make(spark, data).withColumn("row_number", F.lit("mine")).withColumn("copies", F.lit(9)).withColumn("size", F.lit(0.5))
+    assert sorted(r.size for r in mixing.mixed(docs).collect()) == [10, 120_000, 130_000]
+    made = mixing.mixture(docs)
+    assert made.columns == docs.columns and {(r.row_number, r.copies, r["size"]) for r in made.collect()} == {("mine", 9, 0.5)}
+
+
 def test_empty_table(spark):
     assert mixing.mixed(make(spark, [])).count() == 0
     assert mixing.mixture(make(spark, [(1, None, None, "", "", "")])).count() == 0

@@ -66,3 +66,9 @@ def test_labelled_texts(spark, sf):
     clean = found[(found.quality == 1) & ~found.base_failed]
     assert clean.kept.mean() > 0.99
     assert not found[found.quality == 0].kept.mean() > 0.05
+
+
+def test_a_very_long_text(spark):
+    text = " ".join(f"q{i}" for i in range(110_000)) + " the same eight words are said here twice" * 2
+    got = Q.judged(docs(spark, [(1, text, "x", "y"), (2, "short", None, None)])).orderBy("doc_id").first()
+    assert (got.n_words, got.word_chars, got.n_symbols, got.n_dup_lines, got.n_repeat_words) == brute(text)

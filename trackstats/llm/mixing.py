@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,11 +27,22 @@ BIN_ROWS = 5000
 
 
 def _counted(batches):
+    """Sizes, and a number for every row that is its own once the rows are stored."""
+    number = TaskContext.get().partitionId() << 33
     for batch in batches:
         counts = [W.Words(chunk, lower=False).count for _, chunk in W.text_chunks(batch.column(0).to_pylist())]
-        rest = batch.columns[1:]
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(counts), pa.int64()), *rest],
-                                         names=["size", *batch.schema.names[1:]])
+        numbers = pa.array(np.arange(number, number + batch.num_rows))
+        number += batch.num_rows
+        yield pa.RecordBatch.from_arrays([numbers, pa.array(np.concatenate(counts), pa.int64()), *batch.columns[1:]],
+                                         names=["row_number", "size", *batch.schema.names[1:]])
+
+
+def _sized(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``row_number, size, doc_id, source`` (and ``keep``) of every row, stored."""
+    rows = docs.select(F.col("text").cast("binary").alias("text"), F.col("doc_id").cast("long").alias("doc_id"),
+                       F.col("source").cast("string").alias("source"), *[F.col(c) for c in keep])
+    schema = ", ".join(["row_number long", "size long", "doc_id long", "source string", *[f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema[3:]]])
+    return stored(rows.mapInArrow(_counted, schema), "sizes")
 
 
 def _candidate(w: Window, capacity: Column, share: Column, total: Column, ratio: Column) -> Column:
@@ -74,19 +86,20 @@ def _unit(seed: int) -> Column:
     return (F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1 << 52)).cast("double") + 0.5) / float(1 << 52)
 
 
-def mixed(docs: DataFrame, *, share: float = 1.5, cycle: tuple[int, ...] = (3, 1, 2), seed: int = 7,
-          keep: tuple[str, ...] = ()) -> DataFrame:
-    """``doc_id, source, size, source_size, target, copies, taken`` (and ``keep``) for every row of ``docs``.
+def mixed(docs: DataFrame, *, share: float = 1.5, cycle: tuple[int, ...] = (3, 1, 2), seed: int = 7) -> DataFrame:
+    """``doc_id, source, size, source_size, target, copies, taken`` for every row of ``docs``.
 
     ``docs`` has ``doc_id, text, source``; texts without words have size 0 and
     are never taken. Ties in the order go by doc_id and size; rows alike in
     both are interchangeable. The words of a source miss its target by at most
-    half of the document at the cut.
+    half of the document at the cut. Whole texts are counted, very long ones
+    too; other columns are not read.
     """
-    rows = docs.select(F.col("text").cast("binary").alias("text"), F.col("doc_id").cast("long").alias("doc_id"),
-                       F.col("source").cast("string").alias("source"), *[F.col(c) for c in keep])
-    schema = ", ".join(["size long", "doc_id long", "source string", *[f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema[3:]]])
-    sizes = stored(rows.mapInArrow(_counted, schema), "sizes")
+    return _taken(_sized(docs), share, cycle, seed).drop("row_number")
+
+
+def _taken(sizes: DataFrame, share: float = 1.5, cycle: tuple[int, ...] = (3, 1, 2), seed: int = 7) -> DataFrame:
+    """How often each of the sized rows is taken."""
     # Size classes by powers of two; a class's expected copies follow from its length.
     length_class = F.length(F.bin("size"))
     sizes = sizes.withColumn("class", F.when(F.col("size") == 0, 0).otherwise(length_class))
@@ -127,16 +140,21 @@ def mixed(docs: DataFrame, *, share: float = 1.5, cycle: tuple[int, ...] = (3, 1
     middle = F.col("before") + F.col("upto") - F.col("size") / 2
     extra = F.when(ranked & (middle <= F.col("rest")), 1).otherwise(0)
     copies = F.when(F.col("size") > 0, F.col("whole") + extra).otherwise(0).cast("long")
-    return summed.select("doc_id", "source", *keep, "size", "source_size", "target", copies.alias("copies"),
+    return summed.select("row_number", "doc_id", "source", "size", "source_size", "target", copies.alias("copies"),
                          (copies * F.col("size")).alias("taken"))
 
 
 def mixture(docs: DataFrame, **options) -> DataFrame:
-    """The mixed rows: each row of ``docs`` as often as it is taken, with its own columns."""
+    """The mixed rows: each row of ``docs`` as often as it is taken, with its own columns.
+
+    What is taken is settled on numbers of rows; the rows themselves move once, to meet the outcome.
+    """
     columns = docs.columns
     packed = docs.select(F.struct(*[F.col(c) for c in columns]).alias("__row"), "doc_id", "text", "source")
-    taken = mixed(packed, keep=("__row",), **options).where("copies > 0")
-    return taken.select("__row.*", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("__copy")).select(*columns)
+    rows = _sized(packed, keep=("__row",))
+    taken = _taken(rows.drop("__row"), **options).where("copies > 0").select("row_number", "copies")
+    found = rows.select("row_number", "__row").join(taken, "row_number")
+    return found.select("__row.*", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("__copy")).select(*columns)
 
 
 @query()

@@ -145,7 +145,8 @@ def packed(docs: DataFrame, *, length: int = LENGTH, vocabulary: str = f"{FOLDER
 
     ``doc_ids`` and ``parts`` say which part of which text each segment is. A
     null or empty text is a segment of the end id alone; a row without doc_id
-    has null there. Repeated rows are packed as often as they occur.
+    has null there. Repeated rows are packed as often as they occur. A text longer
+    than a row, however long, is cut into parts; other columns are not read.
     """
     def run(batches):
         for number, segments in _blocks(batches, length, vocabulary):

@@ -91,7 +91,11 @@ def _measured(batches):
 
 
 def measures(docs: DataFrame) -> DataFrame:
-    """``doc_id`` and the counts in ``MEASURES`` of every row; a null text has no words."""
+    """``doc_id`` and the counts in ``MEASURES`` of every row; a null text has no words.
+
+    Whole texts are read, a very long one in a chunk of its own; repeated rows and null doc_ids come back as often as they
+    are there; other columns are not read.
+    """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
     return rows.mapInArrow(_measured, "doc_id long, " + ", ".join(f"{m} long" for m in MEASURES))
 
@@ -151,7 +155,8 @@ def estimate(patterns: np.ndarray, counts: np.ndarray, *, rounds: int = 100, pri
 def judged(docs: DataFrame) -> DataFrame:
     """``doc_id``, the measures, ``base_failed``, ``posterior`` (of good) and ``kept`` for every row.
 
-    Repeated rows count as often as they occur. An empty table gives no rows.
+    Repeated rows count as often as they occur. An empty table gives no rows. Very long texts are read to their end, other
+    columns are not read. A posterior of exactly one half is good.
     """
     made = rules()
     found = stored(measures(docs), "measures")

@@ -55,7 +55,7 @@ def test_probabilities_sum_to_one():
 def counted_words(spark, rows):
     texts = docs(spark, rows).select(F.col("text").cast("binary").alias("text"))
     common = spark.sparkContext.broadcast(B.common_words(texts))
-    counted = texts.mapInArrow(B._count(common), B.COUNTED).repartition("word").mapInArrow(B._merge, B.COUNTED)
+    counted = texts.mapInArrow(B._count(common), B.PACKED).repartition("word_group").mapInArrow(B._merge, B.COUNTED)
     return common, counted.mapInArrow(B._only_common(common), B.COUNTED).cache()
 
 

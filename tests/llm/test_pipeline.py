@@ -85,7 +85,7 @@ def test_stages_take_empty_tables_and_rows_without_id(spark):
 
 def test_registered_and_optional():
     names = __spark_entry__.queries()
-    assert "pipeline" in names and all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11))
+    assert "pipeline" in names and all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 14))
 
 
 def test_query_gives_packed_rows(spark):

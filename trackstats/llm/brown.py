@@ -65,6 +65,10 @@ def _sparse(rows: np.ndarray, codes: np.ndarray, n_rows: int, weights: np.ndarra
     return key % (2 * _SIDE), total, begin
 
 
+#: Words travel in groups by the first bits of their hashes, packed.
+GROUP_BITS = 12
+_GROUP_STARTS = np.arange(1 << GROUP_BITS, dtype=W.U64) << W.U64(64 - GROUP_BITS)
+PACKED = "word_group int, words binary, n binary, lengths binary, codes binary, counts binary"
 COUNTED = "word long, n long, codes array<int>, counts array<int>"
 
 
@@ -132,7 +136,15 @@ def _count(common):
         before = np.concatenate([[_END_ID], ids[:-1]])
         after = np.where(seq == END, _END_ID, np.concatenate([ids[1:], [_END_ID]]))
         codes, counts, begin = _sparse(np.concatenate([place, place]), np.concatenate([before, after + _SIDE]), len(h))
-        return _word_batches(h, n, codes, counts, begin)
+        first = np.append(np.searchsorted(h, _GROUP_STARTS), len(h))
+        rows = []
+        for g in np.flatnonzero(np.diff(first)).tolist():
+            a, b = first[g], first[g + 1]
+            part = slice(begin[a], begin[b])
+            rows.append((g, h[a:b].tobytes(), n[a:b].astype(np.int64).tobytes(), np.diff(begin[a:b + 1]).astype(np.int32).tobytes(),
+                         codes[part].astype(np.int32).tobytes(), counts[part].astype(np.int32).tobytes()))
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int32(), *[pa.binary()] * 5))],
+                                         names=[c.split()[0] for c in PACKED.split(", ")])
     return lambda batches: _flushed(batches, flush)
 
 
@@ -152,7 +164,9 @@ def _merge(batches):
     got = [b for b in batches if b.num_rows]
     if not got:
         return
-    h, n, length, codes, counts = _columns(pa.Table.from_batches(got))
+    joined = [b"".join(x for b in got for x in b.column(i).to_pylist()) for i in range(1, 6)]
+    h, n, length, codes, counts = (np.frombuffer(x, t) for x, t in zip(joined, (W.U64, np.int64, np.int32, np.int32, np.int32), strict=True))
+    codes = codes.astype(np.int64)
     words, inverse = np.unique(h, return_inverse=True)
     total = np.bincount(inverse, n, len(words)).astype(np.int64)
     codes, counts, begin = _sparse(np.repeat(inverse, length), codes, len(words), counts)
@@ -183,18 +197,16 @@ def likelihood(bigrams: np.ndarray) -> float:
     return float(_xlogx(bigrams).sum() - _xlogx(bigrams.sum(0)).sum() - _xlogx(bigrams.sum(1)).sum())
 
 
-def gains(near: np.ndarray, n: np.ndarray, own: np.ndarray | None, twice: np.ndarray, bigrams: np.ndarray) -> np.ndarray:
+def gains(near: np.ndarray, n: np.ndarray, own: np.ndarray, twice: np.ndarray, bigrams: np.ndarray) -> np.ndarray:
     """By how much the likelihood grows when each word is put into each class, after it was taken out of its ``own``.
 
     ``near`` are its neighbours by side and class, ``n`` its count, ``twice`` how
-    often it follows itself (counted in its own class on both sides). Without
-    ``own`` the words are in no class yet.
+    often it follows itself (counted in its own class on both sides).
     """
     rows = np.arange(len(n))
     near = near.astype(float)
-    if own is not None:
-        near[rows, 0, own] -= twice
-        near[rows, 1, own] -= twice
+    near[rows, 0, own] -= twice
+    near[rows, 1, own] -= twice
     sizes = bigrams.sum(0)[:CLASSES]
     gain = np.zeros((len(n), CLASSES))
     for side in (0, 1):
@@ -205,11 +217,10 @@ def gains(near: np.ndarray, n: np.ndarray, own: np.ndarray | None, twice: np.nda
             r, c = row[at:at + ENTRIES], g[at:at + ENTRIES]
             with_ = near[r, side, c]
             base = table_[c, :CLASSES].copy()
-            if own is not None:
-                mine = np.flatnonzero(c == own[r])  # neighbours in the word's own class: bigrams with the word go
-                base[mine] -= other[r[mine]]
-                base[np.arange(len(r)), own[r]] = table_[c, own[r]] - with_
-                base[mine, own[r[mine]]] = 0  # both ends in the class the word leaves: below
+            mine = np.flatnonzero(c == own[r])  # neighbours in the word's own class: bigrams with the word go
+            base[mine] -= other[r[mine]]
+            base[np.arange(len(r)), own[r]] = table_[c, own[r]] - with_
+            base[mine, own[r[mine]]] = 0  # both ends in the class the word leaves: below
             grown = _xlogx(base + with_[:, None]) - _xlogx(base)
             inside = np.flatnonzero(c < CLASSES)
             grown[inside, c[inside]] = 0
@@ -218,13 +229,18 @@ def gains(near: np.ndarray, n: np.ndarray, own: np.ndarray | None, twice: np.nda
     both = near[:, 0, :CLASSES] + near[:, 1, :CLASSES] + twice[:, None]
     corner = np.broadcast_to(np.diag(bigrams)[:CLASSES], both.shape).copy()
     left = np.broadcast_to(sizes, both.shape).copy()
-    if own is not None:
-        corner[rows, own] -= both[rows, own]
-        left[rows, own] -= n
+    corner[rows, own] -= both[rows, own]
+    left[rows, own] -= n
     gain += _xlogx(corner + both) - _xlogx(corner)
     return gain - 2 * (_xlogx(left + n[:, None]) - _xlogx(left))
 
 
+def likeliest(near: np.ndarray, bigrams: np.ndarray, alpha: float = 0.05) -> np.ndarray:
+    """The class under which the neighbours of each word, by side and class, are likeliest."""
+    sides = [x / x.sum(0) for x in (bigrams[:, :CLASSES] + alpha, bigrams[:CLASSES].T + alpha)]
+    return sum(near[:, side] @ np.log(share) for side, share in enumerate(sides)).argmax(1)
+
+
 def _tables(batches, common: np.ndarray, classes: np.ndarray):
     """Words of the table in steps: hash, number among the common ones, count, neighbours by class, how often a word follows itself."""
     for t in _gathered(batches):
@@ -348,8 +364,7 @@ def _entries(common, state, bits: int):
         for h, ids, n, near, twice in _tables(batches, common.value, classes):
             now = np.where(ids < COMMON, np.append(classes, 0)[np.minimum(ids, len(classes))], _END_CLASS).astype(np.uint8)
             rare = np.flatnonzero(ids == _RARE_ID)
-            if len(rare):
-                now[rare] = gains(near[rare], n[rare], None, twice[rare], bigrams).argmax(1)
+            now[rare] = likeliest(near[rare], bigrams)
             shard = _shard(h, bits)
             rows = []
             for s in np.unique(shard):
@@ -482,7 +497,7 @@ def language_scores(docs: DataFrame, *, held_out: Column, rounds: int = ROUNDS)
                        F.coalesce(held_out, F.lit(False)).alias("held_out"))
     training = rows.where(~F.col("held_out")).select("text")
     common = spark.sparkContext.broadcast(common_words(training))
-    counted = stored(training.mapInArrow(_count(common), COUNTED).repartition("word").mapInArrow(_merge, COUNTED), "words")
+    counted = stored(training.mapInArrow(_count(common), PACKED).repartition("word_group").mapInArrow(_merge, COUNTED), "words")
     n, v = counted.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     named = stored(counted.mapInArrow(_only_common(common), COUNTED), "common")
     classes, history = cluster(named, common, rounds)

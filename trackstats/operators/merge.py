@@ -52,10 +52,27 @@ def merge(base: DataFrame, fresh: DataFrame, keys: list[str], measures: list[str
     """Refreshed base rows, rows of new years, and on request new rows of known years.
 
     With ``include_new`` both kinds of new rows are simply the fresh rows without
-    a base key, because a year absent from the base cannot match.
+    a base key, because a year absent from the base cannot match. The fresh rows,
+    which may be costly to make, are read once: what meets a base row is a
+    refreshed one, what does not is new.
     """
-    new = unmatched(fresh, base, keys) if include_new else in_new_years(fresh, base, year)
-    return refresh(base, fresh, keys, measures).unionByName(new, allowMissingColumns=True)
+    held = base.select(F.lit(True).alias("__hit"), *[F.col(c).alias(f"__b_{c}") for c in base.columns])
+    on = F.lit(True)
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(f"__b_{k}"))
+    met = fresh.join(held, on, "left")
+    hit = F.col("__hit").isNotNull()
+    if not include_new:
+        known = base.select(year).distinct().withColumn("__known", F.lit(True))
+        met = lookup(met, known, [year], "left").where(hit | F.col("__known").isNull())
+
+    def value(c: str) -> Column:
+        if c not in fresh.columns:
+            return F.col(f"__b_{c}")
+        if c not in base.columns:
+            return F.when(~hit, F.col(c))
+        return F.col(c) if c in measures else F.when(hit, F.col(f"__b_{c}")).otherwise(F.col(c))
+    return met.select(*[value(c).alias(c) for c in [*base.columns, *[c for c in fresh.columns if c not in base.columns]]])
 
 
 def reconcile(base: DataFrame, fresh: DataFrame, keys: list[str], *, year: str = "Year") -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..functions import vocab
-from .keys import best_per_key, top_n
+from .keys import best_per_key, stored, top_n
 from .ordering import By, top_n_by_ranges
 
 #: Spark cuts groups before a shuffle up to so many rows (``spark.sql.optimizer.windowGroupLimitThreshold``).
@@ -51,12 +51,13 @@ def top_per_year(df: DataFrame, n: int, *, year: str = "Year", measure: str = "S
                  ties: list[str]) -> DataFrame:
     """Highest ``n`` rows of every year; rows without a year belong to none.
 
-    Up to ``LARGE_N`` rows a task keeps its own first ``n`` before they meet; a larger ``n`` is settled by ranges of the order.
+    Up to ``LARGE_N`` rows a task keeps its own first ``n`` before they meet; a larger ``n`` is settled by ranges of the order,
+    which reads the table several times: it is stored first, when this is called.
     """
     order = [By(measure, descending=True, nulls_last=True), *[By(t, nulls_last=True) for t in ties]]
     dated = df.where(F.col(year).isNotNull())
     if n > LARGE_N:
-        return top_n_by_ranges(dated, [year], order, n)
+        return top_n_by_ranges(stored(dated), [year], order, n)
     return top_n(dated, [year], [o.sort() for o in order], n, salt_by=ties)
 
 

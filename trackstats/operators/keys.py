@@ -94,6 +94,13 @@ def scratch_path(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/scratch-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """The table written to the shared folder and read back: for what is read several times and costly to make."""
+    path = scratch_path(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise in the shared folder, so that a lost executor costs no recomputation."""
     shared_folder(df.sparkSession)

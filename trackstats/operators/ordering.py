@@ -51,8 +51,9 @@ def _compare(a: Column, b: Column, order: list[By]) -> Column:
     for i, by in reversed(list(enumerate(order))):
         x, y = a[f"o{i}"], b[f"o{i}"]
         up, null = (1, -1) if by.descending else (-1, 1), 1 if by.nulls_last else -1
-        out = (F.when(x.isNull() & y.isNull(), out).when(x.isNull(), F.lit(null)).when(y.isNull(), F.lit(-null))
-               .when(x < y, F.lit(up[0])).when(x > y, F.lit(up[1])).otherwise(out))
+        # Missing values compare as neither, so the cheap and frequent cases come first.
+        out = (F.when(x.eqNullSafe(y), out).when(x < y, F.lit(up[0])).when(x > y, F.lit(up[1]))
+               .when(x.isNull(), F.lit(null)).otherwise(F.lit(-null)))
     return out
 
 

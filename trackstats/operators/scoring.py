@@ -27,6 +27,9 @@ ROWS, CELLS = 1 << 18, 1 << 22
 #: Texts are counted in runs of about this many bytes; a longer text is a run of its own.
 CHUNK = 1 << 19
 
+#: Counts go into a table of at most so many cells (32 MB); beyond that they are sorted.
+TABLE = 1 << 22
+
 SCORES = "array<struct<label:string,score:double>>"
 _SCORES = pa.list_(pa.struct([("label", pa.string()), ("score", pa.float64())]))
 
@@ -35,12 +38,45 @@ def _words(text: bytes) -> list[bytes]:
     return text.split()  # ASCII white space, as these are bytes
 
 
+def _points(text: bytes) -> np.ndarray:
+    return np.frombuffer(text.decode("utf-8", "replace").encode("utf-32-le"), np.uint32).astype(np.int64)
+
+
 def _trigrams(text: bytes) -> np.ndarray:
     """All triples of code points as numbers of three times 21 bits."""
-    point = np.frombuffer(text.decode("utf-8", "replace").encode("utf-32-le"), np.uint32).astype(np.int64)
+    point = _points(text)
     return point[:-2] << 42 | point[1:-1] << 21 | point[2:] if len(point) > 2 else point[:0]
 
 
+def _numbered(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[int]]:
+    """Different triples of a run of texts in ascending order, the number of each that occurs, and how many each text has.
+
+    With few different characters the triples are counted in a table of all that could be, else they are sorted.
+    """
+    points = [_points(t) for t in texts]
+    lengths = [max(0, len(p) - 2) for p in points]
+    flat = np.concatenate([np.zeros(0, np.int64), *points])
+    known = np.flatnonzero(np.bincount(flat)) if len(flat) else flat
+    k = len(known)
+    if k ** 3 > TABLE or len(flat) < 3:
+        names, pieces = np.unique(np.concatenate([np.zeros(0, np.int64), *[_trigrams(t) for t in texts]]), return_inverse=True)
+        return names, pieces, lengths
+    rank = np.zeros(known[-1] + 1, np.int64)
+    rank[known] = np.arange(k)
+    at = rank[flat]
+    triple = (at[:-2] * k + at[1:-1]) * k + at[2:]
+    ends = np.cumsum([len(p) for p in points])
+    inside = np.ones(len(flat), bool)  # triples do not reach into the next text
+    for back in (1, 2):
+        last = ends - back
+        inside[last[(last >= 0) & (np.array([len(p) for p in points]) >= back)]] = False
+    triple = triple[inside[:-2]]
+    found = np.flatnonzero(np.bincount(triple)) if len(triple) else triple
+    number = np.zeros(k ** 3, np.int64)
+    number[found] = np.arange(len(found))
+    return known[found // (k * k)] << 42 | known[found // k % k] << 21 | known[found % k], number[triple], lengths
+
+
 def _spelled(code: int) -> str:
     return "".join(chr(code >> shift & 0x1FFFFF) for shift in (42, 21, 0))
 
@@ -51,12 +87,17 @@ def _counted(texts: list[bytes | None], kind: str) -> tuple[list | np.ndarray, n
         number: dict[bytes, int] = {}
         lists = [_words(t or b"") for t in texts]
         pieces = np.fromiter((number.setdefault(w, len(number)) for w in chain.from_iterable(lists)), np.int64)
-        names = list(number)
+        names, lengths = list(number), [len(x) for x in lists]
+    else:
+        names, pieces, lengths = _numbered([t or b"" for t in texts])
+    owner = np.repeat(np.arange(len(texts)), lengths)
+    pairs = owner * max(1, len(names)) + pieces
+    if len(texts) * len(names) <= TABLE:
+        all_times = np.bincount(pairs, minlength=1)
+        pairs = np.flatnonzero(all_times)
+        times = all_times[pairs]
     else:
-        lists = [_trigrams(t or b"") for t in texts]
-        names, pieces = np.unique(np.concatenate([np.zeros(0, np.int64), *lists]), return_inverse=True)
-    owner = np.repeat(np.arange(len(texts)), [len(x) for x in lists])
-    pairs, times = np.unique(owner * max(1, len(names)) + pieces, return_counts=True)
+        pairs, times = np.unique(pairs, return_counts=True)
     return names, pairs // max(1, len(names)), pairs % max(1, len(names)), times
 
 

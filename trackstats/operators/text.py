@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import scalars as S
 from ..functions import vocab
 from ..functions.stem import porter
-from .keys import once, top_n
+from .keys import once, stored, top_n
 from .scoring import scored, tallies
 
 DEFAULT_STOPWORDS = sorted({*vocab.LYRIC_STOPWORDS, *vocab.ENGLISH_EXTRA_STOPWORDS})
@@ -127,10 +127,11 @@ def train_language_profiles(labelled: DataFrame, *, text: str = "text", language
     """``(lang, gram, weight)``: the character triples of every language, or only the ``size`` commonest.
 
     The weight is a whole-number log probability above a fixed floor, so that
-    scores add up exactly in any order.
+    scores add up exactly in any order. The texts are counted when this is called.
     """
     known = labelled.where(F.col(language).isNotNull())
     counts = tallies(known, F.col(language), letters(text), kind="trigrams").select(F.col("label").alias("lang"), F.col("piece").alias("gram"), "n")
+    counts = stored(counts)  # read twice; a row per triple and language
     totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
     best = counts if size is None else top_n(counts, ["lang"], [F.col("n").desc(), F.col("gram")], size)
     weight = F.greatest(F.round(F.log(F.col("n") / F.col("total") * 1e6) * 1000), F.lit(0.0))
@@ -149,10 +150,12 @@ def label_language(df: DataFrame, profiles: DataFrame, *, key: str, text: str =
     Blank, ``'0'`` and short texts, and texts without a known trigram, get the
     default. Texts are scored in the task that read them.
     """
-    cleaned = language_text(text)
-    usable = (~S.is_blank(text) & (S.strip_blanks(text) != "0") & (F.length(cleaned) >= min_length))
+    zero = F.rlike(S.col(text), F.lit(r"^[\s\p{Z}]*0[\s\p{Z}]*\z"))
+
+    def usable(cleaned: Column) -> Column:
+        return F.when(~S.is_blank(text) & ~zero & (F.length(cleaned) >= min_length), letters(cleaned))
     model = profiles.select(F.col("gram").alias("piece"), F.col("lang").alias("label"), "weight")
-    found = scored(df, [key], F.when(usable, letters(cleaned)), model, kind="trigrams")
+    found = scored(df, [key], S.bound(language_text(text), usable), model, kind="trigrams")
     return found.select(key, F.coalesce(leading(F.col("scores")), F.lit(default)).alias("language"))
 
 

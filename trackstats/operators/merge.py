@@ -105,12 +105,19 @@ def reconcile(base: DataFrame, fresh: DataFrame, keys: list[str], *, year: str =
                       "n_new_in_shared", "n_new_years")
 
 
+def _sides(a: DataFrame, b: DataFrame, year: str) -> DataFrame:
+    """``(year, __in_a, __in_b)`` of every year; combined before anything moves, for all rows of a year would meet in one task."""
+    def marked(df: DataFrame, in_a: bool) -> DataFrame:
+        return df.select(year, F.lit(in_a).alias("__in_a"), F.lit(not in_a).alias("__in_b"))
+    return marked(a, True).unionByName(marked(b, False)).groupBy(year).agg(F.max("__in_a").alias("__in_a"), F.max("__in_b").alias("__in_b"))
+
+
 def years_in_both(a: DataFrame, b: DataFrame, year: str = "Year") -> DataFrame:
-    return a.select(year).intersect(b.select(year))
+    return _sides(a, b, year).where("__in_a and __in_b").select(year)
 
 
 def years_only_in(a: DataFrame, b: DataFrame, year: str = "Year") -> DataFrame:
-    return a.select(year).subtract(b.select(year))
+    return _sides(a, b, year).where("__in_a and not __in_b").select(year)
 
 
 def last_per_key(df: DataFrame, keys: list[str], load_order: str, *, ties: list[str] = ()) -> DataFrame:

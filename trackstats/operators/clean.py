@@ -19,8 +19,10 @@ def drop_missing(df: DataFrame, required: list[str]) -> DataFrame:
     return df.na.drop("any", subset=required)
 
 
-def distinct_rows(df: DataFrame) -> DataFrame:
-    return df.dropDuplicates()
+def distinct_rows(df: DataFrame, *, derived: dict[str, Column] | None = None) -> DataFrame:
+    """Every different row once; ``derived`` columns follow from the others and are made again instead of being moved."""
+    again = derived or {}
+    return df.drop(*again).dropDuplicates().withColumns(again).select(*df.columns)
 
 
 def coerce_measure(df: DataFrame, column: str, default: float = 0.0) -> DataFrame:

@@ -102,9 +102,17 @@ def _row_hashes(columns: list[str], name: str) -> list[Column]:
     return [F.xxhash64(*values).alias(f"{name}0"), F.xxhash64(F.lit(name), *values).alias(f"{name}1")]
 
 
-def _digest(c: str, t: str) -> Column:
-    """A text's SHA-256 in place of the text, whatever its length."""
-    return F.sha2(F.col(c).cast("binary"), 256).alias(c) if t == "string" else F.col(c)
+#: Types whose text tells apart what is different.
+_SPELLED = ("string", "boolean", "date", "tinyint", "smallint", "int", "bigint", "float", "double")
+
+
+def _narrow(df: DataFrame) -> list[Column]:
+    """What equal rows have in common: a SHA-256 of their values, whatever their width, beside the columns it cannot hold."""
+    def spelled(c: str, t: str) -> Column:
+        value = (F.col(c) + F.lit(0.0) if t in ("float", "double") else F.col(c)).cast("string")  # -0.0 equals 0.0
+        return F.coalesce(F.concat(F.octet_length(value), F.lit(":"), value), F.lit("-"))
+    parts = [spelled(c, t) for c, t in df.dtypes if t in _SPELLED]
+    return [F.unhex(F.sha2(F.concat(*parts, F.lit("")).cast("binary"), 256)).alias("__row"), *[F.col(c) for c, t in df.dtypes if t not in _SPELLED]]
 
 
 def _surplus(counted: DataFrame, check: str) -> DataFrame:
@@ -115,18 +123,48 @@ def _surplus(counted: DataFrame, check: str) -> DataFrame:
 
 def distinct_count(df: DataFrame) -> DataFrame:
     """One row: the number of different rows, without moving long texts."""
-    return df.select(*[_digest(c, t) for c, t in df.dtypes]).distinct().agg(F.count(F.lit(1)).alias("rows_out"))
+    return df.select(*_narrow(df)).distinct().agg(F.count(F.lit(1)).alias("rows_out"))
+
+
+def loading_counts(df: DataFrame, required: list[str]) -> DataFrame:
+    """One row ``(loaded, missing, copies)``: all rows, complete ones and different complete ones, in one pass.
+
+    A complete row moves as its digest; incomplete ones are counted before they move.
+    """
+    types, complete = dict(df.dtypes), F.lit(True)
+    for c in required:
+        complete = complete & F.col(c).isNotNull()
+        if types[c] in ("double", "float"):
+            complete = complete & ~F.isnan(c)
+    names = [f"__d{i}" for i in range(len(_narrow(df)))]
+    narrow = df.select(complete.alias("__complete"), *[F.when(complete, d).alias(n) for n, d in zip(names, _narrow(df), strict=True)])
+    per = narrow.groupBy("__complete", *names).agg(F.count(F.lit(1)).alias("__n"))
+    whole = F.when(F.col("__complete"), F.col("__n"))
+    return per.agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("loaded"), F.coalesce(F.sum(whole), F.lit(0)).alias("missing"), F.count(whole).alias("copies"))
+
+
+def counted(df: DataFrame, by: str) -> DataFrame:
+    """One row: the number of rows, summed over the groups of a column.
+
+    A count that reads the column needs what the step after it needs, so Spark makes the table once for both.
+    """
+    return df.groupBy(by).agg(F.count(F.lit(1)).alias("__n")).agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("rows_out"))
 
 
-def funnel(steps: list[tuple[str, DataFrame]]) -> DataFrame:
+def funnel(steps: list[tuple[str | list[str], DataFrame]]) -> DataFrame:
     """``(step_no, step, rows_out, removed)`` of successive stages of a job.
 
     A stage is a table, or a one-row table that already holds ``rows_out``.
+    Several stages may share a one-row table that has a column for each of their names.
     """
-    counts = None
-    for i, (name, df) in enumerate(steps):
-        counted = df if df.columns == ["rows_out"] else df.agg(F.count(F.lit(1)).alias("rows_out"))
-        row = counted.select(F.lit(i).alias("step_no"), F.lit(name).alias("step"), "rows_out")
+    counts, i = None, 0
+    for name, df in steps:
+        names = name if isinstance(name, list) else [name]
+        if isinstance(name, str):
+            df = (df if df.columns == ["rows_out"] else df.agg(F.count(F.lit(1)).alias("rows_out"))).withColumnRenamed("rows_out", name)
+        rows = [F.struct(F.lit(i + j).alias("step_no"), F.lit(n).alias("step"), F.col(f"`{n}`").alias("rows_out")) for j, n in enumerate(names)]
+        row = df.select(F.inline(F.array(*rows)))
         counts = row if counts is None else counts.unionByName(row)
+        i += len(names)
     before = F.lag("rows_out").over(Window.orderBy("step_no"))  # one row per step
     return counts.withColumn("removed", F.coalesce(before - F.col("rows_out"), F.lit(0)))

@@ -29,8 +29,9 @@ def clean_funnel(raw: DataFrame, *, required: list[str] = vocab.REQUIRED_COLUMNS
                  keys: list[str] = ("Artist", "Title"), measure: str = "Streams", year: str = "Year",
                  n: int = 300, ties: list[str]) -> DataFrame:
     """Rows removed by each step of the cleaning job, copies counted separately."""
-    loaded, complete, best, top = _stages(raw, required, list(keys), measure, year, n, list(ties))
-    return clean.funnel([loaded, complete, ("copies", clean.distinct_count(complete[1])), best, top])
+    _, _, (best, kept), top = _stages(raw, required, list(keys), measure, year, n, list(ties))
+    loading = clean.loading_counts(raw, clean.available(raw, required))
+    return clean.funnel([(["loaded", "missing", "copies"], loading), (best, clean.counted(kept, year)), top])
 
 
 def _stages(raw, required, keys, measure, year, n, ties) -> list[tuple[str, DataFrame]]:

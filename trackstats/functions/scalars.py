@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,6 +18,11 @@ def col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, also where Spark would compute it again in every branch of a condition."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 # --- text -----------------------------------------------------------------
 
 def strip_markers(text, replacement: str = " ") -> Column:
@@ -56,14 +63,18 @@ def is_blank(text) -> Column:
     return ~F.coalesce(F.rlike(col(text), F.lit(r"[^\s\p{Z}]")), F.lit(False))
 
 
+def contained_label(low: Column, otherwise: Column, labels: list[str] | None = None) -> Column:
+    """First label contained in a lower-case text, else another value."""
+    return F.coalesce(*[F.when(F.contains(low, F.lit(v.lower())), F.lit(v)) for v in labels or vocab.TOPICS], otherwise)
+
+
+def without_marks(text) -> Column:
+    return trim_chars(strip_blanks(text))
+
+
 def canonical_label(text, labels: list[str] | None = None) -> Column:
     """First label contained in the text, ignoring case; else the text without blanks and marks around it."""
-    trimmed = trim_chars(strip_blanks(text))
-    low = F.lower(trimmed)
-    return F.coalesce(
-        *[F.when(F.contains(low, F.lit(v.lower())), F.lit(v)) for v in labels or vocab.TOPICS],
-        trimmed,
-    )
+    return contained_label(F.lower(without_marks(text)), without_marks(text), labels)
 
 
 def prefix(text, n: int) -> Column:
@@ -106,24 +117,30 @@ def abbreviate(text, n: int) -> Column:
 
 # --- artist, title, identifiers --------------------------------------------
 
-def _halves(text: Column) -> Column:
-    return F.split(text, " - ", 2)
+def _before_separator(text: Column) -> Column:
+    return F.trim(F.substring_index(text, " - ", 1))
+
+
+def _after_separator(text: Column) -> Column:
+    """NULL without a separator."""
+    at = F.instr(text, " - ")
+    return F.when(at > 0, F.trim(F.substring(text, at + 3, F.length(text))))
 
 
 def artist_part(artist_title) -> Column:
-    return F.trim(F.get(_halves(col(artist_title)), F.lit(0)))
+    return _before_separator(col(artist_title))
 
 
 def title_part(artist_title) -> Column:
     """Text after the first separator; empty when there is none."""
     text = col(artist_title)
-    return F.when(text.isNotNull(), F.coalesce(F.trim(F.get(_halves(text), F.lit(1))), F.lit("")))
+    return F.when(text.isNotNull(), F.coalesce(_after_separator(text), F.lit("")))
 
 
 def backfill_title(title, artist_title) -> Column:
     """Blank titles come from the text after the separator, else the whole text."""
     text = col(artist_title)
-    filled = F.coalesce(F.trim(F.get(_halves(text), F.lit(1))), text)
+    filled = F.coalesce(_after_separator(text), text)
     return F.when(is_blank(title), F.coalesce(filled, col(title))).otherwise(col(title))
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..functions import vocab
-from .keys import best_per_key, lookup
+from .keys import best_per_key, lookup, once
 from .merge import next_batch
 from .scoring import scored
 from .text import leading, spaced_words
@@ -27,7 +27,10 @@ def classify(df: DataFrame, fn: Callable, schema: str, *, parallelism: int | Non
 def finish_topics(df: DataFrame, raw: str, *, text: str = "Lyrics", topic: str = "Topic",
                   blank_topic: str = "Other") -> DataFrame:
     """Canonical topics from raw model answers; blank texts get a fixed topic, failures stay NULL."""
-    return df.withColumn(topic, F.when(S.is_blank(text), F.lit(blank_topic)).otherwise(S.canonical_label(raw)))
+    # Made once: within a condition Spark would clean and lower a long answer again for every label.
+    cleaned = once(once(df, __bare=S.without_marks(raw)), __low=F.lower("__bare"))
+    label = S.contained_label(F.col("__low"), F.col("__bare"))
+    return cleaned.withColumn(topic, F.when(S.is_blank(text), F.lit(blank_topic)).otherwise(label)).drop("__bare", "__low")
 
 
 def keyword_topics(df: DataFrame, keywords: DataFrame, *, key: str, text: str = "Lyrics",

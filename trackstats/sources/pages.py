@@ -13,22 +13,35 @@ from ..operators.keys import once
 BLANKS = " \t\r\n\u00a0"
 
 
+def _numbered(reference: Column) -> Column:
+    """The character of a numeric reference, NULL if there is none."""
+    number = F.when(F.rlike(reference, F.lit(r"^#[0-9]{1,7}\z")), F.substring(reference, 2, 7).try_cast("int")).when(
+        F.rlike(reference, F.lit(r"^#[xX][0-9a-fA-F]{1,6}\z")), F.conv(F.substring(reference, 3, 6), 16, 10).try_cast("int"))
+    return S.bound(number, lambda n: F.when(n.between(1, 0xD7FF) | n.between(0xE000, 0x10FFFF), F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")))
+
+
+def _named(reference: Column) -> Column:
+    """The character of a name, NULL if there is none; looked up among the names with the same first letter."""
+    initials: dict[str, list[Column]] = {}
+    for name, code in (*name2codepoint.items(), ("apos", 39)):
+        initials.setdefault(name[0], []).extend((F.lit(name), F.lit(chr(code))))
+    names = F.create_map(*[x for initial, own in initials.items() for x in (F.lit(initial), F.create_map(*own))])
+    return F.try_element_at(F.try_element_at(names, F.left(reference, F.lit(1))), reference)
+
+
 def _character(reference: Column) -> Column:
     """The character of a reference without ``&`` and ``;``, NULL if there is none."""
-    number = F.when(F.rlike(reference, F.lit("^#[0-9]{1,7}$")), F.substring(reference, 2, 7).try_cast("int")).when(
-        F.rlike(reference, F.lit("^#[xX][0-9a-fA-F]{1,6}$")), F.conv(F.substring(reference, 3, 6), 16, 10).try_cast("int"))
-    valid = F.when(number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF), number)
-    names = F.create_map(*[F.lit(x) for name, code in (*name2codepoint.items(), ("apos", 39)) for x in (name, chr(code))])
-    return F.coalesce(F.decode(F.unhex(F.lpad(F.hex(valid), 8, "0")), "UTF-32"), F.try_element_at(names, reference))
+    return F.when(F.startswith(reference, F.lit("#")), _numbered(reference)).otherwise(_named(reference))
 
 
 def decode_references(text: Column) -> Column:
     """Named and numeric character references replaced, each once; unknown ones stay."""
     def part(p: Column, i: Column) -> Column:
-        reference = F.regexp_extract(p, r"^(#?[A-Za-z0-9]{1,31});", 1)
-        char = F.when(reference != "", _character(reference))
-        rest = F.concat(char, F.substring(p, F.length(reference) + 2, F.length(p)))
-        return F.when(i == 0, p).otherwise(F.coalesce(rest, F.concat(F.lit("&"), p)))
+        def decoded(reference: Column) -> Column:
+            rest = F.concat(_character(reference), F.substring(p, F.length(reference) + 2, F.length(p)))
+            return F.coalesce(rest, F.concat(F.lit("&"), p))
+        ended = F.when(F.contains(p, F.lit(";")), F.substring_index(p, ";", 1))
+        return F.when(i == 0, p).otherwise(S.bound(ended, decoded))
     parts = F.transform(F.split(text, "&", -1), part)
     return F.when(F.contains(text, F.lit("&")), F.array_join(parts, "")).otherwise(text)
 
@@ -36,7 +49,6 @@ def decode_references(text: Column) -> Column:
 def first_table(html) -> Column:
     """The inside of the first table, up to its own end tag: tables within it are part of it."""
     simple = F.regexp_extract(html, r"(?is)<table(?=[\s>])[^>]*>(.*?)</table\s*>", 1)
-    pieces = F.split(html, r"(?i)(?=</?table[\s>])", -1)
     start = F.struct(F.lit(0).alias("depth"), F.lit(False).alias("done"), F.array().cast("array<string>").alias("inside"))
 
     def step(state: Column, piece: Column) -> Column:
@@ -44,10 +56,12 @@ def first_table(html) -> Column:
         depth = state["depth"] + F.when(opens, 1).when(closes & (state["depth"] > 0), -1).otherwise(0)
         held = F.when((depth > 0) & ~state["done"], F.array_append(state["inside"], piece)).otherwise(state["inside"])
         return F.struct(depth.alias("depth"), (state["done"] | (closes & (state["depth"] == 1))).alias("done"), held.alias("inside"))
-    nested = F.aggregate(pieces, start, step, lambda state: F.regexp_replace(
-        F.array_join(state["inside"], ""), r"(?is)^<table(?=[\s>])[^>]*>", ""))
-    several = F.regexp_count(html, F.lit(r"(?i)<table[\s>]")) > 1
-    return F.when(several, nested).otherwise(simple)
+    def inside(pieces: Column) -> Column:
+        nested = F.aggregate(pieces, start, step, lambda state: F.regexp_replace(
+            F.array_join(state["inside"], ""), r"(?is)^<table(?=[\s>])[^>]*>", ""))
+        several = F.size(F.filter(pieces, lambda piece: F.rlike(piece, F.lit(r"(?i)^<table[\s>]")))) > 1
+        return F.when(several, nested).otherwise(simple)
+    return S.bound(F.split(html, r"(?i)(?=</?table[\s>])", -1), inside)
 
 
 def cell_text(html: Column) -> Column:
@@ -73,9 +87,9 @@ def chart_rows(pages: DataFrame, *, html: str = "html", year: str = "year") -> D
     Rows with fewer than three cells or unreadable numbers are dropped.
     """
     cells = table_cells(pages, [year], html).where(F.size("cells") >= 3)
-    texts = once(cells, text=cell_text(F.col("cells")[0]), streams=S.grouped_int(cell_text(F.col("cells")[1])),
-                 daily=S.grouped_int(cell_text(F.col("cells")[2])))
-    return texts.where(F.col("streams").isNotNull() & F.col("daily").isNotNull()).select(
+    numbers = once(cells, streams=S.grouped_int(cell_text(F.col("cells")[1])), daily=S.grouped_int(cell_text(F.col("cells")[2])))
+    texts = once(numbers.where(F.col("streams").isNotNull() & F.col("daily").isNotNull()), text=cell_text(F.col("cells")[0]))
+    return texts.select(
         F.col("text").alias("Artist and Title"), S.artist_part("text").alias("Artist"),
         S.title_part("text").alias("Title"), F.col("streams").alias("Streams"), F.col("daily").alias("Daily"),
         F.col(year).cast("int").alias("Year"))

@@ -1,16 +1,14 @@
-"""Rows from stored HTML pages and JSON responses, as column expressions."""
+"""Rows from stored HTML pages and JSON responses, as column expressions; chart rows from arrays of pages."""
 
 from __future__ import annotations
 
-from html.entities import name2codepoint
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import scalars as S
 from ..operators.keys import once
-
-BLANKS = " \t\r\n\u00a0"
+from .chart_pages import BLANKS, NAMES, rows_of
 
 
 def _numbered(reference: Column) -> Column:
@@ -23,8 +21,8 @@ def _numbered(reference: Column) -> Column:
 def _named(reference: Column) -> Column:
     """The character of a name, NULL if there is none; looked up among the names with the same first letter."""
     initials: dict[str, list[Column]] = {}
-    for name, code in (*name2codepoint.items(), ("apos", 39)):
-        initials.setdefault(name[0], []).extend((F.lit(name), F.lit(chr(code))))
+    for name, character in NAMES.items():
+        initials.setdefault(name[0], []).extend((F.lit(name), F.lit(character)))
     names = F.create_map(*[x for initial, own in initials.items() for x in (F.lit(initial), F.create_map(*own))])
     return F.try_element_at(F.try_element_at(names, F.left(reference, F.lit(1))), reference)
 
@@ -84,15 +82,17 @@ def table_cells(pages: DataFrame, keep: list[str], html: str = "html") -> DataFr
 def chart_rows(pages: DataFrame, *, html: str = "html", year: str = "year") -> DataFrame:
     """Chart rows of all pages in one scan, each stamped with its page's year.
 
-    Rows with fewer than three cells or unreadable numbers are dropped.
+    Rows with fewer than three cells or unreadable numbers are dropped. The cells
+    are those of ``table_cells`` and their texts those of ``cell_text``, read from
+    arrays of whole pages.
     """
-    cells = table_cells(pages, [year], html).where(F.size("cells") >= 3)
-    numbers = once(cells, streams=S.grouped_int(cell_text(F.col("cells")[1])), daily=S.grouped_int(cell_text(F.col("cells")[2])))
-    texts = once(numbers.where(F.col("streams").isNotNull() & F.col("daily").isNotNull()), text=cell_text(F.col("cells")[0]))
-    return texts.select(
+    read = pages.select(F.col(year).alias("stamp"), F.col(html).cast("binary").alias("html"))
+    found = T.StructType([read.schema["stamp"], *[T.StructField(n, t()) for n, t in (
+        ("text", T.StringType), ("streams", T.LongType), ("daily", T.LongType))]])
+    return read.mapInArrow(rows_of, found).select(
         F.col("text").alias("Artist and Title"), S.artist_part("text").alias("Artist"),
         S.title_part("text").alias("Title"), F.col("streams").alias("Streams"), F.col("daily").alias("Daily"),
-        F.col(year).cast("int").alias("Year"))
+        F.col("stamp").cast("int").alias("Year"))
 
 
 def list_items(pages: DataFrame, keep: list[str], html: str = "html") -> DataFrame:

@@ -6,10 +6,10 @@ from pyspark.sql import functions as F
 
 from ..operators.select import Selection
 from . import jobs
-from .catalogue_queries import stored_chart_pages
+from .catalogue_queries import page_tracks, stored_chart_pages
 from .evolution_queries import RING
 from .feature_queries import STAT_FEATURES, STATS_SQL, TIMED, rounded, timed_tracks
-from .inputs import TRACKS, tracks, words
+from .inputs import TRACKS, artist_and_title, words
 from .registry import query
 
 # Every title of the pages that is in the base once, without a measure; years from 1997 on are new.
@@ -20,11 +20,13 @@ base AS (SELECT DISTINCT concat(artist_title, 'éé– &lt;') AS "Artist and Tit
 
 
 def _refreshed(spark, folder):
-    title = F.concat("artist_title", F.lit("éé– &lt;"))
-    known = tracks(spark, folder).where((F.col("Year") < 1997) & (F.col("Topic") != "SMALL"))
+    """Base and pages come from the same tracks, which are made and stored once, when this is called."""
+    made = page_tracks(spark, folder, "Topic")
+    title = F.concat(artist_and_title("Artist", "Title"), F.lit("éé– &lt;"))
+    known = made.where((F.col("Year") < 1997) & (F.col("Topic") != "SMALL"))
     none = F.lit(0).cast("bigint")
     base = known.select(title.alias("Artist and Title"), "Year", none.alias("Streams"), none.alias("Daily"), F.col("Topic").alias("genre")).distinct()
-    return jobs.refresh_catalogue(base, stored_chart_pages(spark, folder))
+    return jobs.refresh_catalogue(base, stored_chart_pages(spark, folder, made))
 
 
 @query(f"""WITH {REFRESH} SELECT b."Artist and Title", b.Year, f.Streams, f.Daily, b.genre, CAST(NULL AS VARCHAR) AS Artist, CAST(NULL AS VARCHAR) AS Title
